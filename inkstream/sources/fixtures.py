@@ -217,11 +217,11 @@ FROM events""",
 }
 
 
-def with_views(sql: str, *names: str, extra: dict | None = None) -> str:
+def with_views(sql: str, *names: str, extra: dict | None = None, recursive: bool = False) -> str:
     """Prefix ``sql`` with CTEs for the named fixture views (and any extra CTE bodies, in order)."""
     parts = [f"{n} AS ({SQL_VIEWS[n]}\n)" for n in names]
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v}\n)")
     if not parts:
         return sql
-    return "WITH " + ",\n".join(parts) + "\n" + sql
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + sql
