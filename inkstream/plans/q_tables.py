@@ -1 +1,135 @@
-"""(filled in below)"""
+"""Registered queries for keyed tables, file sinks and sources (K1, K2, K7..K13, S4..S7, P10, G12, U2).
+
+Sink queries write into fresh folders under the shared folder (``spark.checkpoint.dir``) and return
+what they read back, so the check covers the write path too.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkstream.operators import tables as K
+from inkstream.plans.q_chunks import CLEANED_SQL, chunks_sql_ctes, cleaned_articles
+from inkstream.operators import chunking as C
+from inkstream.plans.registry import register
+from inkstream.session import fresh_path
+from inkstream.sources import files as FS
+from inkstream.sources import fixtures as fx
+
+
+@register("upsert_cleaned", "K1 R4", fx.with_views(
+    "SELECT key, arg_max(seq, seq) AS seq, arg_max(source, seq) AS source, arg_max(value, seq) AS value "
+    "FROM versions GROUP BY key", "versions"))
+def upsert_cleaned(spark, sf_dir):
+    path = fresh_path(spark, "keyed-versions")
+    v = fx.versions(spark, sf_dir)
+    K.upsert(spark, path, v.where(F.col("seq") % 2 == 0), "key", "seq")
+    K.upsert(spark, path, v.where(F.col("seq") % 2 == 1), "key", "seq")
+    K.upsert(spark, path, v.where(F.col("seq") % 2 == 1), "key", "seq")  # replay: no change
+    return K.read_keyed(spark, path).select("key", "seq", "source", "value")
+
+
+@register("upsert_chunks", "K2 U2 P6", fx.with_views(
+    "SELECT chunk_id, max(entry_id) AS entry_id, arg_max(title, entry_id) AS title FROM chunks GROUP BY chunk_id",
+    "articles", extra=chunks_sql_ctes(), recursive=True))
+def upsert_chunks(spark, sf_dir):
+    path = fresh_path(spark, "keyed-chunks")
+    cl = cleaned_articles(spark, sf_dir)
+    rows = C.chunk_rows(cl, keep=("entry_id", "title", "published_at", "doc_id"))
+    cols = ["chunk_id", "entry_id", "title", "published_at", F.col("chunk_content").alias("content")]
+    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", "entry_id")
+    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", "entry_id")
+    return K.read_keyed(spark, path).select("chunk_id", "entry_id", "title")
+
+
+@register("scan_cleaned", "S4 S7 P10 D9", fx.with_views(
+    "SELECT entry_id, cleaned_content FROM cleaned WHERE length(cleaned_content) > 0",
+    "articles", extra={"cleaned": CLEANED_SQL}))
+def scan_cleaned(spark, sf_dir):
+    path = fresh_path(spark, "cleaned-articles")
+    K.upsert(spark, path, cleaned_articles(spark, sf_dir).drop("doc_id"), "entry_id", "entry_id")
+    # Full scan, no silent cap; only the two needed columns are read from the snapshot.
+    t = K.read_keyed(spark, path)
+    return t.select("entry_id", "cleaned_content").where(F.length("cleaned_content") > 0)
+
+
+_ART_OUT = ("SELECT entry_id, source, title, content, strftime(published_at, '%Y-%m-%d') AS published_at "
+            "FROM articles")
+ART_SCHEMA = "entry_id string, source string, title string, content string, published_at string"
+
+
+def _articles_out(spark, sf_dir):
+    a = fx.articles(spark, sf_dir)
+    return a.select("entry_id", "source", "title", "content",
+                    F.date_format("published_at", "yyyy-MM-dd").alias("published_at"), "doc_id")
+
+
+@register("bulk_append", "K7 K12", fx.with_views(_ART_OUT, "articles"))
+def bulk_append(spark, sf_dir):
+    path = fresh_path(spark, "articles-by-day")
+    a = _articles_out(spark, sf_dir)
+    FS.append_partitioned(a.where(F.col("doc_id") % 2 == 0).drop("doc_id"), path, "published_at", mode="overwrite")
+    FS.append_partitioned(a.where(F.col("doc_id") % 2 == 0).drop("doc_id"), path, "published_at", mode="overwrite")
+    FS.append_partitioned(a.where(F.col("doc_id") % 2 == 1).drop("doc_id"), path, "published_at", mode="append")
+    return spark.read.schema(ART_SCHEMA).parquet(path).select("entry_id", "source", "title", "content", "published_at")
+
+
+@register("csv_roundtrip", "S5 K9", fx.with_views(_ART_OUT, "articles"))
+def csv_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "articles-csv")
+    FS.write_csv(_articles_out(spark, sf_dir).drop("doc_id"), path)
+    return FS.read_csv(spark, path, ART_SCHEMA)
+
+
+@register("json_roundtrip", "S6 K10", fx.with_views(_ART_OUT, "articles"))
+def json_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "articles-json")
+    FS.write_json(_articles_out(spark, sf_dir).drop("doc_id"), path)
+    return FS.read_json(spark, path, ART_SCHEMA)
+
+
+@register("text_dump", "K11", fx.with_views(_ART_OUT, "articles"))
+def text_dump(spark, sf_dir):
+    path = fresh_path(spark, "articles-txt")
+    FS.write_text_records(_articles_out(spark, sf_dir).drop("doc_id"), path)
+    return FS.read_text_records(spark, path, ART_SCHEMA)
+
+
+@register("get_or_create_batch", "K8", fx.with_views("""
+SELECT r.source, r.title, coalesce(e.id, md5(coalesce(r.source, '') || '|' || coalesce(r.title, ''))) AS id,
+       e.id IS NULL AS created
+FROM (SELECT DISTINCT source, title FROM articles) r
+LEFT JOIN (SELECT source, title, min(entry_id) AS id FROM articles WHERE doc_id % 3 = 0 GROUP BY source, title) e
+  ON e.source IS NOT DISTINCT FROM r.source AND e.title IS NOT DISTINCT FROM r.title""", "articles"))
+def get_or_create_batch(spark, sf_dir):
+    path = fresh_path(spark, "articles-existing")
+    a = fx.articles(spark, sf_dir)
+    a.where(F.col("doc_id") % 3 == 0).select("source", "title", F.col("entry_id").alias("id")).write.parquet(path)
+    existing = spark.read.parquet(path)
+    return K.get_or_create(existing, a.select("source", "title"), ["source", "title"], "id")
+
+
+# Span categories of the answer log.
+SPAN_CATEGORY = {"retrieval_step": "Vector Retrieval", "generation_step": "LLM Generation",
+                 "llm_eval_step": "Evaluation", "rag_eval_step": "Evaluation"}
+
+
+@register("span_durations", "K13 G12 D15 D16", fx.with_views("""
+SELECT span, CASE span WHEN 'retrieval_step' THEN 'Vector Retrieval' WHEN 'generation_step' THEN 'LLM Generation'
+             ELSE 'Evaluation' END AS category,
+       count(*) AS n, round(avg(duration), 6) AS avg_duration, max(duration) AS max_duration,
+       min(duration) AS min_duration
+FROM spans GROUP BY span""", "spans"))
+def span_durations(spark, sf_dir):
+    path = fresh_path(spark, "answer-log")
+    s = fx.spans(spark, sf_dir)
+    cat = F.lit(None).cast("string")
+    for name, c in SPAN_CATEGORY.items():
+        cat = F.when(F.col("span") == name, F.lit(c)).otherwise(cat)
+    logs = s.select("event_id", F.array(F.struct(F.col("span").alias("name"), cat.alias("category"),
+                                                 F.col("duration").alias("duration"))).alias("spans"))
+    logs.write.mode("append").parquet(path)
+    ex = spark.read.parquet(path).select(F.explode("spans").alias("s")).select("s.*")
+    return ex.groupBy(F.col("name").alias("span"), "category").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("duration"), 6).alias("avg_duration"),
+        F.max("duration").alias("max_duration"), F.min("duration").alias("min_duration"))
