@@ -1 +1,95 @@
-"""(filled in below)"""
+"""Registered queries for the instruction-dataset build (G1..G5, T17, T20, P14)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkstream.functions import prompts as P
+from inkstream.functions import text as T
+from inkstream.operators import dataset as G
+from inkstream.operators.chunking import tokens_of, tokens_sql
+from inkstream.plans.q_chunks import CLEANED_SQL, cleaned_articles
+from inkstream.plans.registry import register
+from inkstream.sources import fixtures as fx
+
+BATCH = 3
+
+
+def _contents(spark, sf_dir):
+    c = cleaned_articles(spark, sf_dir)
+    return c.where(F.length("cleaned_content") > 0).select("source", "doc_id", "cleaned_content")
+
+
+_IDX_SQL = ("SELECT source, doc_id, cleaned_content, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx "
+            "FROM cleaned WHERE length(cleaned_content) > 0")
+
+
+@register("prompt_batches", "G2 T17", fx.with_views(f"""
+SELECT source, CAST(floor(idx / {BATCH}) AS BIGINT) AS batch_no, min(idx) AS start_index, count(*) AS n_items,
+       substring({T._q(P.DATASET_USER_PROMPT)} || replace({T._q(P.DATASET_COUNT_LINE)}, '{{n}}', CAST(count(*) AS VARCHAR))
+                 || {T._q(P.DATASET_CONTENTS_HEADER)}
+                 || string_agg('Content number ' || CAST(idx AS VARCHAR) || chr(10) || cleaned_content || chr(10), ''
+                               ORDER BY idx), 1, {T.PROMPT_MAX_CHARS}) AS prompt
+FROM idx GROUP BY source, floor(idx / {BATCH})""", "articles", extra={"cleaned": CLEANED_SQL, "idx": _IDX_SQL}))
+def prompt_batches(spark, sf_dir):
+    return G.prompt_batches(_contents(spark, sf_dir), "source", "doc_id", "cleaned_content", BATCH)
+
+
+def aligned(spark, sf_dir):
+    """Batches of one content (the reference's batch size) aligned with the model's JSON answers."""
+    batches = _contents(spark, sf_dir).select("doc_id", F.lit(0).cast("bigint").alias("pos"), "cleaned_content")
+    return G.align_batch_results(batches, fx.llm_text(spark, sf_dir).select("doc_id", "raw"), "doc_id",
+                                 "cleaned_content")
+
+
+_ALIGNED_SQL = (f"SELECT l.doc_id, CAST(0 AS BIGINT) AS pos, items[1].instruction AS instruction, "
+                f"c.cleaned_content AS content FROM (SELECT doc_id, {T.json_array_extract_sql('raw')} AS items "
+                f"FROM llm_text) l JOIN cleaned c ON c.doc_id = l.doc_id "
+                f"WHERE length(c.cleaned_content) > 0 AND coalesce(len(items), 0) = 1")
+
+
+@register("align_batch_results", "G3 T20", fx.with_views(
+    "SELECT doc_id, pos, instruction, content FROM aligned", "articles", "llm_text",
+    extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))
+def align_batch_results(spark, sf_dir):
+    return aligned(spark, sf_dir).select("doc_id", "pos", "instruction", "content")
+
+
+@register("train_val_split", "G4", fx.with_views(
+    f"SELECT doc_id, CASE WHEN {G.hash_bucket_sql('doc_id')} < {G.TRAIN_PERCENT} THEN 'train' ELSE 'validation' END "
+    f"AS split FROM aligned", "articles", "llm_text", extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))
+def train_val_split(spark, sf_dir):
+    return G.train_val_split(aligned(spark, sf_dir), "doc_id").select("doc_id", "split")
+
+
+def _ids_sql() -> str:
+    prompt = P.fill_sql(P.INSTRUCT_SAMPLE, instruction="instruction", content="content")
+    return f"list_concat([{G.BOS_ID}], {G.token_ids_sql(prompt)})"
+
+
+@register("tokenize_pad", "G5 P14 D14", fx.with_views(f"""
+SELECT doc_id, CAST(least(len(ids), {G.MAX_TOKENS}) AS INTEGER) AS n_real, CAST({G.MAX_TOKENS} AS INTEGER) AS n_ids,
+       CAST(list_sum(ids[1:{G.MAX_TOKENS}]) AS BIGINT) AS ids_sum
+FROM (SELECT doc_id, {_ids_sql()} AS ids FROM aligned)""", "articles", "llm_text",
+    extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))
+def tokenize_pad(spark, sf_dir):
+    t = G.tokenize_pad(aligned(spark, sf_dir).select("doc_id", "instruction", "content"))
+    return t.select("doc_id", "n_real", F.size("input_ids").alias("n_ids"),
+                    F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ids_sum"))
+
+
+@register("pack_by_budget", "G1", fx.with_views(f"""
+SELECT strftime(published_at, '%Y-%m-%d') AS published_at, CAST(floor(cb / {G.PACK_BUDGET}) AS BIGINT) AS pack_no,
+       count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens, min(doc_id) AS first_doc, max(doc_id) AS last_doc
+FROM (SELECT published_at, doc_id, n_tokens,
+             coalesce(sum(n_tokens) OVER (PARTITION BY published_at ORDER BY doc_id
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cb
+      FROM (SELECT published_at, doc_id, len({tokens_sql('content')}) AS n_tokens FROM articles))
+GROUP BY published_at, floor(cb / {G.PACK_BUDGET})""", "articles"))
+def pack_by_budget(spark, sf_dir):
+    a = fx.articles(spark, sf_dir).select(F.date_format("published_at", "yyyy-MM-dd").alias("published_at"), "doc_id",
+                                          F.size(tokens_of("content")).cast("bigint").alias("n_tokens"))
+    p = G.pack_by_budget(a, "published_at", "doc_id", "n_tokens")
+    return p.groupBy("published_at", "pack_no").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
