@@ -29,10 +29,11 @@ def insert_only(envelopes: DataFrame) -> DataFrame:
     return envelopes.where(F.col("operationType") == "insert")
 
 
-def flatten_change(envelopes: DataFrame) -> DataFrame:
+def flatten_change(envelopes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """fullDocument fields + entry_id (string of _id) + type (= collection); _id dropped."""
     doc_fields = [f.name for f in envelopes.schema["fullDocument"].dataType.fields if f.name != "_id"]
     return envelopes.select(
+        *keep,
         F.col("fullDocument._id").cast("string").alias("entry_id"),
         F.col("ns.coll").alias("type"),
         *[F.col(f"fullDocument.{f}").alias(f) for f in doc_fields],

@@ -1,17 +1,18 @@
 """Keyed tables with last-write-wins upsert (K1, K2, K3, K8, K12, U2), without a table format.
 
-Layout under a table path::
+Merge-on-read layout under a table path::
 
-    <path>/v=0/  <path>/v=1/ ...   full snapshots, each written by one Spark job
-    <path>/_CURRENT/               one-line text file naming the live version, written last
+    <path>/delta/b=<id>/   one folder per upserted batch (a stream's micro-batch id, or the next
+                           free id for batch jobs), already reduced to one row per key
+    <path>/base/v=<n>/     optional compacted snapshot
+    <path>/_CURRENT/       one line "n,max_b": live base version and the last batch folded into it
 
-A reader follows ``_CURRENT``; a crashed upsert leaves a half-written ``v=N`` that nobody reads,
-and a re-run writes ``v=N`` again (overwrite). Replaying a batch is harmless: the merge keeps one
-row per key, the one with the greatest ``seq`` (identical rows on a tie), so upserts are idempotent.
-
-The merge is ``groupBy(key).agg(max_by(struct(row), seq))``: a hash aggregate with a partial
-(map-side) step, so a key holding a third of all updates is reduced on every map task before the
-shuffle instead of being sorted in one task.
+An upsert writes only its own batch (cost O(batch), not O(table)) with ``mode=overwrite`` into
+``b=<id>``, so a replayed micro-batch rewrites the same folder: idempotent. A reader unions the base
+with the newer deltas and keeps, per key, the row with the greatest ``seq``:
+``groupBy(key).agg(max_by(struct(row), seq))`` - a hash aggregate with a partial (map-side) step,
+so a key holding a third of all updates is reduced on every map task before the shuffle.
+``compact`` folds the deltas into a new base (written fully before ``_CURRENT`` moves).
 
 One writer per table at a time (a stream's foreachBatch, or a batch job). Where a merge-capable
 table format is installed, ``MERGE INTO`` is the drop-in replacement.
@@ -38,18 +39,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    ptr = os.path.join(path, POINTER)
-    if not path_exists(spark, ptr):
-        return None
-    return int(spark.read.text(ptr).first()[0])
+def _delta_ids(spark: SparkSession, path: str) -> list[int]:
+    d = os.path.join(path, "delta")
+    if not path_exists(spark, d):
+        return []
+    fs, p = _fs(spark, d)
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("b=") and path_exists(spark, os.path.join(d, name, "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    v = current_version(spark, path)
-    if v is None:
+def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    ptr = os.path.join(path, POINTER)
+    if not path_exists(spark, ptr):
         return None
-    return spark.read.parquet(os.path.join(path, f"v={v}"))
+    v, b = spark.read.text(ptr).first()[0].split(",")
+    return int(v), int(b)
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], seq: str) -> DataFrame:
@@ -60,29 +68,50 @@ def latest_per_key(df: DataFrame, key: str | list[str], seq: str) -> DataFrame:
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def create_if_absent(spark: SparkSession, path: str, schema) -> None:
-    """K3/V8: create an empty version 0 on first use."""
-    if current_version(spark, path) is None:
-        _commit(spark, path, spark.createDataFrame([], schema), 0)
-
-
-def _commit(spark: SparkSession, path: str, df: DataFrame, version: int) -> None:
-    df.write.mode("overwrite").parquet(os.path.join(path, f"v={version}"))
-    spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.mode("overwrite").text(
+def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str], seq: str,
+           batch_id: int | None = None) -> int:
+    """K1/K2: merge ``batch`` into the table (last write wins by ``seq``). Returns the batch id."""
+    if batch_id is None:
+        ids = _delta_ids(spark, path)
+        ptr = _pointer(spark, path)
+        batch_id = max(ids + [ptr[1] if ptr else -1]) + 1
+    latest_per_key(batch, key, seq).write.mode("overwrite").parquet(os.path.join(path, "delta", f"b={batch_id}"))
+    return batch_id
+
+
+def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str) -> DataFrame | None:
+    """The live table: base plus newer deltas, one row per key."""
+    ptr = _pointer(spark, path)
+    base_max = ptr[1] if ptr else -1
+    ids = [i for i in _delta_ids(spark, path) if i > base_max]
+    parts = []
+    if ptr:
+        parts.append(spark.read.parquet(os.path.join(path, "base", f"v={ptr[0]}")))
+    if ids:
+        d = os.path.join(path, "delta")
+        parts.append(spark.read.option("basePath", d).parquet(*[os.path.join(d, f"b={i}") for i in ids]).drop("b"))
+    if not parts:
+        return None
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return latest_per_key(u, key, seq)
+
+
+def compact(spark: SparkSession, path: str, key: str | list[str], seq: str) -> None:
+    """Fold all deltas into a new base snapshot; ``_CURRENT`` moves only after it is written."""
+    ids = _delta_ids(spark, path)
+    ptr = _pointer(spark, path)
+    merged = read_keyed(spark, path, key, seq)
+    if merged is None:
+        return
+    v = 0 if ptr is None else ptr[0] + 1
+    max_b = max(ids + [ptr[1] if ptr else -1])
+    merged.write.mode("overwrite").parquet(os.path.join(path, "base", f"v={v}"))
+    spark.createDataFrame([(f"{v},{max_b}",)], "value string").coalesce(1).write.mode("overwrite").text(
         os.path.join(path, POINTER))
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str], seq: str) -> int:
-    """K1/K2: merge ``batch`` into the table at ``path`` (last write wins by ``seq``). Returns the
-    new version number."""
-    cur_v = current_version(spark, path)
-    cur = None if cur_v is None else spark.read.parquet(os.path.join(path, f"v={cur_v}"))
-    merged = batch if cur is None else cur.unionByName(batch.select(*cur.columns))
-    new_v = 0 if cur_v is None else cur_v + 1
-    _commit(spark, path, latest_per_key(merged, key, seq), new_v)
-    return new_v
-
-
 def get_or_create(existing: DataFrame, requests: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
     """K8 in batch form: for each distinct request key, the existing id (the least one when the table
     holds several) or a new deterministic id (md5 of the key); ``created`` tells which."""

@@ -23,10 +23,12 @@ from inkstream.sources import fixtures as fx
 def upsert_cleaned(spark, sf_dir):
     path = fresh_path(spark, "keyed-versions")
     v = fx.versions(spark, sf_dir)
-    K.upsert(spark, path, v.where(F.col("seq") % 2 == 0), "key", "seq")
-    K.upsert(spark, path, v.where(F.col("seq") % 2 == 1), "key", "seq")
-    K.upsert(spark, path, v.where(F.col("seq") % 2 == 1), "key", "seq")  # replay: no change
-    return K.read_keyed(spark, path).select("key", "seq", "source", "value")
+    K.upsert(spark, path, v.where(F.col("seq") % 3 == 0), "key", "seq")
+    K.compact(spark, path, "key", "seq")
+    b = K.upsert(spark, path, v.where(F.col("seq") % 3 == 1), "key", "seq")
+    K.upsert(spark, path, v.where(F.col("seq") % 3 == 1), "key", "seq", batch_id=b)  # replay: no change
+    K.upsert(spark, path, v.where(F.col("seq") % 3 == 2), "key", "seq")
+    return K.read_keyed(spark, path, "key", "seq").select("key", "seq", "source", "value")
 
 
 @register("upsert_chunks", "K2 U2 P6", fx.with_views(
@@ -39,7 +41,7 @@ def upsert_chunks(spark, sf_dir):
     cols = ["chunk_id", "entry_id", "title", "published_at", F.col("chunk_content").alias("content")]
     K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", "entry_id")
     K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", "entry_id")
-    return K.read_keyed(spark, path).select("chunk_id", "entry_id", "title")
+    return K.read_keyed(spark, path, "chunk_id", "entry_id").select("chunk_id", "entry_id", "title")
 
 
 @register("scan_cleaned", "S4 S7 P10 D9", fx.with_views(
@@ -49,7 +51,7 @@ def scan_cleaned(spark, sf_dir):
     path = fresh_path(spark, "cleaned-articles")
     K.upsert(spark, path, cleaned_articles(spark, sf_dir).drop("doc_id"), "entry_id", "entry_id")
     # Full scan, no silent cap; only the two needed columns are read from the snapshot.
-    t = K.read_keyed(spark, path)
+    t = K.read_keyed(spark, path, "entry_id", "entry_id")
     return t.select("entry_id", "cleaned_content").where(F.length("cleaned_content") > 0)
 
 
