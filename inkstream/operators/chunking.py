@@ -91,8 +91,10 @@ def tokens_of(text) -> Column:
     return F.filter(F.split(_c(text), TOKEN_SPLIT), lambda t: t != "")
 
 
-def token_windows(text, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
-    toks = tokens_of(text)
+def windows_of_tokens(toks: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
+    """Windows over an already split token array. ``toks`` should be a column or a lambda variable:
+    Spark re-evaluates expressions captured by a lambda for every element, so never pass the
+    splitting expression itself."""
     k = window_count(F.size(toks), size, overlap)
     stride = size - overlap
     wins = F.transform(F.sequence(F.lit(0), k - 1),
@@ -100,6 +102,12 @@ def token_windows(text, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP
     return F.when(k > 0, wins).otherwise(F.array().cast("array<string>"))
 
 
+def token_windows(text, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
+    # split once, bind the result to a lambda variable, then cut windows from it
+    return F.element_at(F.transform(F.array(tokens_of(text)),
+                                    lambda toks: windows_of_tokens(toks, size, overlap)), 1)
+
+
 def tokens_sql(e: str) -> str:
     return f"list_filter(regexp_split_to_array({e}, {_q(TOKEN_SPLIT)}), lambda t: t <> '')"
 
@@ -116,7 +124,8 @@ def token_windows_sql(e: str, size: int = WINDOW_TOKENS, overlap: int = WINDOW_O
 
 # ----------------------------------------------------------------------------- A3, A4
 def chunk_text(text) -> Column:
-    return F.flatten(F.transform(section_split(text), lambda s: token_windows(s)))
+    per_section_tokens = F.transform(section_split(text), lambda s: tokens_of(s))
+    return F.flatten(F.transform(per_section_tokens, lambda toks: windows_of_tokens(toks)))
 
 
 def chunk_rows(cleaned: DataFrame, text_col: str = "cleaned_content",

@@ -64,7 +64,12 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     shared_dir(spark)  # make sure a reliable checkpoint folder is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
-    s = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
+    payload = [c for c in df.columns if c not in keys]
+    # Only the key columns travel through the sort, Python and the checkpoint; the payload is
+    # joined back at the end on (group, order), which is unique.
+    cols = [*keys, value_col] if value_col else keys
+    s = df.select(*cols).repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
+        .withColumn("_pid", F.spark_partition_id())
     out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()),
                                                  T.StructField("_lcum", T.DoubleType())])
     local = s.mapInPandas(_local_runs(group_cols, value_col), out_schema).checkpoint(eager=True)
@@ -77,4 +82,8 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     j = j.withColumn("idx", (F.col("_off_n") + F.col("_lpos")).cast("bigint"))
     if value_col:
         j = j.withColumn("cum_before", F.col("_off_v") + F.col("_lcum"))
-    return j.drop("_pid", "_lpos", "_lcum", "_off_n", "_off_v")
+    j = j.drop("_pid", "_lpos", "_lcum", "_off_n", "_off_v")
+    rest = [c for c in payload if c != value_col]
+    if not rest:
+        return j
+    return j.join(df.select(*keys, *rest), keys)

@@ -1,10 +1,10 @@
 """Vector search, merge, rerank (V2..V8, A5, T25, P16, P17).
 
 Plan shape (exact search): the corpus is scanned once; the query table is small and is broadcast
-after a size check, so every corpus row is scored against every query vector in place (the work of
-exact search is |corpus| x |queries| by definition). Per-query top-k uses ``row_number() <= k``,
-which Spark plans as a partial ``WindowGroupLimit`` on each map task before the shuffle, so only
-k rows per query and task cross the network, however large the corpus or hot a query.
+as a matrix after a size check, so every corpus row is scored against every query vector in place
+(the work of exact search is |corpus| x |queries| by definition) with one numpy matrix product per
+Arrow batch. Each batch emits only its top-k per query, so only k rows per query and batch reach
+the shuffle of the final ``row_number() <= k``, however large the corpus or hot a query.
 Scores are rounded to 9 decimals before ranking so mathematically equal cosines tie exactly, and
 ties break on the corpus id.
 
@@ -55,26 +55,89 @@ def _query_blocks(queries: DataFrame, keys: list[str], max_queries: int) -> list
     return [queries.where(h == b) for b in range(blocks)]
 
 
+def _block_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols, k: int, out_schema):
+    """Per Arrow batch of corpus rows: cosine of every (query, row) pair by one matrix product,
+    rounded, and only the rows at or above each query's k-th best score are emitted (ties at the
+    cut kept, so the final per-query ranking stays exact)."""
+    import pyarrow as pa
+
+    def fn(batches):
+        qkeys, qmat = bq.value
+        qn = np.sqrt((qmat * qmat).sum(axis=1))
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0 or len(qmat) == 0:
+                continue
+            vec = rb.column(corpus_vec)
+            lens = np.asarray(vec.value_lengths().fill_null(0))
+            ok = lens == qmat.shape[1]
+            if not ok.any():
+                continue
+            rows = np.nonzero(ok)[0]
+            cm = np.asarray(vec.take(pa.array(rows)).flatten(), dtype=np.float64).reshape(len(rows), qmat.shape[1])
+            cn = np.sqrt((cm * cm).sum(axis=1))
+            good = cn > 0
+            rows, cm, cn = rows[good], cm[good], cn[good]
+            if len(rows) == 0:
+                continue
+            out_q, out_r, out_s = [], [], []
+            for q0 in range(0, len(qmat), 512):
+                sc = np.round((qmat[q0:q0 + 512] @ cm.T) / np.outer(qn[q0:q0 + 512], cn), SCORE_DECIMALS)
+                kk = min(k, sc.shape[1])
+                cut = -np.partition(-sc, kk - 1, axis=1)[:, kk - 1]
+                qi, ri = np.nonzero(sc >= cut[:, None])
+                out_q.append(qi + q0)
+                out_r.append(ri)
+                out_s.append(sc[qi, ri])
+            qi, ri, scv = np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_s)
+            cols = {}
+            for j, f in enumerate(key_fields):
+                cols[f.name] = pa.array([qkeys[i][j] for i in qi], type=out_schema.field(f.name).type)
+            take = pa.array(rows[ri])
+            cols[corpus_id] = rb.column(corpus_id).take(take)
+            cols["score"] = pa.array(scv, type=pa.float64())
+            for c in corpus_cols:
+                cols[c] = rb.column(c).take(take)
+            yield pa.RecordBatch.from_arrays([cols[f.name] for f in out_schema], schema=out_schema)
+    return fn
+
+
 def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str,
                 query_keys: list[str], query_vec: str, corpus_cols: tuple[str, ...] = (),
                 predicate: Column | None = None, max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
     """Exact cosine top-k per query (V2/V3, with P16/P17 predicates applied to the corpus first).
 
-    Returns query_keys..., rank, corpus_id, score, corpus_cols...
+    The query side is small and size-checked (``max_queries`` rows per block); each block is
+    broadcast once as a matrix and every corpus partition scores its rows against it with one
+    matrix product per Arrow batch, keeping only each batch's top-k per query. The per-query
+    ``row_number() <= k`` over those survivors is then tiny. Returns
+    query_keys..., rank, corpus_id, score, corpus_cols...
     """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     if k < 1:
         raise ValueError("k must be >= 1")
+    spark = corpus.sparkSession
     if predicate is not None:
         corpus = corpus.where(predicate)
-    c = corpus.select(corpus_id, *corpus_cols, F.col(corpus_vec).alias("_dv"), norm(corpus_vec).alias("_dn")) \
-        .where(F.col("_dn") > 0)
-    q = queries.select(*query_keys, F.col(query_vec).alias("_qv"), norm(query_vec).alias("_qn")) \
-        .where(F.col("_qn") > 0)
+    c = corpus.select(corpus_id, corpus_vec, *corpus_cols)
+    key_fields = [queries.schema[q] for q in query_keys]
+    out_struct = T.StructType([*key_fields, corpus.schema[corpus_id], T.StructField("score", T.DoubleType()),
+                               *[corpus.schema[x] for x in corpus_cols]])
+    out_arrow = to_arrow_schema(out_struct)
     w = Window.partitionBy(*query_keys).orderBy(F.col("score").desc(), F.col(corpus_id).asc())
     parts = []
-    for block in _query_blocks(q, query_keys, max_queries):
-        scored = c.crossJoin(F.broadcast(block)).select(
-            *query_keys, corpus_id, *corpus_cols, cosine_score("_qv", "_qn", "_dv", "_dn").alias("score"))
+    for block in _query_blocks(queries.select(*query_keys, query_vec), query_keys, max_queries):
+        rows = block.collect()  # bounded by the size check above
+        qkeys = [tuple(r[q] for q in query_keys) for r in rows if r[query_vec] is not None]
+        vecs = [np.asarray(r[query_vec], dtype=np.float64) for r in rows if r[query_vec] is not None]
+        dim = len(vecs[0]) if vecs else 0
+        keep = [i for i, v in enumerate(vecs) if len(v) == dim and np.any(v)]
+        qmat = np.vstack([vecs[i] for i in keep]) if keep else np.zeros((0, dim))
+        bq = spark.sparkContext.broadcast(([qkeys[i] for i in keep], qmat))
+        scored = c.mapInArrow(_block_topk_fn(bq, key_fields, corpus_id, corpus_vec, corpus_cols, k, out_arrow),
+                              out_struct)
         parts.append(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
     out = parts[0]
     for p in parts[1:]:
