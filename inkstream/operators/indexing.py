@@ -10,8 +10,10 @@ task, so a group holding a third of all rows becomes one straggler. Here instead
 3. per (partition, group) totals form a table of at most partitions + groups rows; cumulative
    offsets over it (tiny window) are joined back.
 
-Step 2's output is checkpointed to the shared folder so both consumers of it see the same rows
-(range bounds come from sampling and must not be recomputed differently).
+The key columns are first written as a table in the shared folder (so the range-bound sampling
+pass reads a narrow table, not the whole input again), and step 2's output is written too, so both
+consumers of it see the same rows (range bounds come from sampling and must not be recomputed
+differently).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkstream.session import shared_dir
+from inkstream.session import materialize
 
 
 def _local_runs(group_cols: list[str], value_col: str | None):
@@ -61,18 +63,17 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
 
     ``order_cols`` must make the order total (end with a unique key)."""
     spark = df.sparkSession
-    shared_dir(spark)  # make sure a reliable checkpoint folder is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     payload = [c for c in df.columns if c not in keys]
     # Only the key columns travel through the sort, Python and the checkpoint; the payload is
     # joined back at the end on (group, order), which is unique.
     cols = [*keys, value_col] if value_col else keys
-    s = df.select(*cols).repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
-        .withColumn("_pid", F.spark_partition_id())
+    narrow = materialize(df.select(*cols), "index-keys")
+    s = narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()),
                                                  T.StructField("_lcum", T.DoubleType())])
-    local = s.mapInPandas(_local_runs(group_cols, value_col), out_schema).checkpoint(eager=True)
+    local = materialize(s.mapInPandas(_local_runs(group_cols, value_col), out_schema), "index-runs")
     tot = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
                                                  F.sum(value_col if value_col else F.lit(0.0)).alias("_v"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

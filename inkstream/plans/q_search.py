@@ -13,7 +13,7 @@ from inkstream.plans.q_chunks import article_chunks, chunks_sql_ctes
 from inkstream.plans.q_text import _questions_sql, questions
 from inkstream.plans.registry import register
 from inkstream.sources import fixtures as fx
-from inkstream.session import shared_dir
+from inkstream.session import materialize
 from inkstream.sources.tables import read_table
 
 TOP_K = 10            # hits per question; each variant contributes k // 3
@@ -201,10 +201,9 @@ def search_with_date_filter(spark, sf_dir):
 def reranked(spark, sf_dir):
     hits = text_hits(spark, sf_dir)
     merged = S.merge_dedup_topk(hits, "item_id", "chunk_id", MERGED_TOP, carry=("chunk_content",))
-    # The candidate set (<= 5 rows per question) feeds several branches of the rerank; cut the
-    # lineage once (reliable checkpoint in the shared folder) instead of re-running the search per branch.
-    shared_dir(spark)
-    merged = merged.checkpoint(eager=True)
+    # The candidate set (<= 5 rows per question) feeds several branches of the rerank; write it once
+    # to the shared folder instead of re-running the search per branch.
+    merged = materialize(merged, "rerank-candidates")
     return S.bm25_rerank(merged, questions(spark, sf_dir), "item_id", "chunk_id", "chunk_content", "question",
                          KEEP_TOP_K), merged
 

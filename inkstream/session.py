@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sessions we build ourselves (tests, bench). On a cluster the caller owns the session.
 DEFAULT_CONF = {
@@ -55,3 +55,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     root = shared_dir(spark)
     path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in the shared folder and reading it back.
+
+    One pass over the input (``Dataset.checkpoint`` computes its input twice unless persisted),
+    survives executor loss (the files are on shared storage), and the read-back has exact size
+    statistics for the planner."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
