@@ -1,59 +1,20 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare like the driver does.
 
     python tools/oracle_check.py [--sf /root/testdata/sf0.01] [key ...]
-
-Compares column names, row count and the sorted multiset of rows (floats rounded to 6 places).
 """
 
 from __future__ import annotations
 
 import argparse
-import datetime as dt
-import math
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
+from inkstream.plans.oracle import compare, duck_connect  # noqa: E402
 from inkstream.plans.registry import load_all  # noqa: E402
 from inkstream.session import build_session  # noqa: E402
-from inkstream.sources.tables import TABLES, table_path  # noqa: E402
-
-
-def norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6)
-    if isinstance(v, (list, tuple)):
-        return tuple(norm(x) for x in v)
-    if hasattr(v, "tolist"):
-        return norm(v.tolist())
-    if isinstance(v, dict):
-        return tuple(sorted((k, norm(x)) for k, x in v.items()))
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat()
-    return v
-
-
-def rows_of(cols, records):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [tuple(norm(r[i]) for i in order) for r in records]
-    return sorted(out, key=lambda t: repr(t))
-
-
-def duck(sf_dir):
-    con = duckdb.connect()
-    for t in TABLES:
-        p = table_path(sf_dir, t)
-        if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    return con
 
 
 def main():
@@ -64,49 +25,22 @@ def main():
     reg = load_all()
     keys = a.keys or sorted(reg)
     spark = build_session()
-    con = duck(a.sf)
+    con = duck_connect(a.sf)
     bad = 0
     for k in keys:
         e = reg[k]
         t0 = time.time()
         try:
             sdf = e.build(spark, a.sf)
-            scols = sdf.columns
-            srows = [tuple(r) for r in sdf.collect()]
-        except Exception as ex:  # noqa: BLE001
-            print(f"FAIL {k}: spark error {type(ex).__name__}: {str(ex)[:400]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if e.sql is None:
-            print(f"ROWS {k}: {len(srows)} rows spark={ts:.2f}s (no oracle)")
-            continue
-        try:
-            rel = con.execute(e.sql)
-            dcols = [d[0] for d in rel.description]
-            drows = rel.fetchall()
+            if e.sql is None:
+                n = sdf.count()
+                print(f"ROWS {k}: {n} rows spark={time.time() - t0:.2f}s (no oracle)")
+                continue
+            ok, msg = compare(sdf, con, e.sql)
         except Exception as ex:  # noqa: BLE001
-            print(f"FAIL {k}: duckdb error {str(ex)[:400]}")
-            bad += 1
-            continue
-        if sorted(scols) != sorted(dcols):
-            print(f"FAIL {k}: columns spark={scols} duck={dcols}")
-            bad += 1
-            continue
-        sr, dr = rows_of(scols, srows), rows_of(dcols, drows)
-        if sr == dr:
-            print(f"OK   {k}: {len(sr)} rows spark={ts:.2f}s")
-        else:
-            bad += 1
-            print(f"FAIL {k}: rows spark={len(sr)} duck={len(dr)}")
-            sset, dset = set(sr), set(dr)
-            only_s = [r for r in sr if r not in dset][:2]
-            only_d = [r for r in dr if r not in sset][:2]
-            print(f"     cols(sorted)={sorted(scols)}")
-            for r in only_s:
-                print("     spark-only:", repr(r)[:600])
-            for r in only_d:
-                print("     duck-only: ", repr(r)[:600])
+            ok, msg = False, f"error {type(ex).__name__}: {str(ex)[:400]}"
+        bad += not ok
+        print(f"{'OK  ' if ok else 'FAIL'} {k}: {msg} ({time.time() - t0:.2f}s)")
     print(f"{len(keys) - bad}/{len(keys)} ok")
     spark.stop()
 
