@@ -1,9 +1,10 @@
 """Embedding (V1, V9).
 
 Default embedder: signed feature hashing of lower-cased word tokens into ``dim`` buckets,
-L2-normalised (deterministic, no model files). Token hashing is a native expression
-(``md5``), so only the dense scatter runs in Python, as an Arrow-batched pandas UDF that works on
-the whole batch with numpy (no per-row Python loop).
+L2-normalised (deterministic, no model files). Words are split natively; one Arrow-batched pandas
+UDF then hashes the tokens (md5, memoised per batch - token frequencies are Zipfian) and scatters
+them into dense vectors with numpy. Bucket = first 4 bytes of md5 (big-endian) mod dim, sign = +1
+when the 5th byte is below 0x80: the same definition as the SQL twins below.
 
 A user model plugs in through ``model_embedder``: an iterator pandas UDF that loads the model once
 per Python worker and encodes batches; a failed batch yields empty vectors (V9) instead of killing
@@ -38,14 +39,6 @@ def words_sql(e: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({e}), {_q(WORD_SPLIT)}), lambda t: t <> '')"
 
 
-def token_code(t: Column, dim: int) -> Column:
-    """(bucket + 1) * sign, bucket from the first 8 hex digits of md5, sign from the 9th."""
-    h = F.md5(t)
-    bucket = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % dim
-    sign = F.when(F.substring(h, 9, 1) < F.lit("8"), F.lit(1)).otherwise(F.lit(-1))
-    return ((bucket + 1) * sign).cast("int")
-
-
 def token_bucket_sql(t: str, dim: int) -> str:
     return f"(('0x' || substr(md5({t}), 1, 8))::BIGINT % {dim})"
 
@@ -55,15 +48,28 @@ def token_sign_sql(t: str) -> str:
 
 
 def _make_scatter(dim: int):
+    import hashlib
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def scatter(codes: pd.Series) -> pd.Series:
-        n = len(codes)
-        lens = np.fromiter((0 if c is None else len(c) for c in codes), dtype=np.int64, count=n)
+    def scatter(tokens: pd.Series) -> pd.Series:
+        n = len(tokens)
+        memo: dict[str, int] = {}
+        rows, codes = [], []
+        for i, toks in enumerate(tokens):
+            if toks is None:
+                continue
+            for t in toks:
+                c = memo.get(t)
+                if c is None:
+                    d = hashlib.md5(t.encode("utf-8")).digest()
+                    c = (int.from_bytes(d[:4], "big") % dim + 1) * (1 if d[4] < 0x80 else -1)
+                    memo[t] = c
+                codes.append(c)
+            rows.append(np.full(len(toks), i, dtype=np.int64))
         mat = np.zeros((n, dim), dtype=np.float64)
-        if lens.sum() > 0:
-            flat = np.concatenate([np.asarray(c, dtype=np.int64) for c in codes if c is not None and len(c)])
-            rows = np.repeat(np.arange(n), lens)
-            np.add.at(mat, (rows, np.abs(flat) - 1), np.sign(flat).astype(np.float64))
+        if codes:
+            flat = np.asarray(codes, dtype=np.int64)
+            np.add.at(mat, (np.concatenate(rows), np.abs(flat) - 1), np.sign(flat).astype(np.float64))
         norm = np.sqrt((mat * mat).sum(axis=1))
         nz = norm > 0
         mat[nz] = mat[nz] / norm[nz, None]
@@ -78,8 +84,7 @@ def hash_embed(text, dim: int = EMBED_DIM) -> Column:
     """V1 default: text -> L2-normalised signed hashed bag of words, ARRAY<DOUBLE>(dim)."""
     if dim not in _SCATTERS:
         _SCATTERS[dim] = _make_scatter(dim)
-    codes = F.transform(words(text), lambda t: token_code(t, dim))
-    return _SCATTERS[dim](codes)
+    return _SCATTERS[dim](words(text))
 
 
 def model_embedder(load_model: Callable[[], Callable[[list[str]], np.ndarray]], dim: int):

@@ -52,7 +52,7 @@ def chunks_sql_ctes() -> dict:
     }
 
 
-@register("clean_articles", "P4 D6", fx.with_views(
+@register("clean_articles", "P4 P5 D6", fx.with_views(
     "SELECT entry_id, source, title, cleaned_content, summary, published_at, type FROM cleaned",
     "articles", extra={"cleaned": CLEANED_SQL}))
 def clean_articles(spark, sf_dir):

@@ -64,3 +64,23 @@ def test_hash_embedding_is_unit_norm(spark):
     from inkstream.operators.embedding import hash_embed
     v = spark.createDataFrame([("the cat sat on the mat",)], "t string").select(hash_embed("t", 64)).first()[0]
     assert len(v) == 64 and abs(np.linalg.norm(v) - 1.0) < 1e-9
+
+
+def test_model_hook_loads_once_and_failure_gives_empty_vectors(spark):
+    import numpy as np
+
+    from inkstream.operators.embedding import model_embedder
+
+    def ok_model():
+        return lambda texts: np.ones((len(texts), 4))
+
+    def broken_model():
+        def encode(texts):
+            raise RuntimeError("model failure")
+        return encode
+
+    df = spark.createDataFrame([("a",), ("b",)], "t string")
+    good = df.select(model_embedder(ok_model, 4)("t").alias("v")).collect()
+    bad = df.select(model_embedder(broken_model, 4)("t").alias("v")).collect()
+    assert [list(r.v) for r in good] == [[1.0] * 4] * 2
+    assert [list(r.v) for r in bad] == [[], []]
