@@ -63,9 +63,11 @@ def term_weights(docs: DataFrame, day_col: str, text_col: str) -> DataFrame:
     """TF-IDF per (day, term): tf = occurrences that day, idf = ln(days / days containing term)."""
     terms = docs.select(day_col, F.explode(words(text_col)).alias("term")).where(F.length("term") >= MIN_TERM_CHARS)
     tf = terms.groupBy(day_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Document frequency = rows of the (day, term) table per term: a window over term, whose groups
+    # hold at most one row per day (bounded, even for the most common word), instead of a second
+    # aggregate + join that would tokenize the corpus again.
+    w = tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("term")))
     n_days = docs.agg(F.countDistinct(day_col)).first()[0]  # one scalar, computed once
-    w = tf.join(dfreq, "term")
     return w.select(day_col, "term", "tf", (F.col("tf") * F.log(F.lit(float(n_days)) / F.col("df"))).alias("weight"))
 
 
