@@ -36,7 +36,7 @@ def publish_messages(df: DataFrame, queue_dir: str, files: int = 8) -> None:
     df.select(*[c for c in df.columns]).repartition(files).write.mode("append").json(queue_dir)
 
 
-def queue_source(spark: SparkSession, queue_dir: str, max_files_per_trigger: int = 4) -> DataFrame:
+def queue_source(spark: SparkSession, queue_dir: str, max_files_per_trigger: int = 64) -> DataFrame:
     """The queue as a stream of decoded messages (explicit schema, bounded micro-batches)."""
     return (spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
             .json(queue_dir))
@@ -77,7 +77,7 @@ def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, em
 
 
 def feature_flow(spark: SparkSession, queue_dir: str, cleaned_path: str, vector_path: str, quarantine_path: str,
-                 checkpoint: str, embed_dim: int = 384, max_files_per_trigger: int = 4, console: bool = False):
+                 checkpoint: str, embed_dim: int = 384, max_files_per_trigger: int = 64, console: bool = False):
     """One streaming query feeding both keyed tables and the quarantine (K5: ``console`` adds
     a debug console sink of the cleaned stream)."""
     src = queue_source(spark, queue_dir, max_files_per_trigger)
