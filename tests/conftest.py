@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,10 +12,9 @@ SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    # Tests own their session, so they set the shared folder themselves (it is unset here).
-    ckpt = tempfile.mkdtemp(prefix="inkstream-test-")
-    s = build_session(master="local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt,
-                                                                      "spark.driver.memory": "4g"})
+    # The shared folder comes from the session's spark.checkpoint.dir; inkstream.session.shared_dir
+    # creates a scratch one only when the environment leaves it unset.
+    s = build_session(master="local[4]", shuffle_partitions=8, extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 
