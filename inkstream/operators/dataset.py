@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkstream.functions import prompts as P
-from inkstream.functions.text import PROMPT_MAX_CHARS, _q, json_array_extract
+from inkstream.functions.text import PROMPT_MAX_CHARS, json_array_extract
 from inkstream.operators.chunking import tokens_of
 from inkstream.operators.indexing import index_within
 

@@ -5,8 +5,9 @@ task, so a group holding a third of all rows becomes one straggler. Here instead
 
 1. range-partition on (group, order) and sort within partitions: a hot group is spread over many
    consecutive partitions, each holding a sorted run;
-2. per partition, a pandas pass (Arrow batches, numpy cumsum) gives each row its position and
-   running sum inside its run;
+2. per partition, each row's position inside its run comes from ``monotonically_increasing_id()``
+   evaluated right after the sort (its low 33 bits count rows within the partition); running sums,
+   when asked for, come from a vectorised pandas pass (Arrow batches, numpy cumsum);
 3. per (partition, group) totals form a table of at most partitions + groups rows; cumulative
    offsets over it (tiny window) are joined back.
 
@@ -71,9 +72,16 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     cols = [*keys, value_col] if value_col else keys
     narrow = materialize(df.select(*cols), "index-keys")
     s = narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
-    out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()),
-                                                 T.StructField("_lcum", T.DoubleType())])
-    local = materialize(s.mapInPandas(_local_runs(group_cols, value_col), out_schema), "index-runs")
+    if value_col:
+        out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()),
+                                                     T.StructField("_lcum", T.DoubleType())])
+        local = materialize(s.mapInPandas(_local_runs(group_cols, value_col), out_schema), "index-runs")
+    else:
+        row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        local = materialize(s.withColumn("_row", row_in_part), "index-runs")
+        first = local.groupBy("_pid", *group_cols).agg(F.min("_row").alias("_first"))
+        local = local.join(first, ["_pid", *group_cols]).select(
+            *cols, "_pid", (F.col("_row") - F.col("_first")).alias("_lpos"), F.lit(0.0).alias("_lcum"))
     tot = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
                                                  F.sum(value_col if value_col else F.lit(0.0)).alias("_v"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkstream.functions import text as T
-from inkstream.functions.dates import parse_date_sql
 from inkstream.operators import records as R
 from inkstream.plans.registry import register
 from inkstream.sources import fixtures as fx

@@ -7,8 +7,6 @@ folder, waits for them, and returns what the sinks hold; the oracle is the equiv
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from inkstream.operators import tables as K

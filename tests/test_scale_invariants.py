@@ -20,6 +20,10 @@ def test_index_within_equals_row_number_with_a_hot_group(spark):
                      F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("cb"))
     diff = got.join(want, ["g", "o"]).where((F.col("idx") != F.col("want_idx")) | (F.col("cum_before") != F.col("cb")))
     assert got.count() == 3000 and diff.count() == 0
+    # positions only (native path, no Python pass), payload joined back
+    pos = index_within(df, ["g"], ["o"], num_partitions=8)
+    bad = pos.join(want, ["g", "o"]).where(F.col("idx") != F.col("want_idx"))
+    assert pos.count() == 3000 and bad.count() == 0 and "v" in pos.columns
 
 
 def test_upsert_last_write_wins_replay_and_compaction(spark):
