@@ -53,7 +53,7 @@ def change_capture(spark: SparkSession, envelope_dir: str, queue_dir: str, check
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, embed_dim: int):
+def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, embed_dim: int, compact_every: int):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         checked = R.validate(R.dispatch(batch).withColumnRenamed("reason", "type_reason"), as_of="1970-01-01")
@@ -71,19 +71,27 @@ def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, em
                                     F.col("chunk_content").alias("content"),
                                     hash_embed("chunk_content", embed_dim).alias("embedded_content"))
             K.upsert(spark, vector_path, vectors, "chunk_id", "entry_id", batch_id=batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                # keep reads O(table), not O(table + all deltas); a replay of an already folded
+                # batch is skipped by the pointer, so this stays idempotent
+                K.compact(spark, cleaned_path, "entry_id", "seq")
+                K.compact(spark, vector_path, "chunk_id", "entry_id")
         finally:
             checked.unpersist()
     return run
 
 
 def feature_flow(spark: SparkSession, queue_dir: str, cleaned_path: str, vector_path: str, quarantine_path: str,
-                 checkpoint: str, embed_dim: int = 384, max_files_per_trigger: int = 64, console: bool = False):
+                 checkpoint: str, embed_dim: int = 384, max_files_per_trigger: int = 64, console: bool = False,
+                 compact_every: int = 32):
     """One streaming query feeding both keyed tables and the quarantine (K5: ``console`` adds
-    a debug console sink of the cleaned stream)."""
+    a debug console sink of the cleaned stream). Every ``compact_every`` micro-batches the deltas are
+    folded into a new base snapshot."""
     src = queue_source(spark, queue_dir, max_files_per_trigger)
     if console:
         src.writeStream.format("console").option("truncate", "false").trigger(availableNow=True).start()
-    return (src.writeStream.foreachBatch(_feature_batch(cleaned_path, vector_path, quarantine_path, embed_dim))
+    return (src.writeStream.foreachBatch(_feature_batch(cleaned_path, vector_path, quarantine_path, embed_dim,
+                                                        compact_every))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

@@ -88,3 +88,21 @@ def test_model_hook_loads_once_and_failure_gives_empty_vectors(spark):
     bad = df.select(model_embedder(broken_model, 4)("t").alias("v")).collect()
     assert [list(r.v) for r in good] == [[1.0] * 4] * 2
     assert [list(r.v) for r in bad] == [[], []]
+
+
+def test_stream_with_compaction_equals_batch(spark, sf_dir):
+    from inkstream.plans import q_stream as Q
+    from inkstream.plans.oracle import compare, duck_connect
+    from inkstream.plans.registry import load_all
+    from inkstream.streaming import flow as ST
+
+    env = Q._landing_envelopes(spark, sf_dir)
+    queue = fresh_path(spark, "t-queue")
+    ST.change_capture(spark, env, queue, fresh_path(spark, "t-ck-cdc")).awaitTermination()
+    c, v, qz = (fresh_path(spark, n) for n in ("t-clean", "t-vec", "t-quar"))
+    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t-ck-feat"), max_files_per_trigger=2,
+                    compact_every=1).awaitTermination()
+    assert K._pointer(spark, c) is not None  # compaction ran
+    got = K.read_keyed(spark, v, "chunk_id", "entry_id").select("chunk_id", "entry_id", "title", "published_at")
+    ok, msg = compare(got, duck_connect(sf_dir), load_all()["stream_feature_flow"].sql)
+    assert ok, msg
