@@ -108,12 +108,16 @@ def date_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    return e.where(F.col("vec_id") < 15).select(
-        (F.col("vec_id") % 5).alias("query_id"),
-        F.floor(F.col("vec_id") / 5).cast("int").alias("variant_no"),
-        F.col("embedding").alias("q"),
-    )
+    """Query vectors derived from the whole `embeddings` table: for each label (the query) three
+    variants, the centroids of its vectors split by vec_id % 3. A hash aggregate with a partial
+    step per (label, variant, dimension), so a label holding a third of the vectors is reduced map-side."""
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    dims = e.select("label", (F.col("vec_id") % 3).cast("int").alias("variant_no"),
+                    F.posexplode("embedding").alias("d", "x"))
+    cent = dims.groupBy("label", "variant_no", "d").agg(F.avg(F.col("x").cast("double")).alias("v"))
+    vecs = cent.groupBy("label", "variant_no").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("dv"))
+    return vecs.select(F.col("label").alias("query_id"), "variant_no",
+                       F.transform("dv", lambda t: t["v"]).alias("q"))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,8 +198,12 @@ SELECT doc_id,
                               WHEN 3 THEN ' weeks' ELSE ' months' END) AS raw_delta
 FROM documents""",
     "queries_v": r"""
-SELECT vec_id % 5 AS query_id, CAST(floor(vec_id / 5) AS INT) AS variant_no, embedding AS q
-FROM embeddings WHERE vec_id < 15""",
+SELECT label AS query_id, variant_no, list(v ORDER BY d) AS q FROM (
+  SELECT label, variant_no, d, avg(CAST(x AS DOUBLE)) AS v FROM (
+    SELECT label, CAST(vec_id % 3 AS INTEGER) AS variant_no, UNNEST(range(len(embedding))) AS d,
+           UNNEST(embedding) AS x FROM embeddings)
+  GROUP BY label, variant_no, d)
+GROUP BY label, variant_no""",
     "answers": r"""
 SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
