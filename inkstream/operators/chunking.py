@@ -33,7 +33,7 @@ def _c(c) -> Column:
 def section_pieces(text) -> Column:
     parts = F.split(_c(text), r"\n\n")
     kept = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit(SECTION_SEPARATOR), p)))
-    return F.filter(kept, lambda p: p != "")
+    return F.array_remove(kept, "")
 
 
 def section_split(text, size: int = SECTION_CHARS) -> Column:
@@ -88,7 +88,7 @@ def window_count(n: Column, size: int, overlap: int) -> Column:
 
 
 def tokens_of(text) -> Column:
-    return F.filter(F.split(_c(text), TOKEN_SPLIT), lambda t: t != "")
+    return F.array_remove(F.split(_c(text), TOKEN_SPLIT), "")
 
 
 def windows_of_tokens(toks: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:

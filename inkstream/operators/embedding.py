@@ -32,7 +32,7 @@ def _c(c) -> Column:
 
 
 def words(text) -> Column:
-    return F.filter(F.split(F.lower(_c(text)), WORD_SPLIT), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_c(text)), WORD_SPLIT), "")
 
 
 def words_sql(e: str) -> str:
