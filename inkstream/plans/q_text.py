@@ -48,9 +48,10 @@ def first_sentence(spark, sf_dir):
     f"SELECT doc_id, {T.has_links_sql('content')} AS has_links FROM messages "
     f"WHERE content IS NOT NULL AND NOT {T.has_links_sql('content')}", "messages"))
 def has_links_flag(spark, sf_dir):
-    m = fx.messages(spark, sf_dir).where(F.col("content").isNotNull())
-    flagged = m.select("doc_id", T.has_links("content").alias("has_links"))
-    return flagged.where(~F.col("has_links"))
+    # Keep the rows whose flag is false; the regex runs once (as the filter), and the flag of
+    # every surviving row is false by construction.
+    m = fx.messages(spark, sf_dir).where(F.col("content").isNotNull() & ~T.has_links("content"))
+    return m.select("doc_id", F.lit(False).alias("has_links"))
 
 
 @register("word_count", "T16", fx.with_views(
