@@ -97,3 +97,29 @@ def pack_by_budget(spark, sf_dir):
     return p.groupBy("published_at", "pack_no").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").cast("bigint").alias("n_tokens"),
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+
+
+_NEXT_FIT_SQL = f"""
+SELECT strftime(published_at, '%Y-%m-%d') AS published_at, pack_no, count(*) AS n_docs,
+       CAST(sum(n_tokens) AS BIGINT) AS n_tokens, min(doc_id) AS first_doc, max(doc_id) AS last_doc
+FROM pk GROUP BY published_at, pack_no"""
+_NEXT_FIT_CTES = {
+    "d": f"SELECT published_at, doc_id, CAST(len({tokens_sql('content')}) AS BIGINT) AS n_tokens, "
+         f"row_number() OVER (PARTITION BY published_at ORDER BY doc_id) AS rn FROM articles",
+    "pk": f"""SELECT published_at, rn, doc_id, n_tokens, CAST(0 AS BIGINT) AS pack_no, n_tokens AS load FROM d WHERE rn = 1
+  UNION ALL
+  SELECT d.published_at, d.rn, d.doc_id, d.n_tokens,
+         CASE WHEN pk.load + d.n_tokens > {G.PACK_BUDGET} THEN pk.pack_no + 1 ELSE pk.pack_no END,
+         CASE WHEN pk.load + d.n_tokens > {G.PACK_BUDGET} THEN d.n_tokens ELSE pk.load + d.n_tokens END
+  FROM pk JOIN d ON d.published_at = pk.published_at AND d.rn = pk.rn + 1""",
+}
+
+
+@register("pack_next_fit", "G1", fx.with_views(_NEXT_FIT_SQL, "articles", extra=_NEXT_FIT_CTES, recursive=True))
+def pack_next_fit(spark, sf_dir):
+    a = fx.articles(spark, sf_dir).select(F.date_format("published_at", "yyyy-MM-dd").alias("published_at"), "doc_id",
+                                          F.size(tokens_of("content")).cast("bigint").alias("n_tokens"))
+    p = G.pack_next_fit(a, "published_at", "doc_id", "n_tokens")
+    return p.groupBy("published_at", "pack_no").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))

@@ -106,3 +106,28 @@ def test_stream_with_compaction_equals_batch(spark, sf_dir):
     got = K.read_keyed(spark, v, "chunk_id", "entry_id").select("chunk_id", "entry_id", "title", "published_at")
     ok, msg = compare(got, duck_connect(sf_dir), load_all()["stream_feature_flow"].sql)
     assert ok, msg
+
+
+def test_next_fit_packing_matches_sequential_reference(spark):
+    import random
+
+    from inkstream.operators.dataset import pack_next_fit
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(600):
+        g = "hot" if i % 3 == 0 else f"g{i % 5}"
+        size = 0 if i % 97 == 0 else (150 if i == 300 else rnd.randint(1, 40))  # zero-size and oversized docs
+        rows.append((g, i, size))
+    df = spark.createDataFrame(rows, "g string, o long, x long")
+    got = {(r.g, r.o): r.pack_no for r in pack_next_fit(df, "g", "o", "x", budget=100).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        pack, load = 0, None
+        for _, o, x in sorted(r for r in rows if r[0] == g):
+            if load is not None and load + x > 100:
+                pack, load = pack + 1, x
+            else:
+                load = x if load is None else load + x
+            want[(g, o)] = pack
+    assert got == want
