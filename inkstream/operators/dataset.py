@@ -137,6 +137,8 @@ def pack_next_fit(docs: DataFrame, group_col: str, order_col: str, tokens_col: s
     starts = base.where(F.col("idx") == 0).select(g, F.col("idx").alias("i"))
     for r in range(rounds):
         reached = starts.join(jump, [g, "i"]).select(g, F.col("j").alias("i"))
+        # written each round: the next round reads it twice, so a lazy plan would re-run every
+        # earlier round (measured: 21 s -> 35 s at sf0.1)
         starts = materialize(starts.unionByName(reached).distinct(), "pack-starts")
         if r < rounds - 1:  # jump^(2^(r+1)) = jump^(2^r) applied twice; past the end stays past the end
             a, b = jump.alias("a"), jump.alias("b")
