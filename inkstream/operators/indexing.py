@@ -30,6 +30,23 @@ from pyspark.sql import types as T
 from inkstream.session import materialize
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (``<=>``); one copy of each key column kept.
+    A plain join on a NULL group key would silently drop those rows."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
+    if how in ("right", "right_outer"):
+        out = out.drop(*keys)
+        for k in keys:
+            out = out.withColumnRenamed(f"_r_{k}", k)
+        return out
+    return out.drop(*[f"_r_{k}" for k in keys])
+
+
 def _local_runs(group_cols: list[str], value_col: str | None):
     """Per Spark partition (rows sorted by group): position and running sum inside each run of equal
     group keys, carried across Arrow batches of the same partition. Vectorised with pandas."""
@@ -80,14 +97,14 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
         row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         local = materialize(s.withColumn("_row", row_in_part), "index-runs")
         first = local.groupBy("_pid", *group_cols).agg(F.min("_row").alias("_first"))
-        local = local.join(first, ["_pid", *group_cols]).select(
+        local = join_null_safe(local, first, ["_pid", *group_cols]).select(
             *cols, "_pid", (F.col("_row") - F.col("_first")).alias("_lpos"), F.lit(0.0).alias("_lcum"))
     tot = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
                                                  F.sum(value_col if value_col else F.lit(0.0)).alias("_v"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_pid", *group_cols, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
                      F.coalesce(F.sum("_v").over(w), F.lit(0.0)).alias("_off_v"))
-    j = local.join(off, ["_pid", *group_cols])
+    j = join_null_safe(local, off, ["_pid", *group_cols])
     j = j.withColumn("idx", (F.col("_off_n") + F.col("_lpos")).cast("bigint"))
     if value_col:
         j = j.withColumn("cum_before", F.col("_off_v") + F.col("_lcum"))
@@ -95,4 +112,4 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     rest = [c for c in payload if c != value_col]
     if not rest:
         return j
-    return j.join(df.select(*keys, *rest), keys)
+    return join_null_safe(j, df.select(*keys, *rest), keys)

@@ -10,8 +10,9 @@ Merge-on-read layout under a table path::
 An upsert writes only its own batch (cost O(batch), not O(table)) with ``mode=overwrite`` into
 ``b=<id>``, so a replayed micro-batch rewrites the same folder: idempotent. A reader unions the base
 with the newer deltas and keeps, per key, the row with the greatest ``seq``:
-``groupBy(key).agg(max_by(struct(row), seq))`` - a hash aggregate with a partial (map-side) step,
-so a key holding a third of all updates is reduced on every map task before the shuffle.
+``groupBy(key).agg(max_by(struct(row), seq))`` - an aggregate with a partial (map-side) step
+(sort-based, as its buffer holds a whole row, so it spills instead of running out of memory), so a
+key holding a third of all updates is reduced on every map task before the shuffle.
 ``compact`` folds the deltas into a new base (written fully before ``_CURRENT`` moves).
 
 One writer per table at a time (a stream's foreachBatch, or a batch job). Where a merge-capable
@@ -25,6 +26,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkstream.operators.indexing import join_null_safe
+
 POINTER = "_CURRENT"
 
 
@@ -114,9 +117,10 @@ def compact(spark: SparkSession, path: str, key: str | list[str], seq: str) -> N
 
 def get_or_create(existing: DataFrame, requests: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
     """K8 in batch form: for each distinct request key, the existing id (the least one when the table
-    holds several) or a new deterministic id (md5 of the key); ``created`` tells which."""
+    holds several) or a new deterministic id (md5 of the key); ``created`` tells which. NULL key
+    parts match NULL (the lookup is by value, as a document filter would be)."""
     have = existing.groupBy(*keys).agg(F.min(id_col).alias("_old"))
     req = requests.select(*keys).distinct()
     new_id = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
-    out = req.join(have, keys, "left")
+    out = join_null_safe(req, have, keys, "left")
     return out.select(*keys, F.coalesce("_old", new_id).alias(id_col), F.col("_old").isNull().alias("created"))

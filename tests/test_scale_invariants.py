@@ -131,3 +131,16 @@ def test_next_fit_packing_matches_sequential_reference(spark):
                 load = x if load is None else load + x
             want[(g, o)] = pack
     assert got == want
+
+
+def test_null_group_keys_are_kept(spark):
+    from inkstream.operators.dataset import pack_next_fit
+
+    df = spark.createDataFrame([(None if i % 2 else "a", i, 10, f"t{i}") for i in range(20)],
+                               "g string, o long, x long, payload string")
+    idx = index_within(df, ["g"], ["o"], num_partitions=4)
+    assert idx.count() == 20 and idx.where(F.col("g").isNull()).count() == 10
+    assert sorted(r.idx for r in idx.where(F.col("g").isNull()).collect()) == list(range(10))
+    packs = pack_next_fit(df.drop("payload"), "g", "o", "x", budget=25)
+    assert packs.count() == 20
+    assert sorted(r.pack_no for r in packs.where(F.col("g").isNull()).collect()) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
