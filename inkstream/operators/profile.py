@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstream.operators.embedding import words
-from inkstream.operators.indexing import index_within
+from inkstream.operators.indexing import index_within, join_null_safe
 
 SCORE_DECIMALS = 9
 MIN_TERM_CHARS = 3
@@ -84,12 +84,12 @@ def daily_key_sentences(docs: DataFrame, day_col: str, id_col: str, text_col: st
     sents = docs.select(day_col, id_col, F.posexplode(F.split(text_col, "[.!?]")).alias("sent_no", "sentence")) \
         .where(F.length(F.trim("sentence")) > 0)
     toks = sents.select(day_col, id_col, "sent_no", F.explode(words("sentence")).alias("term"))
-    scored = toks.join(weights, [day_col, "term"], "left").groupBy(day_col, id_col, "sent_no").agg(
+    scored = join_null_safe(toks, weights, [day_col, "term"], "left").groupBy(day_col, id_col, "sent_no").agg(
         (F.sum(F.coalesce("weight", F.lit(0.0))) / F.count(F.lit(1))).alias("score"))
     scored = scored.withColumn("score", F.round("score", SCORE_DECIMALS))
     win = Window.partitionBy(day_col).orderBy(F.col("score").desc(), F.col(id_col).asc(), F.col("sent_no").asc())
     top = scored.withColumn("rank", F.row_number().over(win).cast("bigint")).where(F.col("rank") <= n)
-    return top.join(sents, [day_col, id_col, "sent_no"]).select(
+    return join_null_safe(top, sents, [day_col, id_col, "sent_no"]).select(
         day_col, "rank", id_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.trim("sentence").alias("sentence"),
         "score")
 
