@@ -144,3 +144,19 @@ def test_null_group_keys_are_kept(spark):
     packs = pack_next_fit(df.drop("payload"), "g", "o", "x", budget=25)
     assert packs.count() == 20
     assert sorted(r.pack_no for r in packs.where(F.col("g").isNull()).collect()) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_feature_flow_console_option_runs(spark, sf_dir):
+    from inkstream.plans import q_stream as Q
+    from inkstream.streaming import flow as ST
+
+    env = Q._landing_envelopes(spark, sf_dir)
+    queue = fresh_path(spark, "t5-queue")
+    ST.change_capture(spark, env, queue, fresh_path(spark, "t5-ck")).awaitTermination()
+    c, v, qz = (fresh_path(spark, n) for n in ("t5-clean", "t5-vec", "t5-quar"))
+    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t5-ck2"), console=True).awaitTermination()
+    for q in spark.streams.active:  # the console query (JVM stdout) ends by itself with availableNow
+        q.awaitTermination()
+        assert q.exception() is None
+    assert not spark.streams.active
+    assert K.read_keyed(spark, c, "entry_id", "seq").count() > 0
