@@ -160,3 +160,12 @@ def test_feature_flow_console_option_runs(spark, sf_dir):
         assert q.exception() is None
     assert not spark.streams.active
     assert K.read_keyed(spark, c, "entry_id", "seq").count() > 0
+
+
+def test_query_blocks_beyond_broadcast_bound_equal_single_block(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q"))
+    kw = dict(corpus_id="vec_id", corpus_vec="embedding", query_keys=["qid"], query_vec="q")
+    one = S.topk_search(e, q, 5, **kw).collect()
+    many = S.topk_search(e, q, 5, max_queries=2, **kw).collect()  # forces several broadcast blocks
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 5 * q.count()
