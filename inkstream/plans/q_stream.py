@@ -22,7 +22,6 @@ ENVELOPE_FILES = 8
 _CDC_ARTICLES = ("SELECT doc_key AS entry_id, source, regexp_extract(content, '^[^.!?\\r\\n]*', 0) AS title, content, "
                  "CAST(NULL AS VARCHAR) AS summary, DATE '2024-01-01' + CAST(seq % 30 AS INT) AS published_at, "
                  "seq AS doc_id FROM cdc_events WHERE op = 'insert' AND coll = 'articles'")
-_MSG_OUT = "entry_id, type, source, title, published_at"
 
 
 def _landing_envelopes(spark, sf_dir) -> str:
@@ -63,8 +62,8 @@ def event_pipeline(spark, sf_dir, replay: bool = False) -> dict:
 
 
 @register("stream_queue_source", "S1 S2 S14", fx.with_views(
-    f"SELECT {_MSG_OUT.replace('published_at', 'strftime(published_at, ' + chr(39) + '%Y-%m-%d' + chr(39) + ') AS published_at')} "
-    "FROM articles", "articles"))
+    "SELECT entry_id, type, source, title, strftime(published_at, '%Y-%m-%d') AS published_at FROM articles",
+    "articles"))
 def stream_queue_source(spark, sf_dir):
     queue, out = fresh_path(spark, "queue"), fresh_path(spark, "queue-out")
     a = fx.articles(spark, sf_dir)
