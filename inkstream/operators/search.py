@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkstream.operators.embedding import words
+from inkstream.session import materialize
 
 MAX_BROADCAST_QUERIES = 20_000  # query vectors per broadcast block (x dim x 8 bytes stays small)
 SCORE_DECIMALS = 9
@@ -128,7 +129,9 @@ def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str
     out_arrow = to_arrow_schema(out_struct)
     w = Window.partitionBy(*query_keys).orderBy(F.col("score").desc(), F.col(corpus_id).asc())
     parts = []
-    for block in _query_blocks(queries.select(*query_keys, query_vec), query_keys, max_queries):
+    # the query side is computed once (it may embed texts) and then counted and read per block
+    qtable = materialize(queries.select(*query_keys, query_vec), "query-vectors")
+    for block in _query_blocks(qtable, query_keys, max_queries):
         rows = block.collect()  # bounded by the size check above
         qkeys = [tuple(r[q] for q in query_keys) for r in rows if r[query_vec] is not None]
         vecs = [np.asarray(r[query_vec], dtype=np.float64) for r in rows if r[query_vec] is not None]
