@@ -270,14 +270,14 @@ def redacted(text: str, model: Model) -> str:
 def redact(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
     """``docs`` with redacted texts (null stays null) and ``n_chars`` counted anew."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+    at, schema = docs.columns.index(text_col), docs.schema
 
     def run(batches):
         for batch in batches:
             new = [None if not v.is_valid else redacted(v.as_py(), shared.value) for v in batch.column(at)]
-            yield batch_of(docs.schema, [pa.array(new, pa.string()) if k == at else c for k, c in enumerate(batch.columns)])
+            yield batch_of(schema, [pa.array(new, pa.string()) if k == at else c for k, c in enumerate(batch.columns)])
 
-    return with_new_text(docs.mapInArrow(run, docs.schema), text_col)
+    return with_new_text(docs.mapInArrow(run, schema), text_col)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
