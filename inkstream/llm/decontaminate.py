@@ -147,6 +147,8 @@ def scan_shard(texts: list[np.ndarray], items: Items) -> list[dict]:
     zero = np.flatnonzero(d == 0)
     known = zero[np.searchsorted(zero, np.arange(len(d)))] - np.arange(len(d))
     starts = np.flatnonzero(known >= items.least)
+    if not len(starts):
+        return out
     places, which = [], []
     for k in range(0, len(starts), SHARD_WORDS):
         array = suffix_array(d, starts[k:k + SHARD_WORDS], items.longest)

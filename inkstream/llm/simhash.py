@@ -400,28 +400,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The row with the smallest id of each component, with all columns of ``docs``. Of rows that
-    share that id one stays; of a component without any id, one row stays."""
+    """One row of each component, with all columns of ``docs``: the one with the smallest id. Rows
+    whose id is null or repeated are told apart by their fingerprints, computed anew for these rows
+    alone; of several such rows in one component one stays (the first by a hash of all columns)."""
     found = materialize(near_duplicates(docs, id_col=id_col, text_col=text_col, **how), "simhash-found")
-    kept_id, rows = free_name(docs, "kept_id"), free_name(docs, "kept_rows")
-    keep = materialize(found.where(F.col(id_col) == F.col("component_id"))
-                       .groupBy(F.col(id_col).alias(kept_id)).agg(F.count(F.lit(1)).alias(rows)), "simhash-keep")
-    out = docs.join(keep, F.col(id_col) == F.col(kept_id))
-    if (keep.agg(F.max(rows)).first()[0] or 1) > 1:
-        n = free_name(docs, "kept_n")
-        order = W.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-        out = out.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1)
-    out = out.select(*docs.columns)
-    alone = found.where(F.col(id_col).isNull() & F.col("component_id").isNull())
-    if alone.limit(1).count():
-        fp, n, root = (free_name(docs, x) for x in ("kept_print", "kept_n", "kept_root"))
-        nameless = with_fingerprint(docs.where(F.col(id_col).isNull()), fp, text_col,
-                                    how.get("shingle", SHINGLE), how.get("seed", SEED))
-        label = alone.select(F.col("fingerprint").alias("hex"), F.col("component_print").alias(root)).distinct()
-        nameless = nameless.join(label, F.lpad(F.lower(F.hex(fp)), 16, "0") == F.col("hex"))
-        order = W.partitionBy(root).orderBy(F.xxhash64(*docs.columns))
-        out = out.unionByName(nameless.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1)
-                              .select(*docs.columns))
+    own, hex_, comp, root, fp, n = (free_name(docs, x) for x in
+                                    ("kept_id", "kept_hex", "kept_component", "kept_root", "kept_print", "kept_n"))
+    ids = found.groupBy(F.col(id_col).alias(own)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
+    ids = materialize(ids, "simhash-ids")
+    out = docs.join(ids.where((F.col("n") == 1) & (F.col(own) == F.col("c"))).select(own), F.col(id_col) == F.col(own),
+                    "left_semi")
+    odd = ids.where((F.col("n") > 1) | F.col(own).isNull()).select(own)
+    if odd.limit(1).count():
+        rows = docs.join(odd, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
+        rows = with_fingerprint(rows, fp, text_col, how.get("shingle", SHINGLE), how.get("seed", SEED))
+        label = found.select(F.col("fingerprint").alias(hex_), F.col("component_id").alias(comp),
+                             F.col("component_print").alias(root)).distinct()
+        rows = rows.join(label, F.lpad(F.lower(F.hex(fp)), 16, "0") == F.col(hex_))
+        first = F.row_number().over(W.partitionBy(root).orderBy(F.xxhash64(*docs.columns)))
+        rows = rows.where(F.col(id_col).eqNullSafe(F.col(comp))).withColumn(n, first).where(F.col(n) == 1)
+        out = out.unionByName(rows.select(*docs.columns))
     return out
 
 
