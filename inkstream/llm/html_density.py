@@ -5,7 +5,8 @@ and LT tags of links below it. Its composite density is
 
     C / T * log_base(C / LC * T / LT)   with   base = ln(C / notLC * LC + LC_body / C_body * C + e)
 
-(counts that divide are at least 1): text per tag, lowered by links. The density sum of an element
+(counts that divide are at least 1, the logarithm of the base at least ``FLAT``, which only a page
+with next to no link text reaches): text per tag, lowered by links. The density sum of an element
 adds the densities of its children (and of its own text). The element with the largest sum is the
 core of the article; from it the choice climbs towards the body as long as the parent's density does
 not fall below the threshold, the body's own density, which menus and link lists lower. The whole
@@ -39,6 +40,8 @@ TOKEN = re.compile(
     re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?=[\s=>/]|\Z)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
 
+FLAT = 0.1
+
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -194,8 +197,8 @@ class Page:
             if not c:
                 return 0.0
             base = math.log(c / max(1, c - lc) * lc + ratio * c + math.e)
-            ratio_log = math.log(max(c / max(1, lc) * max(1, t) / max(1, lt), 1.0)) / max(math.log(base), 1e-3) if base > 1 else 0.0
-            return c / max(1, t) * ratio_log
+            adjusted = math.log(max(c / max(1, lc) * max(1, t) / max(1, lt), 1.0)) + 0.01
+            return c / max(1, t) * adjusted / max(math.log(base), FLAT)
 
         each = [density(*x) for x in zip(chars, tags, link_chars, link_tags)]
         total = [density(own[k], 1, own[k] if self.link[k] else 0, 1) for k in range(n)]

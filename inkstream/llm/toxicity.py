@@ -2,7 +2,7 @@
 
 Features are presences: the words of a text (lower-cased, letters and digits) and their first 3 to 6
 bytes, as many abusive words are made of one stem. The ``FEATURES`` most telling ones (chi-square
-against the label) are kept.
+against the label, at least ``LEAST_CHI``) are kept.
 
 The model is the proportional-odds one: P(grade > k) = s(w.x - c_k) with one weight vector shared by
 all thresholds c_0 < c_1 < ..., fitted with an L1 penalty (accelerated proximal gradient). It returns
@@ -37,12 +37,13 @@ from inkstream.llm.common import batch_of, raw_texts, read, schema_of
 SAMPLE = 20_000
 FEATURES = 2048
 GRADES = 3
-CUT = 0.5
+CUT = 0.35
 L1 = 2e-5
 STEPS = 300
 STEMS = (3, 4, 5, 6)
 PIECE = 8 << 20
 FLUSH = 400_000          # features counted in a task before they are sent on
+LEAST_CHI = 10.8         # chi-square a feature needs (one in a thousand by chance)
 MARKS = 2.0              # log odds from which a feature is evidence
 
 #: Bytes of words (letters, digits, everything beyond ASCII), A-Z lower-cased; others are spaces.
@@ -154,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     odds = a * (toxic - b) - b * (clean - a)
     chi = odds * odds / ((a + b) * (clean + toxic - a - b + 1))
-    best = both.where(a + b >= 3).orderBy(chi.desc(), "f").limit(FEATURES).collect()
+    best = both.where((a + b >= 3) & (chi >= LEAST_CHI)).orderBy(chi.desc(), "f").limit(FEATURES).collect()
     number = {bytes(r["f"]): k for k, r in enumerate(best)}
     model = Model(number, np.zeros(len(number)))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -124,11 +124,11 @@ def train(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocke
     for e, a, b in rows.mapInArrow(count, "e int, a long, b long").groupBy("e").agg(F.sum("a"), F.sum("b")).collect():
         rates[e] = (b + 1) / (a + b + 2)
     some = rows.orderBy(F.xxhash64("url"), "url", "y").limit(sample).toPandas()
+    if not len(some):
+        return Model(boosting.fit(np.zeros((0, 1)), np.zeros(0)), rates)
     x = np.array([lexical(u, rates) for u in some.url]).reshape(len(some), -1)
     y = some.y.to_numpy()
     held = np.array([zlib.crc32(u.encode()) % 5 == 0 for u in some.url], bool)
-    if not len(y):
-        return Model(boosting.fit(np.zeros((0, 1)), y), rates)
     trees = boosting.fit(x[~held], y[~held])
     if held.any() and 0 < y[held].sum() < held.sum():
         trees.calibrate(x[held], y[held])
@@ -146,7 +146,7 @@ def judge(pages: DataFrame, model: Model, *, id_col: str = "page_id", url_col: s
     def run(batches):
         for batch in batches:
             m = shared.value
-            x = np.array([lexical(u, m.rates) for u in str_texts(batch.column(1))]).reshape(batch.num_rows, -1)
+            x = np.array([lexical(u, m.rates) for u in str_texts(batch.column(1))])
             yield batch_of(schema, [batch.column(0), batch.column(1), m.trees.probability(x)])
 
     rows = own.mapInArrow(run, schema).withColumn("host", host_of(F.col("url_"))).withColumn("path", path_of(F.col("url_")))
