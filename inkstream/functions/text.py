@@ -198,11 +198,12 @@ def strip_tags_sql(e: str) -> str:
 
 
 def norm_ws(c) -> Column:
-    return F.trim(F.regexp_replace(_c(c), r"[\t\n\f\r ]+", " "))
+    """Runs of white space (every code point Python counts as such) become one space; edges go."""
+    return py_strip(F.regexp_replace(_c(c), PY_WS + "+", " "))
 
 
 def norm_ws_sql(e: str) -> str:
-    return f"trim(regexp_replace({e}, '[\\t\\n\\f\\r ]+', ' ', 'g'))"
+    return py_strip_sql(f"regexp_replace({e}, {_q(PY_WS + '+')}, ' ', 'g')")
 
 
 # ----------------------------------------------------------------------------- T13

@@ -36,8 +36,10 @@ ID_OFFSET = 3
 PACK_BUDGET = 8000
 
 
-def prompt_batches(contents: DataFrame, group_col: str, order_col: str, text_col: str, batch_size: int) -> DataFrame:
-    """G2 -> (group, batch_no, start_index, n_items, prompt)."""
+def prompt_batches(contents: DataFrame, group_col: str, order_col: str, text_col: str, batch_size: int,
+                   max_chars: int = PROMPT_MAX_CHARS) -> DataFrame:
+    """G2 -> (group, batch_no, start_index, n_items, prompt, full_chars). The prompt is cut at
+    ``max_chars`` (T17); ``full_chars`` is its length before the cut, so cut prompts show."""
     idx = index_within(contents.select(group_col, order_col, text_col), [group_col], [order_col])
     idx = idx.withColumn("batch_no", F.floor(F.col("idx") / batch_size).cast("bigint"))
     item = F.concat(F.lit("Content number "), F.col("idx").cast("string"), F.lit("\n"), F.col(text_col), F.lit("\n"))
@@ -47,7 +49,9 @@ def prompt_batches(contents: DataFrame, group_col: str, order_col: str, text_col
     body = F.array_join(F.transform("items", lambda x: x["t"]), "")
     count_line = F.replace(F.lit(P.DATASET_COUNT_LINE), F.lit("{n}"), F.col("n_items").cast("string"))
     prompt = F.concat(F.lit(P.DATASET_USER_PROMPT), count_line, F.lit(P.DATASET_CONTENTS_HEADER), body)
-    return g.select(group_col, "batch_no", "start_index", "n_items", F.substring(prompt, 1, PROMPT_MAX_CHARS).alias("prompt"))
+    g = g.select(group_col, "batch_no", "start_index", "n_items", prompt.alias("p"))
+    return g.select(group_col, "batch_no", "start_index", "n_items", F.substring("p", 1, max_chars).alias("prompt"),
+                    F.char_length("p").cast("bigint").alias("full_chars"))
 
 
 def align_batch_results(batches: DataFrame, results: DataFrame, batch_key: str, text_col: str) -> DataFrame:
@@ -87,12 +91,12 @@ def token_ids_sql(e: str) -> str:
 
 def tokenize_pad(samples: DataFrame, max_len: int = MAX_TOKENS) -> DataFrame:
     """G5 + P14: (instruction, content) -> input_ids (BOS + ids, cut/padded to max_len), labels,
-    attention_mask; the text columns are dropped after mapping."""
+    attention_mask, full_tokens (before the cut at ``max_len``); the text columns are dropped."""
     prompt = P.fill(P.INSTRUCT_SAMPLE, instruction=F.col("instruction"), content=F.col("content"))
     ids = F.concat(F.array(F.lit(BOS_ID)), token_ids(prompt))
     cut = F.slice(ids, 1, max_len)
     pad = F.array_repeat(F.lit(PAD_ID), F.greatest(F.lit(max_len) - F.size(cut), F.lit(0)))
-    out = samples.withColumn("n_real", F.size(cut)).withColumn("input_ids", F.concat(cut, pad))
+    out = samples.withColumn("n_real", F.size(cut)).withColumn("full_tokens", F.size(ids).cast("bigint")).withColumn("input_ids", F.concat(cut, pad))
     out = out.withColumn("labels", F.col("input_ids")).withColumn(
         "attention_mask", F.concat(F.array_repeat(F.lit(1), F.col("n_real")), F.array_repeat(F.lit(0), F.lit(max_len) - F.col("n_real"))))
     return out.drop("instruction", "content")

@@ -2,13 +2,12 @@
 
 Default embedder: signed feature hashing of lower-cased word tokens into ``dim`` buckets,
 L2-normalised (deterministic, no model files). Words are split natively; one Arrow-batched pandas
-UDF then hashes the tokens (md5, memoised per batch - token frequencies are Zipfian) and scatters
-them into dense vectors with numpy. Bucket = first 4 bytes of md5 (big-endian) mod dim, sign = +1
+UDF then hashes each distinct token of a batch (md5) and adds the signs up with one bincount. Bucket = first 4 bytes of md5 (big-endian) mod dim, sign = +1
 when the 5th byte is below 0x80: the same definition as the SQL twins below.
 
 A user model plugs in through ``model_embedder``: an iterator pandas UDF that loads the model once
-per Python worker and encodes batches; a failed batch yields empty vectors (V9) instead of killing
-the job.
+per Python worker and encodes batches; a text that fails gets an empty vector (V9), the others of its
+batch keep theirs.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,30 +50,23 @@ def token_sign_sql(t: str) -> str:
 def _make_scatter(dim: int):
     import hashlib
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def scatter(tokens: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def scatter(tokens: pa.Array) -> pa.Array:
+        """Each distinct token of the batch is hashed once; the rest is array work."""
         n = len(tokens)
-        memo: dict[str, int] = {}
-        rows, codes = [], []
-        for i, toks in enumerate(tokens):
-            if toks is None:
-                continue
-            for t in toks:
-                c = memo.get(t)
-                if c is None:
-                    d = hashlib.md5(t.encode("utf-8")).digest()
-                    c = (int.from_bytes(d[:4], "big") % dim + 1) * (1 if d[4] < 0x80 else -1)
-                    memo[t] = c
-                codes.append(c)
-            rows.append(np.full(len(toks), i, dtype=np.int64))
-        mat = np.zeros((n, dim), dtype=np.float64)
-        if codes:
-            flat = np.asarray(codes, dtype=np.int64)
-            np.add.at(mat, (np.concatenate(rows), np.abs(flat) - 1), np.sign(flat).astype(np.float64))
-        norm = np.sqrt((mat * mat).sum(axis=1))
-        nz = norm > 0
-        mat[nz] = mat[nz] / norm[nz, None]
-        return pd.Series(list(mat))
+        sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        coded = tokens.flatten().dictionary_encode()
+        digests = [hashlib.md5(t.encode("utf-8")).digest() for t in coded.dictionary.to_pylist()]
+        bucket = np.array([int.from_bytes(d[:4], "big") % dim for d in digests], dtype=np.int64)
+        sign = np.array([1.0 if d[4] < 0x80 else -1.0 for d in digests])
+        mat = np.zeros((n, dim))
+        if len(coded):
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(n), sizes)
+            mat = np.bincount(row * dim + bucket[at], sign[at], n * dim).reshape(n, dim)
+        norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
+        mat = np.divide(mat, norm, out=mat, where=norm > 0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(mat.ravel()))
     return scatter
 
 
@@ -90,18 +83,27 @@ def hash_embed(text, dim: int = EMBED_DIM) -> Column:
 def model_embedder(load_model: Callable[[], Callable[[list[str]], np.ndarray]], dim: int):
     """V1/V9 hook for a user model: ``load_model()`` returns ``encode(list[str]) -> (n, dim) array``.
 
-    The model is loaded once per Python worker (iterator UDF), batches are encoded together, and a
-    failing batch yields empty vectors rather than failing the task.
+    The model is loaded once per Python worker (iterator UDF) and batches are encoded together. If a
+    batch fails, its texts are encoded one by one: a text that fails gets an empty vector, the others
+    keep theirs.
     """
+    def checked(encode, texts: list[str]) -> np.ndarray:
+        return np.asarray(encode(texts), dtype=np.float32).reshape(len(texts), dim)
+
+    def one(encode, text: str) -> np.ndarray:
+        try:
+            return checked(encode, [text])[0]
+        except Exception:  # noqa: BLE001 - V9 contract: a failing text has no vector
+            return np.zeros(0, dtype=np.float32)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load_model()
         for texts in batches:
+            batch = texts.fillna("").tolist()
             try:
-                vecs = np.asarray(encode(texts.fillna("").tolist()), dtype=np.float32)
-                yield pd.Series(list(vecs.reshape(len(texts), dim)))
-            except Exception:  # noqa: BLE001 - V9 contract: failure -> empty list
-                yield pd.Series([np.zeros(0, dtype=np.float32)] * len(texts))
+                yield pd.Series(list(checked(encode, batch)))
+            except Exception:  # noqa: BLE001
+                yield pd.Series([one(encode, t) for t in batch])
 
     return embed

@@ -14,7 +14,6 @@ from inkstream.operators.embedding import words
 from inkstream.operators.indexing import index_within, join_null_safe
 
 SCORE_DECIMALS = 9
-MIN_TERM_CHARS = 3
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -61,7 +60,7 @@ def describe(df: DataFrame, value_col: str, tie_col: str) -> DataFrame:
 
 def term_weights(docs: DataFrame, day_col: str, text_col: str) -> DataFrame:
     """TF-IDF per (day, term): tf = occurrences that day, idf = ln(days / days containing term)."""
-    terms = docs.select(day_col, F.explode(words(text_col)).alias("term")).where(F.length("term") >= MIN_TERM_CHARS)
+    terms = docs.select(day_col, F.explode(words(text_col)).alias("term"))
     tf = terms.groupBy(day_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     # Document frequency = rows of the (day, term) table per term: a window over term, whose groups
     # hold at most one row per day (bounded, even for the most common word), instead of a second
@@ -80,12 +79,17 @@ def daily_top_terms(docs: DataFrame, day_col: str, text_col: str, n: int) -> Dat
 
 def daily_key_sentences(docs: DataFrame, day_col: str, id_col: str, text_col: str, n: int) -> DataFrame:
     """G11 (sentences): sentences scored by the mean TF-IDF weight of their words; top n per day."""
-    weights = term_weights(docs, day_col, text_col).select(day_col, "term", "weight")
+    # a term of every day weighs nothing: it is left out of the join, where it would be the hot key
+    weights = term_weights(docs, day_col, text_col).where(F.col("weight") > 0).select(day_col, "term", "weight")
     sents = docs.select(day_col, id_col, F.posexplode(F.split(text_col, "[.!?]")).alias("sent_no", "sentence")) \
         .where(F.length(F.trim("sentence")) > 0)
-    toks = sents.select(day_col, id_col, "sent_no", F.explode(words("sentence")).alias("term"))
-    scored = join_null_safe(toks, weights, [day_col, "term"], "left").groupBy(day_col, id_col, "sent_no").agg(
-        (F.sum(F.coalesce("weight", F.lit(0.0))) / F.count(F.lit(1))).alias("score"))
+    key = [day_col, id_col, "sent_no", "n_words"]
+    counted = sents.withColumn("w", words("sentence")).withColumn("n_words", F.size("w")).where(F.col("n_words") > 0)
+    toks = counted.select(*key, F.explode("w").alias("term"))
+    weighed = join_null_safe(toks, weights, [day_col, "term"], "inner").select(*key, "weight")
+    scored = weighed.unionByName(counted.select(*key, F.lit(0.0).alias("weight"))).groupBy(*key).agg(
+        F.sum("weight").alias("total")).withColumn("score", F.col("total") / F.col("n_words"))
+    scored = scored.select(day_col, id_col, "sent_no", "score")
     scored = scored.withColumn("score", F.round("score", SCORE_DECIMALS))
     win = Window.partitionBy(day_col).orderBy(F.col("score").desc(), F.col(id_col).asc(), F.col("sent_no").asc())
     top = scored.withColumn("rank", F.row_number().over(win).cast("bigint")).where(F.col("rank") <= n)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstream.operators.indexing import join_null_safe
+from inkstream.session import materialize
 
 POINTER = "_CURRENT"
 
@@ -117,10 +118,20 @@ def compact(spark: SparkSession, path: str, key: str | list[str], seq: str) -> N
 
 def get_or_create(existing: DataFrame, requests: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
     """K8 in batch form: for each distinct request key, the existing id (the least one when the table
-    holds several) or a new deterministic id (md5 of the key); ``created`` tells which. NULL key
-    parts match NULL (the lookup is by value, as a document filter would be)."""
+    holds several) or a new deterministic id (md5 of the key parts, each with its length, so that
+    different keys never share one); ``created`` tells which. NULL key parts match NULL (the lookup is
+    by value, as a document filter would be)."""
     have = existing.groupBy(*keys).agg(F.min(id_col).alias("_old"))
     req = requests.select(*keys).distinct()
-    new_id = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    parts = [F.col(k).cast("string") for k in keys]
+    new_id = F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
     out = join_null_safe(req, have, keys, "left")
     return out.select(*keys, F.coalesce("_old", new_id).alias(id_col), F.col("_old").isNull().alias("created"))
+
+
+def get_or_create_rows(spark: SparkSession, path: str, requests: DataFrame, keys: list[str],
+                       id_col: str = "id") -> DataFrame:
+    """K8: ``get_or_create`` against the table at ``path``; the created rows are appended to it."""
+    out = materialize(get_or_create(spark.read.parquet(path), requests, keys, id_col), "get-or-create")
+    out.where("created").select(*keys, id_col).write.mode("append").parquet(path)
+    return out

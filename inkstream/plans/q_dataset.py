@@ -33,7 +33,10 @@ SELECT source, CAST(floor(idx / {BATCH}) AS BIGINT) AS batch_no, min(idx) AS sta
        substring({T._q(P.DATASET_USER_PROMPT)} || replace({T._q(P.DATASET_COUNT_LINE)}, '{{n}}', CAST(count(*) AS VARCHAR))
                  || {T._q(P.DATASET_CONTENTS_HEADER)}
                  || string_agg('Content number ' || CAST(idx AS VARCHAR) || chr(10) || cleaned_content || chr(10), ''
-                               ORDER BY idx), 1, {T.PROMPT_MAX_CHARS}) AS prompt
+                               ORDER BY idx), 1, {T.PROMPT_MAX_CHARS}) AS prompt,
+       CAST(sum(length('Content number ' || CAST(idx AS VARCHAR) || chr(10) || cleaned_content || chr(10)))
+            + length({T._q(P.DATASET_USER_PROMPT)}) + length({T._q(P.DATASET_COUNT_LINE)}) - 3
+            + length(CAST(count(*) AS VARCHAR)) + length({T._q(P.DATASET_CONTENTS_HEADER)}) AS BIGINT) AS full_chars
 FROM idx GROUP BY source, floor(idx / {BATCH})""", "articles", extra={"cleaned": CLEANED_SQL, "idx": _IDX_SQL}))
 def prompt_batches(spark, sf_dir):
     return G.prompt_batches(_contents(spark, sf_dir), "source", "doc_id", "cleaned_content", BATCH)
@@ -73,13 +76,18 @@ def _ids_sql() -> str:
 
 @register("tokenize_pad", "G5 P14 D14", fx.with_views(f"""
 SELECT doc_id, CAST(least(len(ids), {G.MAX_TOKENS}) AS INTEGER) AS n_real, CAST({G.MAX_TOKENS} AS INTEGER) AS n_ids,
-       CAST(list_sum(ids[1:{G.MAX_TOKENS}]) AS BIGINT) AS ids_sum
+       md5(array_to_string(list_concat(ids[1:{G.MAX_TOKENS}], list_resize(CAST([] AS INTEGER[]), greatest({G.MAX_TOKENS} - len(ids), 0), {G.PAD_ID})), ',')) AS ids_md5,
+       md5(array_to_string(list_concat(ids[1:{G.MAX_TOKENS}], list_resize(CAST([] AS INTEGER[]), greatest({G.MAX_TOKENS} - len(ids), 0), {G.PAD_ID})), ',')) AS labels_md5,
+       md5(repeat('1', least(len(ids), {G.MAX_TOKENS})::INT) || repeat('0', greatest({G.MAX_TOKENS} - len(ids), 0)::INT)) AS mask_md5,
+       CAST(len(ids) AS BIGINT) AS full_tokens
 FROM (SELECT doc_id, {_ids_sql()} AS ids FROM aligned)""", "articles", "llm_text",
     extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))
 def tokenize_pad(spark, sf_dir):
     t = G.tokenize_pad(aligned(spark, sf_dir).select("doc_id", "instruction", "content"))
     return t.select("doc_id", "n_real", F.size("input_ids").alias("n_ids"),
-                    F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ids_sum"))
+                    F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+                    F.md5(F.array_join("labels", ",")).alias("labels_md5"),
+                    F.md5(F.array_join("attention_mask", "")).alias("mask_md5"), "full_tokens")
 
 
 @register("pack_by_budget", "G1", fx.with_views(f"""

@@ -13,10 +13,11 @@ AS_OF_TS = "2024-07-26 12:00:00"
 WINDOW_HOURS = 24
 
 
-@register("parse_dates", "E1 E6", fx.with_views(
-    f"SELECT doc_id, {D.parse_date_sql('raw_date')} AS published_at, "
-    f"strftime({D.parse_timestamp_sql('raw_date')}, '%Y-%m-%d %H:%M:%S') AS parsed_ts FROM date_strings",
-    "date_strings"))
+_MEANT = "CASE doc_id % {} {} END".format(len(fx.DATE_TEXTS), " ".join(
+    f"WHEN {k} THEN '{v}'" for k, (_, v) in enumerate(fx.DATE_TEXTS) if v))
+
+
+@register("parse_dates", "E1 E6", f"SELECT doc_id, substr({_MEANT}, 1, 10) AS published_at, {_MEANT} AS parsed_ts FROM documents")
 def parse_dates(spark, sf_dir):
     d = fx.date_strings(spark, sf_dir)
     return d.select("doc_id", D.parse_date("raw_date").alias("published_at"),

@@ -57,7 +57,7 @@ _DAY_DOCS = "SELECT strftime(published_at, '%Y-%m-%d') AS day, doc_id, content F
 _WEIGHTS = {
     "day_docs": _DAY_DOCS,
     "tf": f"SELECT day, term, count(*) AS tf FROM (SELECT day, UNNEST({words_sql('content')}) AS term FROM day_docs) "
-          f"WHERE length(term) >= {PR.MIN_TERM_CHARS} GROUP BY day, term",
+          "GROUP BY day, term",
     "dfreq": "SELECT term, count(*) AS df FROM tf GROUP BY term",
     "weights": "SELECT day, term, tf, tf * ln((SELECT count(DISTINCT day) FROM day_docs) / df) AS weight "
                "FROM tf JOIN dfreq USING (term)",

@@ -16,10 +16,21 @@ CHANNEL_N = 3
 SINCE_DAY = "2024-01-20"
 
 
-@register("html_articles", "S8", f"SELECT page_id, {H.extract_article_sql('html')} FROM pages")
+# Every third page gets a second article (with summary, date and an advert), every seventh a third.
+SECOND = ('<article class="x"><h1>Second <i>piece</i></h1> <div>In short</div><time datetime="2024-05-06T01:02:03Z">x</time>'
+          '<p>One</p><p>Advertisement here</p><p>Two &amp; three</article>')
+THIRD = "<article><p>Only text</p></article>"
+
+
+@register("html_articles", "S8", f"""
+SELECT page_id, 0 AS article_no, {H.extract_article_sql("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} FROM pages
+UNION ALL SELECT page_id, 1, 'Second piece', 'In short', '2024-05-06', 'One Two & three' FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 2 ELSE 1 END, '', NULL, NULL, 'Only text' FROM pages WHERE page_id % 7 = 0""")
 def html_articles(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages", "page_id", "html")
-    return p.select("page_id", *H.extract_article("html"))
+    more = [F.when(F.col("page_id") % n == 0, F.lit(text)).otherwise("") for n, text in ((3, SECOND), (7, THIRD))]
+    p = p.select("page_id", F.posexplode(H.article_bodies(F.concat("html", *more))).alias("article_no", "body"))
+    return p.select("page_id", "article_no", *H.extract_article("body"))
 
 
 @register("html_block_text", "S9", f"SELECT page_id, {H.block_text_join_sql('html')} AS content FROM pages")

@@ -82,6 +82,27 @@ def vector_size_check(spark, sf_dir):
     return S.vector_size_check(e, "embedding", EMBED_DIM).select("vec_id", "dim", "accepted")
 
 
+def _load_length_model():
+    """A deterministic stand-in for a user's model: digits are counted, a text with "the" fails."""
+    def encode(texts):
+        if any(" the " in t for t in texts):
+            raise ValueError("cannot encode this text")
+        return [[float(len(t)), float(t.count(" "))] for t in texts]
+    return encode
+
+
+@register("model_embed", "V9", """
+SELECT doc_id, CASE WHEN text LIKE '% the %' THEN 0 ELSE 2 END AS dim,
+       CASE WHEN text NOT LIKE '% the %' THEN CAST(length(text) AS DOUBLE) END AS v0,
+       CASE WHEN text NOT LIKE '% the %' THEN CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) END AS v1
+FROM documents""")
+def model_embed(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    v = d.select("doc_id", E.model_embedder(_load_length_model, 2)("text").alias("v"))
+    return v.select("doc_id", F.size("v").alias("dim"), F.try_element_at("v", F.lit(1)).cast("double").alias("v0"),
+                    F.try_element_at("v", F.lit(2)).cast("double").alias("v1"))
+
+
 @register("lsh_topk", "V7")
 def lsh_topk(spark, sf_dir):
     corpus = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -232,10 +253,10 @@ def context_join(spark, sf_dir):
 
 @register("rag_prompts", "T21 V5 T25", fx.with_views(
     f"SELECT q.item_id, {P.fill_sql(P.RAG_PROMPT, question='q.question', context='c.context')} AS prompt "
-    f"FROM questions q JOIN ({_context_sql()}) c ON c.item_id = q.item_id",
+    f"FROM questions q LEFT JOIN ({_context_sql()}) c ON c.item_id = q.item_id",
     "articles", extra=text_ctes(), recursive=True))
 def rag_prompts(spark, sf_dir):
     c = contexts(spark, sf_dir)
     q = questions(spark, sf_dir)
-    return q.join(c, "item_id").select(
+    return q.join(c, "item_id", "left").select(   # a question without hits gets an empty context
         "item_id", P.fill(P.RAG_PROMPT, question=F.col("question"), context=F.col("context")).alias("prompt"))

@@ -76,11 +76,18 @@ def bulk_append(spark, sf_dir):
     return spark.read.schema(ART_SCHEMA).parquet(path).select("entry_id", "source", "title", "content", "published_at")
 
 
-@register("csv_roundtrip", "S5 K9", fx.with_views(_ART_OUT, "articles"))
+@register("csv_roundtrip", "S5 K9", fx.with_views(f"""
+SELECT entry_id, source, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE title END AS title,
+       CASE doc_id % 3 WHEN 0 THEN '  "' || content || chr(9) || ' ' ELSE content END AS content,
+       strftime(published_at, '%Y-%m-%d') AS published_at, CAST(NULL AS VARCHAR) AS summary FROM articles""", "articles"))
 def csv_roundtrip(spark, sf_dir):
+    """With empty and missing titles, edge white space, quotes, and a column without values."""
     path = fresh_path(spark, "articles-csv")
-    FS.write_csv(_articles_out(spark, sf_dir).drop("doc_id"), path)
-    return FS.read_csv(spark, path, ART_SCHEMA)
+    m4, a = F.col("doc_id") % 4, _articles_out(spark, sf_dir)
+    a = a.withColumn("title", F.when(m4 == 0, "").when(m4 == 1, F.lit(None)).otherwise(F.col("title")))
+    a = a.withColumn("content", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('  "'), "content", F.lit("\t "))).otherwise(F.col("content")))
+    FS.write_csv(a.withColumn("summary", F.lit(None).cast("string")).drop("doc_id"), path)
+    return FS.read_csv(spark, path, ART_SCHEMA + ", summary string")
 
 
 @register("json_roundtrip", "S6 K10", fx.with_views(_ART_OUT, "articles"))
@@ -98,8 +105,8 @@ def text_dump(spark, sf_dir):
 
 
 @register("get_or_create_batch", "K8", fx.with_views("""
-SELECT r.source, r.title, coalesce(e.id, md5(coalesce(r.source, '') || '|' || coalesce(r.title, ''))) AS id,
-       e.id IS NULL AS created
+SELECT r.source, r.title, coalesce(e.id, md5(coalesce(CAST(length(r.source) AS VARCHAR) || ':' || r.source, '-') ||
+       coalesce(CAST(length(r.title) AS VARCHAR) || ':' || r.title, '-'))) AS id, e.id IS NULL AS created, 1 AS n_rows
 FROM (SELECT DISTINCT source, title FROM articles) r
 LEFT JOIN (SELECT source, title, min(entry_id) AS id FROM articles WHERE doc_id % 3 = 0 GROUP BY source, title) e
   ON e.source IS NOT DISTINCT FROM r.source AND e.title IS NOT DISTINCT FROM r.title""", "articles"))
@@ -107,8 +114,13 @@ def get_or_create_batch(spark, sf_dir):
     path = fresh_path(spark, "articles-existing")
     a = fx.articles(spark, sf_dir)
     a.where(F.col("doc_id") % 3 == 0).select("source", "title", F.col("entry_id").alias("id")).write.parquet(path)
-    existing = spark.read.parquet(path)
-    return K.get_or_create(existing, a.select("source", "title"), ["source", "title"], "id")
+    requests, keys = a.select("source", "title"), ["source", "title"]
+    got = K.get_or_create_rows(spark, path, requests, keys, "id")
+    again = K.get_or_create_rows(spark, path, requests, keys, "id")   # everything exists now
+    table = spark.read.parquet(path).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    table = table.select("id", F.least("n", F.lit(1)).cast("int").alias("n_rows"))
+    same = again.where(~F.col("created")).select("id").distinct()
+    return got.join(same, "id", "left_semi").join(table, "id").select(*keys, "id", "created", "n_rows")
 
 
 # Span categories of the answer log.

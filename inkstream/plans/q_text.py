@@ -45,13 +45,17 @@ def first_sentence(spark, sf_dir):
 
 
 @register("has_links_flag", "T15 P12 G8", fx.with_views(
-    f"SELECT doc_id, {T.has_links_sql('content')} AS has_links FROM messages "
-    f"WHERE content IS NOT NULL AND NOT {T.has_links_sql('content')}", "messages"))
+    f"SELECT doc_id, {T.has_links_sql('content')} AS has_links FROM messages", "messages"))
 def has_links_flag(spark, sf_dir):
-    # Keep the rows whose flag is false; the regex runs once (as the filter), and the flag of
-    # every surviving row is false by construction.
-    m = fx.messages(spark, sf_dir).where(F.col("content").isNotNull() & ~T.has_links("content"))
-    return m.select("doc_id", F.lit(False).alias("has_links"))
+    return fx.messages(spark, sf_dir).select("doc_id", T.has_links("content").alias("has_links"))
+
+
+@register("rows_without_links", "P12", fx.with_views(
+    "SELECT doc_id FROM messages WHERE doc_id % 5 <> 0 AND content IS NOT NULL "
+    "AND NOT contains(content, 'http') AND NOT contains(content, 'www.')", "messages"))
+def rows_without_links(spark, sf_dir):
+    m = fx.messages(spark, sf_dir)
+    return m.where(F.col("content").isNotNull() & ~T.has_links("content")).select("doc_id")
 
 
 @register("word_count", "T16", fx.with_views(
@@ -101,13 +105,53 @@ def fill_simple_prompt(spark, sf_dir):
 
 @register("fill_rag_prompt", "T21", fx.with_views(
     f"SELECT conv_id, turn, {P.fill_sql(P.RAG_PROMPT, question='question', context='answer')} AS prompt "
-    f"FROM answers", "answers"))
+    f"FROM (SELECT conv_id, turn, answer, CASE WHEN conv_id % 3 = 0 THEN question || ' {{context}} {{question}}' "
+    f"ELSE question END AS question FROM answers)", "answers"))
 def fill_rag_prompt(spark, sf_dir):
-    a = fx.answers(spark, sf_dir)
+    # every third question holds slot names itself: they must stay as they are
+    a = fx.answers(spark, sf_dir).withColumn("question", F.when(
+        F.col("conv_id") % 3 == 0, F.concat("question", F.lit(" {context} {question}"))).otherwise(F.col("question")))
     return a.select("conv_id", "turn",
                     P.fill(P.RAG_PROMPT, question=F.col("question"), context=F.col("answer")).alias("prompt"))
 
 
+@register("norm_unicode_ws", "T12", """
+SELECT doc_id, lang || ' a b ' || CAST(doc_id AS VARCHAR) || ' c' AS out FROM documents""")
+def norm_unicode_ws(spark, sf_dir):
+    """Runs of spaces of every kind inside and at the edges of a text."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "lang")
+    odd = F.concat(F.lit("\u00a0\x0b"), "lang", F.lit("\u2003 \u2028a\u00a0b\x1c\n"), F.col("doc_id").cast("string"), F.lit("\u3000c\x85 "))
+    return d.select("doc_id", T.norm_ws(odd).alias("out"))
+
+
+_PROMPT_KINDS = {
+    "expansion": (P.EXPANSION_PROMPT, {"n_expansions": ("3", None), "separator": (P.QUESTION_SEPARATOR, None), "question": (None, "question")}),
+    "rerank": (P.RERANK_PROMPT, {"keep_top_k": ("3", None), "separator": (P.PASSAGE_SEPARATOR, None), "question": (None, "question"),
+                                 "passages": (None, "answer")}),
+    "question_answer": (P.QA_PROMPT, {"user_query": (None, "question"), "context": (None, "answer")}),
+    "evaluation": (P.EVALUATION_PROMPT, {"query": (None, "question"), "output": (None, "answer")}),
+}
+
+
+def _replaced_sql(template: str, slots: dict) -> str:
+    """Fills by nested replace(): equal to one pass as long as no value holds a slot name."""
+    out = T._q(template)
+    for name, (value, col) in slots.items():
+        out = f"replace({out}, '{{{name}}}', {T._q(value) if col is None else f"coalesce({col}, '')"})"
+    return out
+
+
+@register("fill_prompt_kinds", "T21", fx.with_views(" UNION ALL ".join(
+    f"SELECT conv_id, turn, '{k}' AS kind, {_replaced_sql(t, s)} AS prompt FROM answers"
+    for k, (t, s) in _PROMPT_KINDS.items()), "answers"))
+def fill_prompt_kinds(spark, sf_dir):
+    a = fx.answers(spark, sf_dir)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), P.fill(t, **{
+        n: F.lit(v) if c is None else F.col(c) for n, (v, c) in s.items()}).alias("prompt"))
+        for k, (t, s) in _PROMPT_KINDS.items()])
+    return a.select("conv_id", "turn", F.inline(kinds))
+
+
 # ----------------------------------------------------------------------------- T22
 # Injected question endings (keyed by item_id % 5) and currency aliases.
 QUESTION_ENDINGS = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,25 +36,43 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root folder for written tables, stream checkpoints and lineage cuts.
+    """Root folder for written tables, stream checkpoints and lineage cuts: ``spark.checkpoint.dir``,
+    else the folder given to ``setCheckpointDir``. Only a session on a local master that has neither
+    (tests, a laptop) gets a scratch folder; anywhere else executors would not see it, so it raises."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir (or setCheckpointDir) to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="inkstream-"))
+        root = sc.getCheckpointDir()
+    return "file://" + root[5:] if root.startswith("file:/") and not root.startswith("file://") else root
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``. Only when that is
-    unset (tests, a laptop) do we create a scratch folder and register it as the checkpoint dir.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="inkstream-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
+
+_OWNERS: list[list[str]] = []
+
+
+@contextmanager
+def owned_folders(spark: SparkSession):
+    """Folders made by ``fresh_path`` (and so by ``materialize``) inside the block are intermediate:
+    they are removed at its end. Use the results inside the block, or write them elsewhere."""
+    made: list[str] = []
+    _OWNERS.append(made)
+    try:
+        yield made
+    finally:
+        _OWNERS.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the shared folder (never reused, never cleared)."""
-    root = shared_dir(spark)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique sub-path of the shared folder (never reused)."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     return path
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "multiLine": "true"}
+# Edge white space is kept; NULL is written as \\N, so it stays apart from an empty string.
+CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "multiLine": "true", "nullValue": "\\N",
+               "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -45,5 +47,7 @@ def read_text_records(spark: SparkSession, path: str, schema: StructType | str)
 
 def append_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "append") -> None:
     """Bulk insert into a table partitioned by ``partition_col`` (``mode='overwrite'`` =
-    drop and recreate)."""
+    drop and recreate). Rows are rebalanced by that column first, so a partition gets few files and
+    a hot one is split."""
+    df = df.hint("rebalance", partition_col)
     df.write.mode(mode).partitionBy(partition_col).parquet(path)

@@ -91,14 +91,28 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Texts and what they mean, written down by hand (the oracle of date parsing).
+DATE_TEXTS = (
+    ("2024-05-06", "2024-05-06 00:00:00"), ("2024-05-06T01:02:03Z", "2024-05-06 01:02:03"),
+    ("2024-05-06T01:02:03+00:00", "2024-05-06 01:02:03"), ("2024-05-06T23:02:03.123Z", "2024-05-06 23:02:03"),
+    ("2024-05-06T01:02:03", "2024-05-06 01:02:03"), ("2024-05-06 01:02:03-0500", "2024-05-06 01:02:03"),
+    ("May 6, 2024", "2024-05-06 00:00:00"), ("6 May 2024", "2024-05-06 00:00:00"), ("05/06/2024", "2024-05-06 00:00:00"),
+    ("26/05/2024", "2024-05-26 00:00:00"), ("Mon, 6 May 2024 10:30:00 GMT", "2024-05-06 10:30:00"),
+    ("Sept. 3rd, 2024 at 10:30 PM", "2024-09-03 22:30:00"), ("20240506", "2024-05-06 00:00:00"),
+    ("2024/5/6 9:05", "2024-05-06 09:05:00"), ("2024-03-10 02:30:00", "2024-03-10 02:30:00"),
+    ("December 31 2024 12:15 am", "2024-12-31 00:15:00"), ("not a date", None), ("2024-13-40", None), ("", None),
+    ("30 Foo 2024", None), ("2024-05-06 later", None),
+)
+
+
 def date_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", "doc_id")
     doc_id = F.col("doc_id")
-    m4, m5 = doc_id % 4, doc_id % 5
+    m5 = doc_id % 5
+    raw = F.element_at(F.array(*[F.lit(t) for t, _ in DATE_TEXTS]), (doc_id % len(DATE_TEXTS) + 1).cast("int"))
     return d.select(
         "doc_id",
-        F.when(m4 == 0, "2024-05-06").when(m4 == 1, "2024-05-06T01:02:03Z")
-        .when(m4 == 2, "May 6, 2024").otherwise("not a date").alias("raw_date"),
+        raw.alias("raw_date"),
         F.concat(
             (1 + doc_id % 9).cast("string"),
             F.when(m5 == 0, " minutes").when(m5 == 1, " hours").when(m5 == 2, " day")
@@ -191,8 +205,6 @@ SELECT doc_id AS seq,
 FROM documents""",
     "date_strings": r"""
 SELECT doc_id,
-       CASE doc_id % 4 WHEN 0 THEN '2024-05-06' WHEN 1 THEN '2024-05-06T01:02:03Z'
-                       WHEN 2 THEN 'May 6, 2024' ELSE 'not a date' END AS raw_date,
        concat(CAST(1 + doc_id % 9 AS VARCHAR),
               CASE doc_id % 5 WHEN 0 THEN ' minutes' WHEN 1 THEN ' hours' WHEN 2 THEN ' day'
                               WHEN 3 THEN ' weeks' ELSE ' months' END) AS raw_delta

@@ -4,7 +4,7 @@ The reference parses pages with a DOM library on one machine. Here each page is
 extraction is a fixed set of regular expressions over it (own contract, stated per function), so
 pages are processed in parallel and whole, with no per-row Python.
 
-Contract shared by S8/S9: only the first ``<article>`` element is read; a block (``<p>``, ``<h1>``,
+Contract shared by S8/S9: S8 reads every ``<article>`` element of a page, S9 the first; a block (``<p>``, ``<h1>``,
 ``<h2>``) starts at its opening tag and ends at its closing tag, at the next block start, or at the
 end of the article (so unclosed ``<p>`` tags work); block text is the markup with tags removed
 and the common entities decoded.
@@ -63,6 +63,11 @@ def article_body(html) -> Column:
     return F.regexp_extract(_c(html), ARTICLE, 1)
 
 
+def article_bodies(html) -> Column:
+    """The bodies of all <article> elements of a page, in order."""
+    return F.regexp_extract_all(_c(html), F.lit(ARTICLE), 1)
+
+
 def article_body_sql(e: str) -> str:
     return f"regexp_extract({e}, {_q(ARTICLE)}, 1)"
 
@@ -78,14 +83,14 @@ def _blocks_sql(body: str, open_re: str, close_re: str) -> str:
             f"lambda x: {block_text_sql(f'regexp_split_to_array(x, {_q(close_re)})[1]')})")
 
 
-def extract_article(html):
-    """(title, summary, published_at, content) of the first <article> of a page.
+def extract_article(body):
+    """(title, summary, published_at, content) of one <article> body (see ``article_bodies``).
 
     title: h1 text, stripped. summary: text of a <div> right after the h1, null when absent.
     published_at: ``time@datetime`` parsed to YYYY-MM-DD (null when absent or unparsable).
     content: texts of the <p> blocks without an "Advertisement" one, joined by one space.
     """
-    body = article_body(html)
+    body = _c(body)
     title = py_strip(block_text(F.regexp_extract(body, H1, 1)))
     summary = F.nullif(py_strip(block_text(F.regexp_extract(body, SUMMARY_DIV, 1))), F.lit(""))
     published = parse_date(F.nullif(F.regexp_extract(body, TIME_ATTR, 1), F.lit("")))
@@ -94,8 +99,7 @@ def extract_article(html):
     return title.alias("title"), summary.alias("summary"), published.alias("published_at"), content.alias("content")
 
 
-def extract_article_sql(html: str) -> str:
-    body = article_body_sql(html)
+def extract_article_sql(body: str) -> str:
     title = py_strip_sql(block_text_sql(f"regexp_extract({body}, {_q(H1)}, 1)"))
     summary = f"NULLIF({py_strip_sql(block_text_sql(f'regexp_extract({body}, {_q(SUMMARY_DIV)}, 1)'))}, '')"
     published = parse_date_sql(f"NULLIF(regexp_extract({body}, {_q(TIME_ATTR)}, 1), '')")
