@@ -1,29 +1,33 @@
 """Vector search, merge, rerank (V2..V8, A5, T25, P16, P17).
 
-Plan shape (exact search): the corpus is scanned once; the query table is small and is broadcast
-as a matrix after a size check, so every corpus row is scored against every query vector in place
-(the work of exact search is |corpus| x |queries| by definition) with one numpy matrix product per
-Arrow batch. Each batch emits only its top-k per query, so only k rows per query and batch reach
-the shuffle of the final ``row_number() <= k``, however large the corpus or hot a query.
-Scores are rounded to 9 decimals before ranking so mathematically equal cosines tie exactly, and
-ties break on the corpus id.
-
-Approximate search (V7): random-hyperplane LSH. Corpus and queries get one bucket per table; an
+Plan shape (exact search): the corpus is scanned once; the query side is broadcast as a matrix in
+blocks of bounded bytes, so every corpus row is scored against every query vector in place (the work of
+exact search is |corpus| x |queries| by definition) with one numpy matrix product per Arrow batch. Each
+task carries its top-k per query along and emits it once, so at most queries x k rows per task reach the
+shuffle of the final ``row_number() <= k``, however many scores tie. Scores are rounded to 9 decimals
+before ranking so mathematically equal cosines tie exactly, and ties break on the corpus id.
+
+Approximate search (V7): random-hyperplane LSH with bits from the corpus size and one-bit probes; an
 equi-join on (table, bucket) yields candidates that are then scored exactly.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from inkstream.operators.embedding import words
 from inkstream.session import materialize
 
-MAX_BROADCAST_QUERIES = 20_000  # query vectors per broadcast block (x dim x 8 bytes stays small)
+MAX_BROADCAST_BYTES = 64 << 20  # query vectors (as doubles) per broadcast block
 SCORE_DECIMALS = 9
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -46,102 +50,122 @@ def cosine_score(a, a_norm, b, b_norm) -> Column:
     return F.round(dot(a, b) / (_c(a_norm) * _c(b_norm)), SCORE_DECIMALS)
 
 
-def _query_blocks(queries: DataFrame, keys: list[str], max_queries: int) -> list[DataFrame]:
-    """Split the query table into blocks that are each safe to broadcast (size checked)."""
-    n = queries.count()
-    if n <= max_queries:
+def _query_blocks(queries: DataFrame, keys: list[str], dim: int, max_bytes: int) -> list[DataFrame]:
+    """The queries in hash blocks of about ``max_bytes`` of vectors, each safe to broadcast."""
+    blocks = max(1, -(-queries.count() * dim * 8 // max_bytes))
+    if blocks == 1:
         return [queries]
-    blocks = -(-n // max_queries) * 2  # hash blocks, 2x slack so no block exceeds the bound in practice
     h = F.pmod(F.xxhash64(*keys), F.lit(blocks))
     return [queries.where(h == b) for b in range(blocks)]
 
 
-def _block_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols, k: int, out_schema):
-    """Per Arrow batch of corpus rows: cosine of every (query, row) pair by one matrix product,
-    rounded, and only the rows at or above each query's k-th best score are emitted (ties at the
-    cut kept, so the final per-query ranking stays exact)."""
-    import pyarrow as pa
+def _best(table: pa.Table, corpus_id: str, k: int) -> pa.Table:
+    """The k best rows of each query (column ``_q``), equal scores by the smaller id."""
+    table = table.sort_by([("_q", "ascending"), ("score", "descending"), (corpus_id, "ascending")])
+    q = table.column("_q").to_numpy()
+    first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+    place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    return table.filter(pa.array(place < k))
+
+
+def _task_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols, k: int, out_schema):
+    """Cosine of every (query, row) pair of a task by one matrix product per chunk of rows. The task
+    carries its k best rows per query along and returns them once, at its end: at most
+    queries x k rows, however many scores are equal."""
+    held_cols = ["_q", "score", corpus_id, *corpus_cols]
 
     def fn(batches):
         qkeys, qmat = bq.value
         qn = np.sqrt((qmat * qmat).sum(axis=1))
+        held = None
         for rb in batches:
-            n = rb.num_rows
-            if n == 0 or len(qmat) == 0:
-                continue
             vec = rb.column(corpus_vec)
-            lens = np.asarray(vec.value_lengths().fill_null(0))
-            ok = lens == qmat.shape[1]
-            if not ok.any():
+            lens = vec.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+            rows = np.flatnonzero(lens == qmat.shape[1])
+            if not len(rows) or not len(qmat):
                 continue
-            rows = np.nonzero(ok)[0]
+            ids = rb.column(corpus_id).take(pa.array(rows))
+            rows = rows[pc.array_sort_indices(ids).to_numpy()]          # ties go to the smaller id
             cm = np.asarray(vec.take(pa.array(rows)).flatten(), dtype=np.float64).reshape(len(rows), qmat.shape[1])
             cn = np.sqrt((cm * cm).sum(axis=1))
             good = cn > 0
             rows, cm, cn = rows[good], cm[good], cn[good]
-            if len(rows) == 0:
+            if not len(rows):
                 continue
-            out_q, out_r, out_s = [], [], []
+            kk, found = min(k, len(rows)), []
             for q0 in range(0, len(qmat), 512):
                 sc = np.round((qmat[q0:q0 + 512] @ cm.T) / np.outer(qn[q0:q0 + 512], cn), SCORE_DECIMALS)
-                kk = min(k, sc.shape[1])
-                cut = -np.partition(-sc, kk - 1, axis=1)[:, kk - 1]
-                qi, ri = np.nonzero(sc >= cut[:, None])
-                out_q.append(qi + q0)
-                out_r.append(ri)
-                out_s.append(sc[qi, ri])
-            qi, ri, scv = np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_s)
-            cols = {}
-            for j, f in enumerate(key_fields):
-                cols[f.name] = pa.array([qkeys[i][j] for i in qi], type=out_schema.field(f.name).type)
+                cut = -np.partition(-sc, kk - 1, axis=1)[:, kk - 1:kk]
+                over, tied = sc > cut, sc == cut
+                pick = over | tied & (np.cumsum(tied, axis=1) <= kk - over.sum(axis=1, keepdims=True))
+                qi, ri = np.nonzero(pick)
+                found.append((qi + q0, ri, sc[qi, ri]))
+            qi, ri, score = (np.concatenate(x) for x in zip(*found))
             take = pa.array(rows[ri])
-            cols[corpus_id] = rb.column(corpus_id).take(take)
-            cols["score"] = pa.array(scv, type=pa.float64())
-            for c in corpus_cols:
-                cols[c] = rb.column(c).take(take)
-            yield pa.RecordBatch.from_arrays([cols[f.name] for f in out_schema], schema=out_schema)
+            new = pa.table([pa.array(qi), pa.array(score), *[rb.column(c).take(take) for c in held_cols[2:]]], names=held_cols)
+            held = _best(new if held is None else pa.concat_tables([held, new]), corpus_id, k)
+        if held is not None and held.num_rows:
+            qi = held.column("_q").to_pylist()
+            cols = {f.name: pa.array([qkeys[i][j] for i in qi], type=out_schema.field(f.name).type)
+                    for j, f in enumerate(key_fields)}
+            cols |= {c: held.column(c).combine_chunks() for c in held_cols[1:]}
+            yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in out_schema], schema=out_schema)
     return fn
 
 
+def unsearchable(queries: DataFrame, query_keys: list[str], query_vec: str, dim: int | None = None) -> DataFrame:
+    """Queries that can't have hits, with the reason: no vector, NULL components, zero, wrong length."""
+    v = F.col(query_vec)
+    reason = F.when(v.isNull() | (F.size(v) == 0), "no vector").when(F.exists(v, lambda x: x.isNull()), "null component") \
+        .when(~F.exists(v, lambda x: x != 0), "zero vector")
+    if dim is not None:
+        reason = reason.when(F.size(v) != dim, "wrong length")
+    return queries.select(*query_keys, reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str,
                 query_keys: list[str], query_vec: str, corpus_cols: tuple[str, ...] = (),
-                predicate: Column | None = None, max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+                predicate: Column | None = None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Exact cosine top-k per query (V2/V3, with P16/P17 predicates applied to the corpus first).
 
-    The query side is small and size-checked (``max_queries`` rows per block); each block is
-    broadcast once as a matrix and every corpus partition scores its rows against it with one
-    matrix product per Arrow batch, keeping only each batch's top-k per query. The per-query
-    ``row_number() <= k`` over those survivors is then tiny. Returns
-    query_keys..., rank, corpus_id, score, corpus_cols...
+    Queries are searched among the corpus vectors of their own length, each length on its own, in
+    blocks of ``max_bytes`` that are broadcast as a matrix; with several blocks the corpus is written
+    once and read per block. Every task returns at most k rows per query; the ``row_number() <= k``
+    over those is small. Queries without a usable vector have no hits (``unsearchable`` names them).
+    Returns query_keys..., rank, corpus_id, score, corpus_cols...
     """
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = corpus.sparkSession
     if predicate is not None:
         corpus = corpus.where(predicate)
-    c = corpus.select(corpus_id, corpus_vec, *corpus_cols)
+    c = corpus.select(corpus_id, corpus_vec, *corpus_cols).where(
+        F.col(corpus_vec).isNotNull() & ~F.exists(corpus_vec, lambda x: x.isNull()))
     key_fields = [queries.schema[q] for q in query_keys]
     out_struct = T.StructType([*key_fields, corpus.schema[corpus_id], T.StructField("score", T.DoubleType()),
                                *[corpus.schema[x] for x in corpus_cols]])
     out_arrow = to_arrow_schema(out_struct)
     w = Window.partitionBy(*query_keys).orderBy(F.col("score").desc(), F.col(corpus_id).asc())
-    parts = []
     # the query side is computed once (it may embed texts) and then counted and read per block
-    qtable = materialize(queries.select(*query_keys, query_vec), "query-vectors")
-    for block in _query_blocks(qtable, query_keys, max_queries):
-        rows = block.collect()  # bounded by the size check above
-        qkeys = [tuple(r[q] for q in query_keys) for r in rows if r[query_vec] is not None]
-        vecs = [np.asarray(r[query_vec], dtype=np.float64) for r in rows if r[query_vec] is not None]
-        dim = len(vecs[0]) if vecs else 0
-        keep = [i for i, v in enumerate(vecs) if len(v) == dim and np.any(v)]
-        qmat = np.vstack([vecs[i] for i in keep]) if keep else np.zeros((0, dim))
-        bq = spark.sparkContext.broadcast(([qkeys[i] for i in keep], qmat))
-        scored = c.mapInArrow(_block_topk_fn(bq, key_fields, corpus_id, corpus_vec, corpus_cols, k, out_arrow),
-                              out_struct)
+    v = F.col(query_vec)
+    qtable = materialize(queries.select(*query_keys, query_vec).where(
+        v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & F.exists(v, lambda x: x != 0)), "query-vectors")
+    dims = sorted(r[0] for r in qtable.select(F.size(query_vec)).distinct().collect())
+    blocks = [b for dim in dims for b in _query_blocks(qtable.where(F.size(query_vec) == dim), query_keys, dim, max_bytes)]
+    if len(blocks) > 1:
+        c = materialize(c, "corpus-vectors")
+    parts = []
+    for block in blocks:
+        rows = block.toArrow()  # bounded by the size check above
+        if not rows.num_rows:
+            continue
+        qmat = np.array(rows.column(query_vec).to_pylist(), dtype=np.float64)
+        qkeys = list(zip(*[rows.column(q).to_pylist() for q in query_keys]))
+        bq = spark.sparkContext.broadcast((qkeys, qmat))
+        scored = c.mapInArrow(_task_topk_fn(bq, key_fields, corpus_id, corpus_vec, corpus_cols, k, out_arrow), out_struct)
         parts.append(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    if not parts:
+        parts = [spark.createDataFrame([], out_struct).withColumn("rank", F.lit(0))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -201,32 +225,60 @@ def vector_size_check(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- V7 LSH
+LSH_TABLES = 8
+LSH_BUCKET = 32          # corpus rows per bucket that the number of bits aims at
+
+
+def lsh_bits(n: int, bucket: int = LSH_BUCKET) -> int:
+    """Bits per table for ``n`` corpus rows: buckets keep their size as the corpus grows."""
+    return max(2, math.ceil(math.log2(max(n, 1) / bucket)))
+
+
 def hyperplanes(dim: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    return rng.standard_normal((tables * bits, dim))
+    """Random signs: component i of plane (table, bit) is +1 if md5("seed:table:bit:i") begins below 8."""
+    sign = [[1.0 if hashlib.md5(f"{seed}:{t}:{b}:{i}".encode()).hexdigest()[0] < "8" else -1.0 for i in range(dim)]
+            for t in range(tables) for b in range(bits)]
+    return np.array(sign).reshape(tables * bits, dim)
+
 
+def _buckets(df: DataFrame, id_cols: list[str], vec_col: str, planes: np.ndarray, tables: int, bits: int,
+             probe: bool) -> DataFrame:
+    """One row per (id, table, bucket); with ``probe`` also the buckets one bit away."""
+    dim = planes.shape[1]
+    schema = T.StructType([*[df.schema[c] for c in id_cols], T.StructField("tbl", T.IntegerType()),
+                           T.StructField("bucket", T.LongType())])
+    arrow = to_arrow_schema(schema)
+    flips = np.array([0] + [1 << b for b in range(bits)] * probe, dtype=np.int64)
 
-def _signature_udf(planes: np.ndarray, tables: int, bits: int):
-    weights = (1 << np.arange(bits)).astype(np.int64)
+    def fn(batches):
+        for rb in batches:
+            m = np.asarray(rb.column(len(id_cols)).flatten(), dtype=np.float64).reshape(rb.num_rows, dim)
+            code = ((m @ planes.T > 0).reshape(-1, tables, bits) * (1 << np.arange(bits))).sum(axis=2)
+            every = (code[:, :, None] ^ flips).reshape(-1)
+            row = pa.array(np.repeat(np.arange(rb.num_rows), tables * len(flips)))
+            tbl = np.tile(np.repeat(np.arange(tables), len(flips)), rb.num_rows)
+            yield pa.RecordBatch.from_arrays([*[rb.column(k).take(row) for k in range(len(id_cols))],
+                                              pa.array(tbl, pa.int32()), pa.array(every)], schema=arrow)
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def sig(vecs: pd.Series) -> pd.Series:
-        if len(vecs) == 0:
-            return pd.Series([], dtype=object)
-        m = np.vstack([np.asarray(v, dtype=np.float64) for v in vecs])
-        b = (m @ planes.T > 0).astype(np.int64).reshape(len(vecs), tables, bits)
-        return pd.Series(list((b * weights).sum(axis=2)))
-    return sig
+    return df.select(*id_cols, vec_col).mapInArrow(fn, schema)
 
 
 def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str,
-             query_keys: list[str], query_vec: str, dim: int, tables: int = 8, bits: int = 6,
+             query_keys: list[str], query_vec: str, dim: int, tables: int = LSH_TABLES, bits: int | None = None,
              seed: int = 42) -> DataFrame:
-    """V7: approximate top-k. Candidates are corpus rows sharing a bucket with the query in any
-    table (equi-join, no cap on candidates); every candidate is scored exactly."""
-    sig = _signature_udf(hyperplanes(dim, tables, bits, seed), tables, bits)
-    cb = corpus.select(corpus_id, F.posexplode(sig(corpus_vec)).alias("tbl", "bucket"))
-    qb = queries.select(*query_keys, F.posexplode(sig(query_vec)).alias("tbl", "bucket"))
+    """V7: approximate top-k. Candidates are corpus rows that share a bucket of some table with the
+    query or lie one bit away (equi-join, no cap); every candidate is scored exactly. The number of
+    bits follows from the corpus size, so a query's candidates do not grow with the corpus. Vectors that
+    are NULL, hold NULL, or have another length than ``dim`` take no part."""
+    def usable(df, vec):
+        v = F.col(vec)
+        return df.where(v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull()))
+
+    corpus, queries = usable(corpus, corpus_vec), usable(queries, query_vec)
+    bits = bits or lsh_bits(corpus.count())
+    planes = hyperplanes(dim, tables, bits, seed)
+    cb = _buckets(corpus, [corpus_id], corpus_vec, planes, tables, bits, False)
+    qb = _buckets(queries, query_keys, query_vec, planes, tables, bits, True)
     cand = qb.join(cb, ["tbl", "bucket"]).select(*query_keys, corpus_id).distinct()
     c = corpus.select(corpus_id, F.col(corpus_vec).alias("_dv"), norm(corpus_vec).alias("_dn"))
     q = queries.select(*query_keys, F.col(query_vec).alias("_qv"), norm(query_vec).alias("_qn"))

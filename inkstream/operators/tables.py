@@ -5,7 +5,8 @@ Merge-on-read layout under a table path::
     <path>/delta/b=<id>/   one folder per upserted batch (a stream's micro-batch id, or the next
                            free id for batch jobs), already reduced to one row per key
     <path>/base/v=<n>/     optional compacted snapshot
-    <path>/_CURRENT/       one line "n,max_b": live base version and the last batch folded into it
+    <path>/_CURRENT/v=<n>/ one line "n,max_b": base version and the last batch folded into it; the
+                           highest n is live (each is written aside and renamed, never overwritten)
 
 An upsert writes only its own batch (cost O(batch), not O(table)) with ``mode=overwrite`` into
 ``b=<id>``, so a replayed micro-batch rewrites the same folder: idempotent. A reader unions the base
@@ -13,7 +14,8 @@ with the newer deltas and keeps, per key, the row with the greatest ``seq``:
 ``groupBy(key).agg(max_by(struct(row), seq))`` - an aggregate with a partial (map-side) step
 (sort-based, as its buffer holds a whole row, so it spills instead of running out of memory), so a
 key holding a third of all updates is reduced on every map task before the shuffle.
-``compact`` folds the deltas into a new base (written fully before ``_CURRENT`` moves).
+``compact`` folds the deltas into a new base (written fully before its pointer appears) and removes
+the deltas that the base before it already held.
 
 One writer per table at a time (a stream's foreachBatch, or a batch job). Where a merge-capable
 table format is installed, ``MERGE INTO`` is the drop-in replacement.
@@ -43,36 +45,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _delta_ids(spark: SparkSession, path: str) -> list[int]:
-    d = os.path.join(path, "delta")
-    if not path_exists(spark, d):
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers n of the entries ``<prefix>n`` of a folder (one listing), ascending."""
+    if not path_exists(spark, folder):
         return []
-    fs, p = _fs(spark, d)
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("b=") and path_exists(spark, os.path.join(d, name, "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    fs, p = _fs(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
+def _delta_ids(spark: SparkSession, path: str) -> list[int]:
+    return _numbers(spark, os.path.join(path, "delta"), "b=")
 
 
 def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    ptr = os.path.join(path, POINTER)
-    if not path_exists(spark, ptr):
+    """Live base version and the last batch folded into it: the highest pointer version."""
+    versions = _numbers(spark, os.path.join(path, POINTER), "v=")
+    if not versions:
         return None
-    v, b = spark.read.text(ptr).first()[0].split(",")
+    v, b = spark.read.text(os.path.join(path, POINTER, f"v={versions[-1]}")).first()[0].split(",")
     return int(v), int(b)
 
 
-def latest_per_key(df: DataFrame, key: str | list[str], seq: str) -> DataFrame:
-    """One row per key: the row with the greatest seq (partial-aggregation friendly)."""
+def latest_per_key(df: DataFrame, key: str | list[str], seq: str | tuple[str, ...]) -> DataFrame:
+    """One row per key: the row with the greatest seq (or tuple of columns, compared in order);
+    partial-aggregation friendly."""
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq)).alias("_r"))
+    order = F.col(seq) if isinstance(seq, str) else F.struct(*seq)
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r"))
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str], seq: str,
+def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str], seq: str | tuple[str, ...],
            batch_id: int | None = None) -> int:
     """K1/K2: merge ``batch`` into the table (last write wins by ``seq``). Returns the batch id."""
     if batch_id is None:
@@ -83,7 +88,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str
     return batch_id
 
 
-def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str) -> DataFrame | None:
+def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str | tuple[str, ...]) -> DataFrame | None:
     """The live table: base plus newer deltas, one row per key."""
     ptr = _pointer(spark, path)
     base_max = ptr[1] if ptr else -1
@@ -102,7 +107,7 @@ def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str) -
     return latest_per_key(u, key, seq)
 
 
-def compact(spark: SparkSession, path: str, key: str | list[str], seq: str) -> None:
+def compact(spark: SparkSession, path: str, key: str | list[str], seq: str | tuple[str, ...]) -> None:
     """Fold all deltas into a new base snapshot; ``_CURRENT`` moves only after it is written."""
     ids = _delta_ids(spark, path)
     ptr = _pointer(spark, path)
@@ -112,8 +117,16 @@ def compact(spark: SparkSession, path: str, key: str | list[str], seq: str) -> N
     v = 0 if ptr is None else ptr[0] + 1
     max_b = max(ids + [ptr[1] if ptr else -1])
     merged.write.mode("overwrite").parquet(os.path.join(path, "base", f"v={v}"))
-    spark.createDataFrame([(f"{v},{max_b}",)], "value string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(path, POINTER))
+    pointer = os.path.join(path, POINTER, f"v={v}")       # appears whole: written aside, then renamed
+    spark.createDataFrame([(f"{v},{max_b}",)], "value string").coalesce(1).write.mode("overwrite").text(pointer + ".new")
+    fs, p = _fs(spark, pointer)
+    if not fs.rename(_fs(spark, pointer + ".new")[1], p):
+        raise OSError(f"could not move the pointer of {path} to version {v}")
+    # what the version before the last no longer needs: readers of the last one may still be at work
+    for old in [b for b in ids if ptr and b <= ptr[1]]:
+        fs.delete(_fs(spark, os.path.join(path, "delta", f"b={old}"))[1], True)
+    for old in range(v - 1):
+        fs.delete(_fs(spark, os.path.join(path, "base", f"v={old}"))[1], True)
 
 
 def get_or_create(existing: DataFrame, requests: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:

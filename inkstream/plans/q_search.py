@@ -103,7 +103,25 @@ def model_embed(spark, sf_dir):
                     F.try_element_at("v", F.lit(2)).cast("double").alias("v1"))
 
 
-@register("lsh_topk", "V7")
+_LSH_SQL = f"""
+WITH queries_v AS ({fx.SQL_VIEWS["queries_v"]}),
+bits AS (SELECT CAST(greatest(2, ceil(log2(count(*) / {S.LSH_BUCKET}.0))) AS INT) AS n FROM embeddings),
+planes AS (SELECT t, b, list(CASE WHEN md5('42:' || t || ':' || b || ':' || i) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END ORDER BY i) AS p
+  FROM range({S.LSH_TABLES}) a(t), (SELECT unnest(range((SELECT n FROM bits))) AS b), range({EMBED_DIM}) c(i) GROUP BY t, b),
+cc AS (SELECT vec_id, t, sum(CASE WHEN list_inner_product(CAST(embedding AS DOUBLE[]), p) > 0 THEN 1 << b ELSE 0 END) AS code
+  FROM embeddings, planes GROUP BY vec_id, t),
+qc AS (SELECT query_id, variant_no, t, sum(CASE WHEN list_inner_product(q, p) > 0 THEN 1 << b ELSE 0 END) AS code
+  FROM queries_v, planes GROUP BY query_id, variant_no, t),
+cand AS (SELECT DISTINCT query_id, variant_no, vec_id FROM qc JOIN cc ON qc.t = cc.t
+  AND bit_count(xor(qc.code::BIGINT, cc.code::BIGINT)) <= 1),
+scored AS (SELECT c.query_id, c.variant_no, c.vec_id, round({_DOT} / ({_QN} * {_EN}), 9) AS score
+  FROM cand c JOIN queries_v q ON q.query_id = c.query_id AND q.variant_no = c.variant_no JOIN embeddings e ON e.vec_id = c.vec_id)
+SELECT query_id, variant_no, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, variant_no ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= {TOP_K // 3}"""
+
+
+@register("lsh_topk", "V7", _LSH_SQL)
 def lsh_topk(spark, sf_dir):
     corpus = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return S.lsh_topk(corpus, fx.queries_v(spark, sf_dir), TOP_K // 3, corpus_id="vec_id", corpus_vec="embedding",

@@ -32,16 +32,18 @@ def upsert_cleaned(spark, sf_dir):
 
 
 @register("upsert_chunks", "K2 U2 P6", fx.with_views(
-    "SELECT chunk_id, max(entry_id) AS entry_id, arg_max(title, entry_id) AS title FROM chunks GROUP BY chunk_id",
+    "SELECT chunk_id, entry_id, title FROM (SELECT c.*, row_number() OVER (PARTITION BY chunk_id ORDER BY a.doc_id DESC, "
+    "entry_id DESC) AS n FROM chunks c JOIN (SELECT entry_id, doc_id FROM articles) a USING (entry_id)) WHERE n = 1",
     "articles", extra=chunks_sql_ctes(), recursive=True))
 def upsert_chunks(spark, sf_dir):
     path = fresh_path(spark, "keyed-chunks")
     cl = cleaned_articles(spark, sf_dir)
     rows = C.chunk_rows(cl, keep=("entry_id", "title", "published_at", "doc_id"))
-    cols = ["chunk_id", "entry_id", "title", "published_at", F.col("chunk_content").alias("content")]
-    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", "entry_id")
-    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", "entry_id")
-    return K.read_keyed(spark, path, "chunk_id", "entry_id").select("chunk_id", "entry_id", "title")
+    cols = ["chunk_id", "entry_id", F.col("doc_id").alias("seq"), "title", "published_at", F.col("chunk_content").alias("content")]
+    order = ("seq", "entry_id")                     # the later article wins, whatever its id
+    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", order)
+    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", order)
+    return K.read_keyed(spark, path, "chunk_id", order).select("chunk_id", "entry_id", "title")
 
 
 @register("scan_cleaned", "S4 S7 P10 D9", fx.with_views(

@@ -8,8 +8,7 @@ Feature flow   (R1):  queue files -> dispatch + validate -> clean -> foreachBatc
 Every query has a checkpoint under the shared folder: offsets and commits make a restart resume
 where it stopped (R4). A replayed micro-batch rewrites the same delta / quarantine folders
 (keyed by batch id), so at-least-once delivery leaves the tables unchanged. The queue is a folder
-of JSON files (any number of files, read in parallel; ``maxFilesPerTrigger`` bounds a micro-batch);
-with the Kafka package installed the same flow reads ``format("kafka")`` instead.
+of JSON files (any number of files, read in parallel; ``maxFilesPerTrigger`` bounds a micro-batch).
 """
 
 from __future__ import annotations
@@ -31,68 +30,102 @@ ENVELOPE_SCHEMA = ("seq bigint, operationType string, ns struct<coll:string>, fu
                    "source:string,title:string,content:string,summary:string,published_at:string>")
 
 
-def publish_messages(df: DataFrame, queue_dir: str, files: int = 8) -> None:
-    """S14/K6 (batch form): rows -> JSON messages appended to the queue folder as new files."""
-    df.select(*[c for c in df.columns]).repartition(files).write.mode("append").json(queue_dir)
+def publish_messages(df: DataFrame, queue_dir: str, files: int | None = None) -> None:
+    """S14/K6 (batch form): rows -> JSON messages appended to the queue folder as new files (one per
+    partition of ``df``, or ``files``)."""
+    (df.repartition(files) if files else df).write.mode("append").json(queue_dir)
+
+
+def parse_messages(lines: DataFrame) -> DataFrame:
+    """Lines (``value``) -> message fields, the line as it came (``raw``) and whether it is broken."""
+    msg = F.from_json("value", MESSAGE_SCHEMA + ", _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    return lines.select(F.col("value").alias("raw"), msg.alias("m")).select(
+        "m.*", "raw", (F.col("m").isNull() | F.col("m._broken").isNotNull()).alias("broken")).drop("_broken")
 
 
 def queue_source(spark: SparkSession, queue_dir: str, max_files_per_trigger: int = 64) -> DataFrame:
     """The queue as a stream of decoded messages (explicit schema, bounded micro-batches)."""
-    return (spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-            .json(queue_dir))
+    return parse_messages(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(queue_dir))
 
 
-def change_capture(spark: SparkSession, envelope_dir: str, queue_dir: str, checkpoint: str):
-    """Envelopes -> inserts -> flat message (entry_id, type = collection) -> queue."""
-    env = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(envelope_dir)
+def change_capture(spark: SparkSession, envelope_dir: str, queue_dir: str, checkpoint: str,
+                   max_files_per_trigger: int = 64, trigger: dict | None = None):
+    """Envelopes -> inserts -> flat message (entry_id, type = collection) -> queue.
+    ``trigger``: arguments of Spark's ``trigger`` (default: all that is there, then stop)."""
+    env = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(envelope_dir)
     msgs = R.flatten_change(R.insert_only(env), keep=("seq",))
     msgs = msgs.select("seq", "type", "entry_id", "source", "title", "summary", "content", "published_at")
     # A plain folder of JSON files (no file-sink log), so any producer can append messages to it.
     # A replayed micro-batch appends its messages again: at-least-once, absorbed by the keyed upserts.
     return (msgs.writeStream.foreachBatch(lambda df, _id: df.write.mode("append").json(queue_dir))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def checked_messages(batch: DataFrame, as_of: str) -> DataFrame:
+    """Messages with the reason why a row is refused (null: accepted); a missing date
+    becomes ``as_of``."""
+    checked = R.validate(R.dispatch(batch).withColumnRenamed("reason", "type_reason"), as_of=as_of)
+    reason = F.when(F.col("broken"), F.lit("broken message")).otherwise(F.coalesce("type_reason", "reason"))
+    return checked.withColumn("reason", reason).drop("type_reason")
+
 
+def cleaned_messages(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNull()).select(
+        "entry_id", "seq", "source", "title", clean_text("content").alias("cleaned_content"), "summary", "published_at",
+        F.lit(R.CLEANED_TYPE).alias("type"))
 
-def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, embed_dim: int, compact_every: int):
+
+#: Order of versions: later messages win; the id decides only between equal ones.
+CLEANED_ORDER, VECTOR_ORDER = "seq", ("seq", "entry_id")
+
+
+def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, embed_dim: int, compact_every: int,
+                   as_of: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checked = R.validate(R.dispatch(batch).withColumnRenamed("reason", "type_reason"), as_of="1970-01-01")
-        checked = checked.withColumn("reason", F.coalesce("type_reason", "reason")).drop("type_reason").persist()
+        checked = checked_messages(batch, as_of).persist()
+        cleaned = cleaned_messages(checked).persist()        # cleaned once, used by both tables
         try:
-            bad = checked.where(F.col("reason").isNotNull())
-            bad.select("entry_id", F.to_json(F.struct(*batch.columns)).alias("raw"), "reason") \
+            checked.where(F.col("reason").isNotNull()).select("entry_id", "raw", "reason") \
                 .write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch_id={batch_id}"))
-            good = checked.where(F.col("reason").isNull())
-            cleaned = good.select("entry_id", "seq", "source", "title", clean_text("content").alias("cleaned_content"),
-                                  "summary", "published_at", F.lit(R.CLEANED_TYPE).alias("type"))
-            K.upsert(spark, cleaned_path, cleaned, "entry_id", "seq", batch_id=batch_id)
-            chunks = chunk_rows(cleaned, keep=("entry_id", "title", "published_at", "type"))
-            vectors = chunks.select("chunk_id", "entry_id", "title", "published_at", "type",
+            K.upsert(spark, cleaned_path, cleaned, "entry_id", CLEANED_ORDER, batch_id=batch_id)
+            chunks = chunk_rows(cleaned, keep=("entry_id", "seq", "title", "published_at", "type"))
+            vectors = chunks.select("chunk_id", "entry_id", "seq", "title", "published_at", "type",
                                     F.col("chunk_content").alias("content"),
                                     hash_embed("chunk_content", embed_dim).alias("embedded_content"))
-            K.upsert(spark, vector_path, vectors, "chunk_id", "entry_id", batch_id=batch_id)
+            K.upsert(spark, vector_path, vectors, "chunk_id", VECTOR_ORDER, batch_id=batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 # keep reads O(table), not O(table + all deltas); a replay of an already folded
                 # batch is skipped by the pointer, so this stays idempotent
-                K.compact(spark, cleaned_path, "entry_id", "seq")
-                K.compact(spark, vector_path, "chunk_id", "entry_id")
+                K.compact(spark, cleaned_path, "entry_id", CLEANED_ORDER)
+                K.compact(spark, vector_path, "chunk_id", VECTOR_ORDER)
         finally:
+            cleaned.unpersist()
             checked.unpersist()
     return run
 
 
+def console_flow(spark: SparkSession, queue_dir: str, checkpoint: str, as_of: str, rows: int = 1000,
+                 max_files_per_trigger: int = 64, trigger: dict | None = None):
+    """K5: the cleaned stream on the console (``rows`` per micro-batch)."""
+    cleaned = cleaned_messages(checked_messages(queue_source(spark, queue_dir, max_files_per_trigger), as_of))
+    return (cleaned.writeStream.format("console").option("truncate", "false").option("numRows", rows)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def feature_flow(spark: SparkSession, queue_dir: str, cleaned_path: str, vector_path: str, quarantine_path: str,
-                 checkpoint: str, embed_dim: int = 384, max_files_per_trigger: int = 64, console: bool = False,
-                 compact_every: int = 32):
-    """One streaming query feeding both keyed tables and the quarantine (K5: ``console`` adds
-    a debug console sink of the cleaned stream). Every ``compact_every`` micro-batches the deltas are
-    folded into a new base snapshot."""
+                 checkpoint: str, as_of: str, embed_dim: int = 384, max_files_per_trigger: int = 64,
+                 console: bool = False, compact_every: int = 32, trigger: dict | None = None):
+    """One streaming query feeding both keyed tables and the quarantine. ``as_of`` is the date
+    of messages without one. ``console`` adds ``console_flow`` with a checkpoint beside this one. Every
+    ``compact_every`` micro-batches the deltas are folded into a new base snapshot."""
     src = queue_source(spark, queue_dir, max_files_per_trigger)
     if console:
-        src.writeStream.format("console").option("truncate", "false").trigger(availableNow=True).start()
+        console_flow(spark, queue_dir, checkpoint.rstrip("/") + "-console", as_of,
+                     max_files_per_trigger=max_files_per_trigger, trigger=trigger)
     return (src.writeStream.foreachBatch(_feature_batch(cleaned_path, vector_path, quarantine_path, embed_dim,
-                                                        compact_every))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                                                        compact_every, as_of))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:

@@ -100,10 +100,11 @@ def test_stream_with_compaction_equals_batch(spark, sf_dir):
     queue = fresh_path(spark, "t-queue")
     ST.change_capture(spark, env, queue, fresh_path(spark, "t-ck-cdc")).awaitTermination()
     c, v, qz = (fresh_path(spark, n) for n in ("t-clean", "t-vec", "t-quar"))
-    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t-ck-feat"), max_files_per_trigger=2,
+    Q._publish_odd_messages(spark, sf_dir, queue)
+    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t-ck-feat"), as_of=Q.AS_OF, max_files_per_trigger=2,
                     compact_every=1).awaitTermination()
     assert K._pointer(spark, c) is not None  # compaction ran
-    got = K.read_keyed(spark, v, "chunk_id", "entry_id").select("chunk_id", "entry_id", "title", "published_at")
+    got = K.read_keyed(spark, v, "chunk_id", ST.VECTOR_ORDER).select("chunk_id", "entry_id", "title", "published_at")
     ok, msg = compare(got, duck_connect(sf_dir), load_all()["stream_feature_flow"].sql)
     assert ok, msg
 
@@ -154,7 +155,7 @@ def test_feature_flow_console_option_runs(spark, sf_dir):
     queue = fresh_path(spark, "t5-queue")
     ST.change_capture(spark, env, queue, fresh_path(spark, "t5-ck")).awaitTermination()
     c, v, qz = (fresh_path(spark, n) for n in ("t5-clean", "t5-vec", "t5-quar"))
-    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t5-ck2"), console=True).awaitTermination()
+    ST.feature_flow(spark, queue, c, v, qz, fresh_path(spark, "t5-ck2"), as_of=Q.AS_OF, console=True).awaitTermination()
     for q in spark.streams.active:  # the console query (JVM stdout) ends by itself with availableNow
         q.awaitTermination()
         assert q.exception() is None
@@ -167,5 +168,5 @@ def test_query_blocks_beyond_broadcast_bound_equal_single_block(spark, sf_dir):
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q"))
     kw = dict(corpus_id="vec_id", corpus_vec="embedding", query_keys=["qid"], query_vec="q")
     one = S.topk_search(e, q, 5, **kw).collect()
-    many = S.topk_search(e, q, 5, max_queries=2, **kw).collect()  # forces several broadcast blocks
+    many = S.topk_search(e, q, 5, max_bytes=64 * 8 * 2, **kw).collect()  # forces several broadcast blocks
     assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 5 * q.count()
