@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from inkstream.operators.embedding import words
 from inkstream.operators.indexing import index_within, join_null_safe
+from inkstream.session import materialize
 
 SCORE_DECIMALS = 9
 
@@ -27,28 +28,34 @@ def null_count(df: DataFrame, cols: list[str]) -> DataFrame:
                   *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_null_{c}") for c in cols])
 
 
-def exact_quantiles(df: DataFrame, value_col: str, tie_col: str, probs: tuple[float, ...]) -> dict:
+def exact_quantiles(df: DataFrame, value_col: str, probs: tuple[float, ...]) -> dict:
     """Exact linear-interpolation quantiles (as pandas ``describe``), without collecting the column:
-    a distributed global index over (value, tie) and a pick of the two ranks around each
-    p * (n - 1). Returns {p: value}."""
-    n = df.count()
+    rows are counted per value, a distributed running sum runs over the distinct values, and the two
+    ranks around each p * (n - 1) are picked. Returns {p: value}."""
+    counts = materialize(df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    n = counts.agg(F.sum("n")).first()[0] or 0
     if n == 0:
         return {p: None for p in probs}
-    idx = index_within(df.select(value_col, tie_col).where(F.col(value_col).isNotNull()), [], [value_col, tie_col])
     wanted = {}
     for p in probs:
         pos = p * (n - 1)
-        lo, hi = int(pos // 1), int(-(-pos // 1))
-        wanted[p] = (lo, hi, pos - lo)
+        wanted[p] = (int(pos // 1), int(-(-pos // 1)), pos - int(pos // 1))
+    # rank r has the value whose copies cover it: rows before it <= r < rows before it + its copies
+    run = index_within(counts, [], [value_col], value_col="n")
     ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
-    got = {r["idx"]: r[value_col] for r in idx.where(F.col("idx").isin(ranks)).select("idx", value_col).collect()}
+    covers = None
+    for r in ranks:
+        c = (F.col("cum_before") <= r) & (F.col("cum_before") + F.col("n") > r)
+        covers = c if covers is None else covers | c
+    rows = [(int(x["cum_before"]), x["n"], x[value_col]) for x in run.where(covers).select("cum_before", "n", value_col).collect()]
+    got = {r: v for r in ranks for before, k, v in rows if before <= r < before + k}
     return {p: got[lo] + (got[hi] - got[lo]) * frac for p, (lo, hi, frac) in wanted.items()}
 
 
-def describe(df: DataFrame, value_col: str, tie_col: str) -> DataFrame:
+def describe(df: DataFrame, value_col: str) -> DataFrame:
     """Count, mean, std, min, 25%, 50%, 75%, max of one numeric column (exact quantiles)."""
     x = df.where(F.col(value_col).isNotNull())
-    q = exact_quantiles(x, value_col, tie_col, (0.25, 0.5, 0.75))
+    q = exact_quantiles(x, value_col, (0.25, 0.5, 0.75))
     base = x.agg(F.count(F.lit(1)).alias("count"), F.avg(value_col).alias("mean"),
                  F.stddev_samp(value_col).alias("std"), F.min(value_col).cast("double").alias("min"),
                  F.max(value_col).cast("double").alias("max"))

@@ -119,10 +119,14 @@ def api_responses(articles: DataFrame, page_size: int = 100) -> DataFrame:
     return pages.select(F.to_json(F.struct(F.lit("ok").alias("status"), "page", "articles")).alias("body"))
 
 
-def api_records_to_articles(responses: DataFrame, language: str, start: str, end: str) -> DataFrame:
+def api_records_to_articles(responses: DataFrame, language: str, start: str, end: str,
+                            page: int | None = None) -> DataFrame:
     """Response JSON -> article rows (publishedAt -> published_at, description -> summary,
-    constant source), with the language and inclusive date-range arguments applied."""
+    constant source), with the language, inclusive date-range and page arguments applied (no page:
+    all pages)."""
     r = responses.select(F.from_json("body", API_ARTICLE_SCHEMA).alias("r"))
+    if page is not None:
+        r = r.where(F.col("r.page") == page)
     a = r.select(F.col("r.page").alias("page"), F.explode("r.articles").alias("a"))
     out = a.select(
         F.lit("news_api").alias("source"), parse_date("a.publishedAt").alias("published_at"),

@@ -194,23 +194,27 @@ def bm25_rerank(candidates: DataFrame, questions: DataFrame, query_key: str, cor
                 question_col: str, keep_top_k: int = 3) -> DataFrame:
     """V5: BM25 of each candidate passage against its question, statistics over that question's
     candidates (the passages a reranker is shown). Returns query_key, rank, corpus_id, bm25."""
-    docs = candidates.select(query_key, corpus_id, words(text_col).alias("w"))
-    docs = docs.select(query_key, corpus_id, F.size("w").alias("dl"), "w")
-    stats = docs.groupBy(query_key).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    tf = docs.select(query_key, corpus_id, "dl", F.explode("w").alias("term")) \
-        .groupBy(query_key, corpus_id, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    qterms = questions.select(query_key, F.explode(F.array_distinct(words(question_col))).alias("term"))
-    hit = tf.join(qterms, [query_key, "term"])
-    df = hit.groupBy(query_key, "term").agg(F.count(F.lit(1)).alias("df"))
-    scored = hit.join(df, [query_key, "term"]).join(stats, query_key)
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (BM25_K1 + 1) / (
-        F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
-    per_doc = scored.groupBy(query_key, corpus_id).agg(F.sum(part).alias("s"))
-    allc = candidates.select(query_key, corpus_id).distinct().join(per_doc, [query_key, corpus_id], "left") \
-        .select(query_key, corpus_id, F.round(F.coalesce("s", F.lit(0.0)), SCORE_DECIMALS).alias("bm25"))
+    passages = candidates.select(query_key, F.struct(F.col(corpus_id).alias("id"), words(text_col).alias("w")).alias("p"))
+    per_query = passages.groupBy(query_key).agg(F.collect_list("p").alias("ps"))      # the few passages of a question
+    asked = questions.select(query_key, F.array_distinct(words(question_col)).alias("terms"))
+    g = per_query.join(asked, query_key, "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<string>")))
+    n_docs = F.size("ps").cast("double")
+    avgdl = F.aggregate("ps", F.lit(0.0), lambda acc, x: acc + F.size(x["w"])) / n_docs
+    g = g.withColumn("avgdl", avgdl).withColumn("terms", F.transform("terms", lambda t: F.struct(
+        t.alias("t"), F.size(F.filter("ps", lambda x: F.array_contains(x["w"], t))).alias("df"))))
+
+    def part(term: Column, doc: Column) -> Column:
+        tf = F.size(F.filter(doc["w"], lambda x: x == term["t"])).cast("double")
+        idf = F.log(1 + (n_docs - term["df"] + 0.5) / (term["df"] + 0.5))
+        return idf * tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.size(doc["w"]) / F.col("avgdl")))
+
+    def total(doc: Column) -> Column:
+        return F.aggregate(F.filter("terms", lambda t: t["df"] > 0), F.lit(0.0), lambda acc, t: acc + part(t, doc))
+
+    scored = g.select(query_key, F.inline(F.transform("ps", lambda x: F.struct(
+        x["id"].alias(corpus_id), F.round(F.coalesce(F.nanvl(total(x), F.lit(0.0)), F.lit(0.0)), SCORE_DECIMALS).alias("bm25")))))
     w = Window.partitionBy(query_key).orderBy(F.col("bm25").desc(), F.col(corpus_id).asc())
-    return allc.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= keep_top_k)
+    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= keep_top_k)
 
 
 def context_join(ranked: DataFrame, query_key: str, text_col: str, sep: str = "/n") -> DataFrame:

@@ -9,6 +9,7 @@ from inkstream.functions import text as T
 from inkstream.operators import dataset as G
 from inkstream.operators.chunking import tokens_of, tokens_sql
 from inkstream.plans.q_chunks import CLEANED_SQL, cleaned_articles
+from inkstream.operators.indexing import index_within
 from inkstream.plans.registry import register
 from inkstream.session import materialize
 from inkstream.sources import fixtures as fx
@@ -62,6 +63,30 @@ def align_batch_results(spark, sf_dir):
     return aligned(spark, sf_dir).select("doc_id", "pos", "instruction", "content")
 
 
+# Answers to batches of three: item i of a batch says "item i"; every fourth batch of a source answers one
+# item too few, and is dropped whole.
+SHORT_EVERY = 4
+
+
+@register("align_batches_of_three", "G3", fx.with_views(f"""
+SELECT source || '#' || (idx // {BATCH}) AS batch, CAST(idx % {BATCH} AS BIGINT) AS pos,
+       'item ' || (idx % {BATCH}) || ' of ' || source || '#' || (idx // {BATCH}) AS instruction, cleaned_content AS content
+FROM idx WHERE (idx // {BATCH}) % {SHORT_EVERY} <> 0""", "articles", extra={"cleaned": CLEANED_SQL, "idx": _IDX_SQL}))
+def align_batches_of_three(spark, sf_dir):
+    c = index_within(_contents(spark, sf_dir), ["source"], ["doc_id"])
+    no = F.floor(F.col("idx") / BATCH).cast("bigint")
+    c = c.select(F.concat("source", F.lit("#"), no.cast("string")).alias("batch"), no.alias("batch_no"),
+                 (F.col("idx") % BATCH).cast("bigint").alias("pos"), "cleaned_content")
+    n = c.groupBy("batch", "batch_no").agg(F.count(F.lit(1)).alias("n"))
+    n = n.withColumn("n", F.col("n") - (F.col("batch_no") % SHORT_EVERY == 0).cast("int"))
+    item = lambda i: F.struct(F.concat(F.lit("item "), i.cast("string"), F.lit(" of "), F.col("batch")).alias("instruction"),
+                              i.cast("string").alias("content"))
+    items = F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")), item))
+    raw = F.concat(F.lit("Sure: "), F.coalesce(F.to_json(items), F.lit("[]")), F.lit(" end"))
+    return G.align_batch_results(c, n.select("batch", raw.alias("raw")), "batch", "cleaned_content").select(
+        "batch", "pos", "instruction", "content")
+
+
 @register("train_val_split", "G4", fx.with_views(
     f"SELECT doc_id, CASE WHEN {G.hash_bucket_sql('doc_id')} < {G.TRAIN_PERCENT} THEN 'train' ELSE 'validation' END "
     f"AS split FROM aligned", "articles", "llm_text", extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))

@@ -45,7 +45,7 @@ SELECT 'n_chars' AS column, count(*) AS count, round(avg(n_chars), 6) AS mean, r
 FROM documents WHERE n_chars IS NOT NULL""")
 def describe_articles(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", "doc_id", "n_chars")
-    return PR.describe(d, "n_chars", "doc_id")
+    return PR.describe(d, "n_chars")
 
 
 @register("count_by_source", "G10", "SELECT source, count(*) AS n FROM documents GROUP BY source")

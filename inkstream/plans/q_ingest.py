@@ -78,16 +78,29 @@ def first_n_since_day(spark, sf_dir):
 API_START, API_END = "2024-01-03", "2024-01-12"
 
 
-@register("api_records_to_articles", "S13", f"""
+_API_SQL = f"""
 SELECT 'news_api' AS source, strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INT), '%Y-%m-%d') AS published_at,
        regexp_extract(text, '^[^.!?\\r\\n]*', 0) AS title, text AS content, source AS summary, lang AS language
 FROM documents
-WHERE lang = 'en' AND DATE '2024-01-01' + CAST(doc_id % 30 AS INT) BETWEEN DATE '{API_START}' AND DATE '{API_END}'""")
-def api_records_to_articles(spark, sf_dir):
+WHERE lang = 'en' AND DATE '2024-01-01' + CAST(doc_id % 30 AS INT) BETWEEN DATE '{API_START}' AND DATE '{API_END}'"""
+API_PAGE, API_PAGE_SIZE = 1, 50
+
+
+def _api_responses(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
     arts = d.select("doc_id", "source", "lang", F.regexp_extract("text", r"^[^.!?\r\n]*", 0).alias("title"),
                     F.col("text").alias("content"), fx.day_of(F.col("doc_id")).alias("published_at"))
-    return R.api_records_to_articles(R.api_responses(arts), "en", API_START, API_END)
+    return R.api_responses(arts, API_PAGE_SIZE)
+
+
+@register("api_records_to_articles", "S13", _API_SQL)
+def api_records_to_articles(spark, sf_dir):
+    return R.api_records_to_articles(_api_responses(spark, sf_dir), "en", API_START, API_END)
+
+
+@register("api_page", "S13", _API_SQL + f" AND doc_id BETWEEN {API_PAGE * API_PAGE_SIZE} AND {(API_PAGE + 1) * API_PAGE_SIZE - 1}")
+def api_page(spark, sf_dir):
+    return R.api_records_to_articles(_api_responses(spark, sf_dir), "en", API_START, API_END, page=API_PAGE)
 
 
 @register("frame_to_documents", "S15", fx.with_views(

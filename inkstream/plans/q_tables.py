@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from inkstream.functions import prompts as P
 from inkstream.operators import tables as K
 from inkstream.plans.q_chunks import CLEANED_SQL, chunks_sql_ctes, cleaned_articles
 from inkstream.operators import chunking as C
@@ -149,3 +150,57 @@ def span_durations(spark, sf_dir):
     return ex.groupBy(F.col("name").alias("span"), "category").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("duration"), 6).alias("avg_duration"),
         F.max("duration").alias("max_duration"), F.min("duration").alias("min_duration"))
+
+
+# ----------------------------------------------------------------------------- answer log
+SPAN_NAMES = tuple(SPAN_CATEGORY)
+LOG_MODEL = "own-model"
+
+
+def answer_log(answers):
+    """One record per answer: prompt, output, template, its variables, metadata, and the four spans
+    of the answer with inputs, outputs and duration (milliseconds, here derived from the record's key)."""
+    question, text = F.col("question"), F.col("answer")
+    key = F.col("conv_id") * 31 + F.col("turn") * 17
+    outputs = {"retrieval_step": ("retrieved_context", text), "generation_step": ("generation", text),
+               "llm_eval_step": ("llm_eval_result", F.lit("ok")), "rag_eval_step": ("rag_eval_scores", F.lit("{}"))}
+    spans = F.array(*[F.struct(
+        F.lit(name).alias("name"), F.lit(SPAN_CATEGORY[name]).alias("category"),
+        F.create_map(F.lit("user_query"), question).alias("inputs"),
+        F.create_map(F.lit(outputs[name][0]), outputs[name][1]).alias("outputs"),
+        ((key + k * 101) % (200 * (k + 1))).cast("long").alias("duration")) for k, name in enumerate(SPAN_NAMES)])
+    return answers.select(
+        "conv_id", "turn", P.fill(P.SIMPLE_PROMPT, question=question).alias("prompt"), text.alias("output"),
+        F.lit(P.SIMPLE_PROMPT).alias("prompt_template"), F.create_map(F.lit("question"), question).alias("prompt_template_variables"),
+        F.create_map(F.lit("model"), F.lit(LOG_MODEL)).alias("metadata"), spans.alias("spans"))
+
+
+def _logged(spark, sf_dir):
+    path = fresh_path(spark, "answer-log")
+    answer_log(fx.answers(spark, sf_dir)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("prompt_log", "K13 D15", fx.with_views(f"""
+SELECT conv_id, turn, 'You are an AI language model assistant. Your task is to generate a cohesive and concise response to the user question.'
+       || chr(10) || '    Question: ' || question || chr(10) || '    ' AS prompt, answer AS output, question AS variable,
+       '{LOG_MODEL}' AS model, 4 AS n_spans, answer AS context FROM answers""", "answers"))
+def prompt_log(spark, sf_dir):
+    span = F.filter("spans", lambda s: s["name"] == "retrieval_step")[0]
+    return _logged(spark, sf_dir).select(
+        "conv_id", "turn", "prompt", "output", F.col("prompt_template_variables")["question"].alias("variable"),
+        F.col("metadata")["model"].alias("model"), F.size("spans").alias("n_spans"),
+        span["outputs"]["retrieved_context"].alias("context"))
+
+
+@register("answer_log_spans", "K13 G12 D16", fx.with_views(" UNION ALL ".join(f"""
+SELECT '{name}' AS span, '{SPAN_CATEGORY[name]}' AS category, count(*) AS n, round(avg(d), 6) AS avg_duration,
+       quantile_cont(d, 0.5) AS p50, quantile_cont(d, 0.95) AS p95, max(d) AS max_duration
+FROM (SELECT (conv_id * 31 + turn * 17 + {k * 101}) % {200 * (k + 1)} AS d FROM answers)""" for k, name in enumerate(SPAN_NAMES)), "answers"))
+def answer_log_spans(spark, sf_dir):
+    s = _logged(spark, sf_dir).select(F.explode("spans").alias("s")).select("s.name", "s.category", "s.duration")
+    # durations are whole milliseconds: exact percentiles come from the counts of distinct values
+    return s.groupBy(F.col("name").alias("span"), "category").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("duration"), 6).alias("avg_duration"),
+        F.percentile("duration", 0.5).alias("p50"), F.percentile("duration", 0.95).alias("p95"),
+        F.max("duration").alias("max_duration"))

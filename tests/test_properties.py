@@ -22,8 +22,8 @@ def stepwise(c):
     return T.mask_urls(x)
 
 
-@settings(max_examples=1, deadline=None)
-@given(st.lists(TEXTS, min_size=200, max_size=200))
+@settings(max_examples=50, deadline=None)
+@given(st.lists(TEXTS, min_size=20, max_size=40))
 def test_clean_text_equals_stepwise_chain(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     rows = df.select("x", T.clean_text("x").alias("fast"), stepwise("x").alias("slow")).collect()
@@ -31,8 +31,8 @@ def test_clean_text_equals_stepwise_chain(spark, texts):
     assert not bad, bad[:3]
 
 
-@settings(max_examples=1, deadline=None)
-@given(st.lists(TEXTS, min_size=200, max_size=200))
+@settings(max_examples=50, deadline=None)
+@given(st.lists(TEXTS, min_size=20, max_size=40))
 def test_py_strip_equals_python_strip(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     rows = df.select("x", T.py_strip("x").alias("y")).collect()

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from inkstream.plans.oracle import compare, duck_connect
+from tools.oracle import compare, duck_connect
 from inkstream.plans.registry import load_all
 
 REG = load_all()

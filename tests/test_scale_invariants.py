@@ -92,7 +92,7 @@ def test_model_hook_loads_once_and_failure_gives_empty_vectors(spark):
 
 def test_stream_with_compaction_equals_batch(spark, sf_dir):
     from inkstream.plans import q_stream as Q
-    from inkstream.plans.oracle import compare, duck_connect
+    from tools.oracle import compare, duck_connect
     from inkstream.plans.registry import load_all
     from inkstream.streaming import flow as ST
 

@@ -12,7 +12,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from inkstream.plans.oracle import compare, duck_connect  # noqa: E402
+from tools.oracle import compare, duck_connect  # noqa: E402
 from inkstream.plans.registry import load_all  # noqa: E402
 from inkstream.session import build_session  # noqa: E402
 
