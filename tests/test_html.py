@@ -1,5 +1,7 @@
 """S8-S10 extraction contract on hand-written pages."""
 
+from pyspark.sql import functions as F
+
 from inkstream.sources import html as H
 
 PAGE = ('<html><head><script>var t="</p>";</script></head><body><nav><p>menu</p></nav>'
@@ -10,7 +12,9 @@ PAGE = ('<html><head><script>var t="</p>";</script></head><body><nav><p>menu</p>
 
 
 def extract(spark, html):
-    return spark.createDataFrame([(html,)], "h string").select(*H.extract_article("h")).first()
+    """The first article of a page (None if it has none)."""
+    bodies = spark.createDataFrame([(html,)], "h string").select(F.explode(H.article_bodies("h")).alias("body"))
+    return bodies.select(*H.extract_article("body")).first()
 
 
 def test_article_fields(spark):
@@ -24,8 +28,13 @@ def test_article_fields(spark):
 def test_missing_parts_are_null_or_empty(spark):
     r = extract(spark, "<article><p>only</p></article>")
     assert r.summary is None and r.published_at is None and r.title == "" and r.content == "only"
-    r = extract(spark, "<html>no article</html>")
-    assert r.content == ""
+    assert extract(spark, "<html>no article</html>") is None
+
+
+def test_every_article_of_a_page(spark):
+    df = spark.createDataFrame([(PAGE + "<p>between</p>" + PAGE.replace("Big", "Next"),)], "h string")
+    rows = df.select(F.posexplode(H.article_bodies("h")).alias("n", "body")).select("n", *H.extract_article("body")).collect()
+    assert [(r.n, r.title) for r in rows] == [(0, "Big & Bold"), (1, "Next & Bold")]
 
 
 def test_block_text_in_document_order(spark):
