@@ -408,11 +408,12 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                                     ("kept_id", "kept_hex", "kept_component", "kept_root", "kept_print", "kept_n"))
     ids = found.groupBy(F.col(id_col).alias(own)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
     ids = materialize(ids, "simhash-ids")
-    out = docs.join(ids.where((F.col("n") == 1) & (F.col(own) == F.col("c"))).select(own), F.col(id_col) == F.col(own),
-                    "left_semi")
+    # the ids grow with the documents: one way for every size, not a broadcast while they are few
+    keep = ids.where((F.col("n") == 1) & (F.col(own) == F.col("c"))).select(own).hint("merge")
+    out = docs.join(keep, F.col(id_col) == F.col(own), "left_semi")
     odd = ids.where((F.col("n") > 1) | F.col(own).isNull()).select(own)
     if odd.limit(1).count():
-        rows = docs.join(odd, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
+        rows = docs.join(odd.hint("merge"), F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
         rows = with_fingerprint(rows, fp, text_col, how.get("shingle", SHINGLE), how.get("seed", SEED))
         label = found.select(F.col("fingerprint").alias(hex_), F.col("component_id").alias(comp),
                              F.col("component_print").alias(root)).distinct()
