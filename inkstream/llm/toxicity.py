@@ -138,9 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             for y, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
                 for f in features(raw):
                     seen.setdefault(f, [0, 0])[y > 0] += 1
-            if len(seen) > FLUSH:
-                yield counted(seen)
-                seen = {}
+                if len(seen) > FLUSH:
+                    yield counted(seen)
+                    seen = {}
         yield counted(seen)
 
     def counted(seen):
