@@ -52,6 +52,16 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def hashed_sample(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hash of ``keys`` (ties by the keys). Rows far over
+    the expected bound are filtered out first, so that tasks send on little more than the sample."""
+    n, span = rows.count(), 1 << 40
+    h = F.pmod(F.xxhash64(*keys), F.lit(span))
+    if n > most:
+        rows = rows.where(h < int(min(1.0, 1.3 * most / n + 100 / n) * span))
+    return rows.orderBy(h, *keys).limit(most)
+
+
 def with_new_text(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
     """``n_chars`` (where the table has it) set to the length of the text as it is now."""
     if n_chars_col not in docs.columns:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkstream.llm import boosting
-from inkstream.llm.common import batch_of, read, schema_of, str_texts, with_new_text
+from inkstream.llm.common import batch_of, hashed_sample, read, schema_of, str_texts, with_new_text
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 4000            # documents the trees learn from
@@ -179,7 +179,7 @@ class Model:
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
           precision: float = PRECISION) -> Model:
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    some = own.select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct()
+    some = hashed_sample(own.select("id"), ["id"], sample).distinct()
 
     def learn(batches):
         for batch in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkstream.llm.common import batch_of, raw_texts, read, schema_of
+from inkstream.llm.common import batch_of, hashed_sample, raw_texts, read, schema_of
 
 SAMPLE = 20_000
 FEATURES = 2048
@@ -128,7 +128,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, n_features: int, penalty: flo
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
-    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample)
+    known = hashed_sample(known, ["id", "y"], sample)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
     rows = rows.select("y", "text")
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkstream.llm import boosting
-from inkstream.llm.common import batch_of, read, schema_of, str_texts
+from inkstream.llm.common import batch_of, hashed_sample, read, schema_of, str_texts
 
 #: Rules of the registered query.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -123,7 +123,7 @@ def train(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocke
     rates = np.full(BUCKETS, 0.5)
     for e, a, b in rows.mapInArrow(count, "e int, a long, b long").groupBy("e").agg(F.sum("a"), F.sum("b")).collect():
         rates[e] = (b + 1) / (a + b + 2)
-    some = rows.orderBy(F.xxhash64("url"), "url", "y").limit(sample).toPandas()
+    some = hashed_sample(rows, ["url", "y"], sample).toPandas()
     if not len(some):
         return Model(boosting.fit(np.zeros((0, 1)), np.zeros(0)), rates)
     x = np.array([lexical(u, rates) for u in some.url]).reshape(len(some), -1)
