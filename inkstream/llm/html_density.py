@@ -58,7 +58,8 @@ JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialo
 JUNK_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar
 comment comments respond disqus cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter
 subscribe subscription signup menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social
-related recommended login search toolbar pagination pager widget skip""".split())
+related recommended login search toolbar pagination pager skip""".split())
+STATE = re.compile(r"(?:has|with|no|is|without|show|hide)[-_]|.*[-_](?:open|closed|on|off|enabled|disabled)$")
 SITE_HEADER = frozenset("header site-header page-header top-header global-header main-header".split())
 
 
@@ -79,7 +80,9 @@ def junk(tag: str, attributes: str, in_article: bool) -> bool:
             words = value.split()
             if not in_article and any(w in SITE_HEADER for w in words):
                 return True
-            if any(p in JUNK_NAMES for w in words for p in re.split(r"[-_]+", w)):
+            # has-sidebar, with-ads, comments-open say something about the page, not what the element is
+            words = [w for w in words if not STATE.match(w)]
+            if any(p in JUNK_NAMES for w in words for p in ([w] if tag == "article" else re.split(r"[-_]+", w))):
                 return True
     return False
 

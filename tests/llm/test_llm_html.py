@@ -28,6 +28,12 @@ def test_without_article_tag():
     assert H.main_text(text) == f"Title\n\n{BODY.strip()}\n\nTiny\n\nfirst\n\nsecond"
 
 
+def test_names_of_states_are_no_junk():
+    got = H.main_text(f"<body class='has-sidebar'><div class='wrap with-ads no-comments'><article class='post comments-open'><p>{BODY}</p>"
+                      "<div class='comments'>said</div><div class='side-bar ad_box'>buy</div></article></div></body>")
+    assert got == BODY.strip()
+
+
 @pytest.mark.parametrize("source,want", [
     (None, ""), ("", ""), ("   ", ""), ("just text  here", "just text here"), ("<p>a<br>b\n c</p>", "a b c"), ("a < b &lt; c", "a < b < c"),
     ("<div><p>x<div>y</div>z</div>", "x\n\ny\n\nz"), ("<p>open <b>never closed", "open never closed"), ("<p>a</p></div></p><p>b</p>", "a\n\nb"),
