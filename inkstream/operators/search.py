@@ -81,6 +81,10 @@ def _task_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols,
         for rb in batches:
             vec = rb.column(corpus_vec)
             lens = vec.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+            parts = vec.flatten()
+            if parts.null_count:                                        # vectors with NULL components
+                holes = np.repeat(np.arange(len(lens)), np.maximum(lens, 0))[parts.is_null().to_numpy(zero_copy_only=False)]
+                lens = np.where(np.isin(np.arange(len(lens)), holes), -1, lens)
             rows = np.flatnonzero(lens == qmat.shape[1])
             if not len(rows) or not len(qmat):
                 continue
@@ -139,8 +143,8 @@ def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str
     spark = corpus.sparkSession
     if predicate is not None:
         corpus = corpus.where(predicate)
-    c = corpus.select(corpus_id, corpus_vec, *corpus_cols).where(
-        F.col(corpus_vec).isNotNull() & ~F.exists(corpus_vec, lambda x: x.isNull()))
+    c = corpus.select(corpus_id, corpus_vec, *corpus_cols)   # odd vectors are left out inside the task: a
+    # filter on a vector that a UDF computes would be pushed below it and compute it twice
     key_fields = [queries.schema[q] for q in query_keys]
     out_struct = T.StructType([*key_fields, corpus.schema[corpus_id], T.StructField("score", T.DoubleType()),
                                *[corpus.schema[x] for x in corpus_cols]])
@@ -148,8 +152,8 @@ def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str
     w = Window.partitionBy(*query_keys).orderBy(F.col("score").desc(), F.col(corpus_id).asc())
     # the query side is computed once (it may embed texts) and then counted and read per block
     v = F.col(query_vec)
-    qtable = materialize(queries.select(*query_keys, query_vec).where(
-        v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & F.exists(v, lambda x: x != 0)), "query-vectors")
+    qtable = materialize(queries.select(*query_keys, query_vec), "query-vectors").where(
+        v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & F.exists(v, lambda x: x != 0))
     dims = sorted(r[0] for r in qtable.select(F.size(query_vec)).distinct().collect())
     blocks = [b for dim in dims for b in _query_blocks(qtable.where(F.size(query_vec) == dim), query_keys, dim, max_bytes)]
     if len(blocks) > 1:
