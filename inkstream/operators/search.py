@@ -7,14 +7,16 @@ task carries its top-k per query along and emits it once, so at most queries x k
 shuffle of the final ``row_number() <= k``, however many scores tie. Scores are rounded to 9 decimals
 before ranking so mathematically equal cosines tie exactly, and ties break on the corpus id.
 
-Approximate search (V7): random-hyperplane LSH with bits from the corpus size and one-bit probes; an
-equi-join on (table, bucket) yields candidates that are then scored exactly.
+Approximate search (V7): random-hyperplane LSH with bits from the corpus size; the tables and the radius
+of the probes follow from the recall measured against the exact search on a bounded sample of the
+queries. An equi-join on (table, bucket) yields candidates that are then scored exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -233,7 +235,10 @@ def vector_size_check(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- V7 LSH
-LSH_TABLES = 8
+LSH_TABLES = 8           # tables at least
+LSH_MOST_TABLES = 32
+LSH_RECALL = 0.9         # share of the exact top-k that must be found
+LSH_SAMPLE = 200         # queries on which it is measured
 LSH_BUCKET = 32          # corpus rows per bucket that the number of bits aims at
 
 
@@ -249,44 +254,86 @@ def hyperplanes(dim: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
     return np.array(sign).reshape(tables * bits, dim)
 
 
+def _flips(bits: int, radius: int) -> np.ndarray:
+    """All bucket differences of at most ``radius`` bits."""
+    return np.array([sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(bits), r)], dtype=np.int64)
+
+
 def _buckets(df: DataFrame, id_cols: list[str], vec_col: str, planes: np.ndarray, tables: int, bits: int,
-             probe: bool) -> DataFrame:
-    """One row per (id, table, bucket); with ``probe`` also the buckets one bit away."""
+             probe: int) -> DataFrame:
+    """One row per (id, table, bucket), for every bucket at most ``probe`` bits away."""
     dim = planes.shape[1]
     schema = T.StructType([*[df.schema[c] for c in id_cols], T.StructField("tbl", T.IntegerType()),
                            T.StructField("bucket", T.LongType())])
     arrow = to_arrow_schema(schema)
-    flips = np.array([0] + [1 << b for b in range(bits)] * probe, dtype=np.int64)
+    flips = _flips(bits, int(probe))
+    step = max(1, (1 << 20) // (tables * len(flips)))     # vectors per batch sent on
 
     def fn(batches):
-        for rb in batches:
-            m = np.asarray(rb.column(len(id_cols)).flatten(), dtype=np.float64).reshape(rb.num_rows, dim)
-            code = ((m @ planes.T > 0).reshape(-1, tables, bits) * (1 << np.arange(bits))).sum(axis=2)
-            every = (code[:, :, None] ^ flips).reshape(-1)
-            row = pa.array(np.repeat(np.arange(rb.num_rows), tables * len(flips)))
-            tbl = np.tile(np.repeat(np.arange(tables), len(flips)), rb.num_rows)
-            yield pa.RecordBatch.from_arrays([*[rb.column(k).take(row) for k in range(len(id_cols))],
-                                              pa.array(tbl, pa.int32()), pa.array(every)], schema=arrow)
+        for whole in batches:
+            for rb in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+                m = np.asarray(rb.column(len(id_cols)).flatten(), dtype=np.float64).reshape(rb.num_rows, dim)
+                code = ((m @ planes.T > 0).reshape(-1, tables, bits) * (1 << np.arange(bits))).sum(axis=2)
+                every = (code[:, :, None] ^ flips).reshape(-1)
+                row = pa.array(np.repeat(np.arange(rb.num_rows), tables * len(flips)))
+                tbl = np.tile(np.repeat(np.arange(tables), len(flips)), rb.num_rows)
+                yield pa.RecordBatch.from_arrays([*[rb.column(k).take(row) for k in range(len(id_cols))],
+                                                  pa.array(tbl, pa.int32()), pa.array(every)], schema=arrow)
 
     return df.select(*id_cols, vec_col).mapInArrow(fn, schema)
 
 
+def lsh_plan(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str, query_keys: list[str],
+             query_vec: str, dim: int, bits: int, seed: int = 42, recall: float = LSH_RECALL,
+             sample: int = LSH_SAMPLE) -> tuple[int, int]:
+    """Tables and probe radius with the fewest candidates that find ``recall`` of the exact top-k of at
+    most ``sample`` queries (smallest hash of the keys). With more queries than that, two standard errors
+    are added. Neighbours in the query's own direction are found anyway and don't count. A radius of all
+    bits finds every row, so there always is an answer."""
+    some = materialize(queries.select(*query_keys, query_vec).orderBy(F.xxhash64(*query_keys), *query_keys)
+                       .limit(sample + 1), "lsh-sample")
+    rows = [tuple(r) for r in some.collect()]
+    exact = topk_search(corpus.withColumn("_dv", F.col(corpus_vec)), some, k, corpus_id=corpus_id, corpus_vec=corpus_vec,
+                        query_keys=query_keys, query_vec=query_vec, corpus_cols=("_dv",)).where("score < 1").collect()
+    if not exact:
+        return LSH_TABLES, 1
+    vec = {r[:-1]: r[-1] for r in rows}
+    planes = hyperplanes(dim, LSH_MOST_TABLES, bits, seed)
+    side = [np.array(v, dtype=np.float64) @ planes.T > 0 for v in
+            ([vec[tuple(r[c] for c in query_keys)] for r in exact], [r["_dv"] for r in exact])]
+    apart = (side[0] != side[1]).reshape(len(exact), LSH_MOST_TABLES, bits).sum(axis=2)
+    nearest = np.minimum.accumulate(apart, axis=1)         # over the first t tables
+    choices = sorted((t * sum(math.comb(bits, b) for b in range(r + 1)), t, r)
+                     for t in range(LSH_TABLES, LSH_MOST_TABLES + 1, 4) for r in range(1, bits + 1))
+    for _, t, r in choices:
+        share = float((nearest[:, t - 1] <= r).mean())
+        doubt = 2 * math.sqrt(recall * (1 - recall) / len(exact)) if len(rows) > sample else 0.0
+        if share >= min(1.0, recall + doubt):
+            return t, r
+    return LSH_TABLES, bits
+
+
 def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str,
-             query_keys: list[str], query_vec: str, dim: int, tables: int = LSH_TABLES, bits: int | None = None,
-             seed: int = 42) -> DataFrame:
+             query_keys: list[str], query_vec: str, dim: int, tables: int | None = None, bits: int | None = None,
+             radius: int | None = None, seed: int = 42) -> DataFrame:
     """V7: approximate top-k. Candidates are corpus rows that share a bucket of some table with the
-    query or lie one bit away (equi-join, no cap); every candidate is scored exactly. The number of
-    bits follows from the corpus size, so a query's candidates do not grow with the corpus. Vectors that
-    are NULL, hold NULL, or have another length than ``dim`` take no part."""
+    query or lie at most ``radius`` bits away (equi-join, no cap); every candidate is scored exactly. The
+    number of bits follows from the corpus size; tables and radius, unless given, from the recall
+    measured on the corpus (``lsh_plan``). Vectors that are NULL, hold NULL, or have another length than
+    ``dim`` take no part."""
     def usable(df, vec):
         v = F.col(vec)
         return df.where(v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull()))
 
     corpus, queries = usable(corpus, corpus_vec), usable(queries, query_vec)
     bits = bits or lsh_bits(corpus.count())
+    if tables is None and radius is None:
+        tables, radius = lsh_plan(corpus, queries, k, corpus_id=corpus_id, corpus_vec=corpus_vec, query_keys=query_keys,
+                                  query_vec=query_vec, dim=dim, bits=bits, seed=seed)
+    tables, radius = tables or LSH_TABLES, 1 if radius is None else radius
     planes = hyperplanes(dim, tables, bits, seed)
-    cb = _buckets(corpus, [corpus_id], corpus_vec, planes, tables, bits, False)
-    qb = _buckets(queries, query_keys, query_vec, planes, tables, bits, True)
+    cb = _buckets(corpus, [corpus_id], corpus_vec, planes, tables, bits, 0)
+    qb = _buckets(queries, query_keys, query_vec, planes, tables, bits, radius)
     cand = qb.join(cb, ["tbl", "bucket"]).select(*query_keys, corpus_id).distinct()
     c = corpus.select(corpus_id, F.col(corpus_vec).alias("_dv"), norm(corpus_vec).alias("_dn"))
     q = queries.select(*query_keys, F.col(query_vec).alias("_qv"), norm(query_vec).alias("_qn"))

@@ -58,3 +58,21 @@ def test_lsh_recall_and_candidates_do_not_grow(spark):
         b = S._buckets(corpus, ["id"], "v", planes, S.LSH_TABLES, bits, False)
         shares.append(a.join(b, ["tbl", "bucket"]).select("q", "id").distinct().count() / 40 / n)
     assert shares[1] < 0.7 * shares[0]
+
+
+def _recall(spark, corpus, queries, dim):
+    exact = {(r.q, r.id) for r in S.topk_search(corpus, queries, 3, **KEYS).collect() if r.score < 1}
+    near = {(r.q, r.id) for r in S.lsh_topk(corpus, queries, 3, **KEYS, dim=dim).collect()}
+    return len(exact & near) / len(exact)
+
+
+def test_lsh_recall_holds_as_far_vectors_grow(spark):
+    """Neighbours at a cosine of about 0.4, as in the given vectors: those, and 10 times as many rows."""
+    corpus = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").selectExpr(
+        "vec_id AS id", "CAST(embedding AS array<double>) AS v")
+    queries = corpus.where("id % 100 = 0").select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    assert _recall(spark, corpus, queries, 64) >= 0.9
+    x = np.random.default_rng(1).normal(size=(20000, 64))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    queries = corpus.where("id % 400 = 0").select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    assert _recall(spark, corpus, queries, 64) >= 0.9
