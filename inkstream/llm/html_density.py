@@ -14,7 +14,10 @@ subtree reached is the article, so short paragraphs stay.
 
 Elements that are no article text by their kind (menus, site headers, footers, sidebars, forms,
 scripts, adverts, notices, reader comments; ``JUNK_TAGS``, ``JUNK_NAMES``) count in the body's
-density, but can't be chosen and give no text.
+density, but can't be chosen and give no text. A class or id tells the kind if it is such a name as a
+whole, or made of such names and of words for a box or a place (``FORMS``: sidebar-left, ad-box); names
+say nothing about inline elements, nor about one that holds an article or a main, or, on a page without
+those, the largest density sum of an unnamed element with blocks in it.
 
 Row-local, linear in the page; no recursion, so deep nesting is safe.
 
@@ -52,18 +55,23 @@ summary table tbody td tfoot th thead tr ul""".split())
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
           "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-JUNK_TAGS = frozenset("""head nav footer aside form script style noscript template iframe svg math button select option
-textarea input dialog menu object embed canvas audio video""".split())
+JUNK_TAGS = frozenset("""head nav footer aside form script style noscript template iframe svg button select option
+textarea input dialog menu embed audio video""".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 JUNK_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar
 comment comments respond disqus cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter
 subscribe subscription signup menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social
 related recommended login search toolbar pagination pager skip""".split())
+#: Words beside a junk name that leave it the name of a block.
+FORMS = frozenset("""area bar block body box btn button buttons container footer form header icons inner item items left
+links list main message module outer panel posts primary right secondary section site slot space text top bottom unit
+widget widgets wrap wrapper zone""".split())
 STATE = re.compile(r"(?:has|with|no|is|without|show|hide)[-_]|.*[-_](?:open|closed|on|off|enabled|disabled)$")
 SITE_HEADER = frozenset("header site-header page-header top-header global-header main-header".split())
 
 
 def junk(tag: str, attributes: str, in_article: bool) -> bool:
+    """No article text by its tag, role or state."""
     if tag in JUNK_TAGS or tag == "header" and not in_article:
         return True
     if not attributes or tag in ("html", "body", "main"):
@@ -76,13 +84,27 @@ def junk(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id"):
-            words = value.split()
+    return False
+
+
+def junk_word(word: str) -> bool:
+    if word in JUNK_NAMES:
+        return True
+    parts = [p for p in re.split(r"[-_]+", word) if p and not p.isdigit()]
+    return any(p in JUNK_NAMES for p in parts) and all(p in JUNK_NAMES or p in FORMS for p in parts)
+
+
+def junk_name(tag: str, attributes: str, in_article: bool) -> bool:
+    """The name of a block that is no article text."""
+    if not attributes or tag not in BLOCK or tag in ("html", "body", "main"):
+        return False
+    for name, value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            words = value.strip("\"'").lower().split()
             if not in_article and any(w in SITE_HEADER for w in words):
                 return True
             # has-sidebar, with-ads, comments-open say something about the page, not what the element is
-            words = [w for w in words if not STATE.match(w)]
-            if any(p in JUNK_NAMES for w in words for p in ([w] if tag == "article" else re.split(r"[-_]+", w))):
+            if any(junk_word(w) for w in words if not STATE.match(w)):
                 return True
     return False
 
@@ -92,7 +114,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.end = ["#root"], [-1], [0]
-        self.junk, self.link, self.article = [False], [False], [False]
+        self.junk, self.named, self.link, self.article = [False], [False], [False], [False]
         #: (element, text); text None marks the border of a block
         self.texts: list[tuple[int, str | None]] = []
         stack, at, n = [0], 0, len(source)
@@ -117,6 +139,26 @@ class Page:
                     at = stop.start() if stop else n
         while stack:
             self.end[stack.pop()] = len(self.tag)
+        if any(self.named):
+            self._judge_names()
+
+    def _judge_names(self) -> None:
+        """Elements with the name of junk are junk, but for those that hold the article."""
+        n = len(self.tag)
+        holds = [self.tag[k] in ("article", "main") and not self.junk[k] and not self.named[k] for k in range(n)]
+        if not any(holds):
+            skipped = [a or b for a, b in zip(self.junk, self.named)]
+            each, total, body = self.densities(skipped)
+            blocks = {self.parent[k] for k in range(1, n) if each[k] > 0 and self.tag[k] in BLOCK and not skipped[k]}
+            best = max((k for k in blocks if not skipped[k] and body <= k < self.end[body]),
+                       key=lambda k: (total[k], -k), default=None)
+            if best is not None:
+                holds[best] = True
+        for k in range(n - 1, 0, -1):
+            if holds[k]:
+                holds[self.parent[k]] = True
+        for k in range(1, n):
+            self.junk[k] = self.junk[k] or self.junk[self.parent[k]] or self.named[k] and not holds[k]
 
     def _text(self, node: int, text: str) -> None:
         if not text.isspace():
@@ -169,6 +211,7 @@ class Page:
         self.link.append(self.link[top] or name == "a")
         self.article.append(self.article[top] or name in ("article", "main"))
         self.junk.append(self.junk[top] or junk(name, attributes, self.article[top]))
+        self.named.append(junk_name(name, attributes, self.article[top]))
         if name in BLOCK:
             self.texts.append((node, None))
         elif name == "br":
@@ -176,8 +219,10 @@ class Page:
         if name not in VOID:
             stack.append(node)
 
-    def densities(self) -> tuple[list[float], list[float], int]:
-        """Composite density and density sum of each element, and the body."""
+    def densities(self, skipped: list[bool] | None = None) -> tuple[list[float], list[float], int]:
+        """Composite density and density sum of each element, and the body; sums without the ``skipped``
+        elements (junk)."""
+        skipped = self.junk if skipped is None else skipped
         n = len(self.tag)
         chars, tags, link_chars, link_tags, own = ([0] * n for _ in range(5))
         for node, text in self.texts:
@@ -206,7 +251,7 @@ class Page:
         each = [density(*x) for x in zip(chars, tags, link_chars, link_tags)]
         total = [density(own[k], 1, own[k] if self.link[k] else 0, 1) for k in range(n)]
         for k in range(n - 1, 0, -1):
-            if not self.junk[k]:
+            if not skipped[k]:
                 total[self.parent[k]] += each[k]
         return each, total, body
 

@@ -34,6 +34,20 @@ def test_names_of_states_are_no_junk():
     assert got == BODY.strip()
 
 
+@pytest.mark.parametrize("attribute", ["class='content-sidebar-wrap'", "id='page-with-sidebar'", "class='sidebar'", "id=social-main"])
+def test_wrappers_keep_the_article(attribute):
+    ad = f"<div class='ad-box'>buy {BODY}</div><div class='sidebar-left'>side {BODY}</div><div class='site-footer'>foot</div>"
+    inner = f"<p>{BODY}</p><p>Short.</p>"
+    for core in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div class=post>{inner}</div>"):
+        assert H.main_text(f"<body><div {attribute}>{core}{ad}</div></body>") == f"{BODY.strip()}\n\nShort."
+
+
+def test_parts_of_names_and_foreign_tags_are_no_junk():
+    inner = (f"<p>{BODY}<span class='share-price'>12</span> <span class=ad>now</span></p><section class='social-policy'><p>Policy.</p></section>"
+             "<p class='notice-period'>Period.</p><p>x <math><mi>y</mi></math> <object>fallback</object> <canvas>drawn</canvas></p>")
+    assert H.main_text(page(inner)) == f"Head & line\n\n{BODY}12 now\n\nPolicy.\n\nPeriod.\n\nx y fallback drawn"
+
+
 @pytest.mark.parametrize("source,want", [
     (None, ""), ("", ""), ("   ", ""), ("just text  here", "just text here"), ("<p>a<br>b\n c</p>", "a b c"), ("a < b &lt; c", "a < b < c"),
     ("<div><p>x<div>y</div>z</div>", "x\n\ny\n\nz"), ("<p>open <b>never closed", "open never closed"), ("<p>a</p></div></p><p>b</p>", "a\n\nb"),
