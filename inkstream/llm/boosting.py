@@ -36,14 +36,18 @@ class Trees:
         a, b = self.scale
         return 1 / (1 + np.exp(-np.clip(a * self.odds(x) + b, -40, 40)))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Slope and offset of the log odds by Newton steps on rows that were not fitted."""
-        z, (a, b) = self.odds(x), (1.0, 0.0)
-        goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((y <= 0).sum() + 2))   # softened labels
+    def calibrate(self, x: np.ndarray | None, y: np.ndarray, *, odds: np.ndarray | None = None,
+                  weight: np.ndarray | None = None) -> None:
+        """Slope and offset of the log odds by Newton steps on rows that were not fitted, or on their
+        log odds; ``weight`` counts equal rows."""
+        z, (a, b) = self.odds(x) if odds is None else odds, (1.0, 0.0)
+        n = np.ones(len(y)) if weight is None else weight
+        yes, no = n[y > 0].sum(), n[y <= 0].sum()
+        goal = np.where(y > 0, (yes + 1) / (yes + 2), 1 / (no + 2))   # softened labels
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
-            g = np.array([((p - goal) * z).sum(), (p - goal).sum()])
-            w = p * (1 - p) + 1e-6
+            g = np.array([(n * (p - goal) * z).sum(), (n * (p - goal)).sum()])
+            w = n * (p * (1 - p) + 1e-6)
             h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
             d = np.linalg.solve(h, g)
             d *= min(1, 2 / max(1e-9, np.abs(d).max()))

@@ -7,11 +7,13 @@ candidate from its format (digits, groups, separators, check sum, length) and it
 around it, cue words before it); a calibrated threshold per kind, set for a precision, selects the
 ones to add. Of overlapping selected candidates the likeliest stays, and none overlaps a base span.
 
-The trees learn from the data itself: in a bounded sample of documents (``SAMPLE``, smallest hash of
-the id) base spans are positives, other candidates negatives; each base span is also rewritten the
-way people obscure it (other separators, no country code, "at" and "dot") as a further positive, and
-with broken digits as a negative. Thresholds come from a fold (a hash of the document) that was not
-fitted. Finding and redacting is row-local.
+The trees learn from the data itself: base spans are positives, other candidates negatives; each base
+span is also rewritten the way people obscure it (other separators, no country code, "at" and "dot")
+as a further positive, and with broken digits as a negative. All documents are searched for such spans;
+of each kind and label the trees get a bounded sample (``SAMPLE``, smallest hash of document and span).
+Calibration and thresholds come from all spans of a fold (a hash of the text) that was not fitted, as
+counts by kind, label and score. Learning reads the texts three times (counts, sample, scores) and
+shuffles only counts; finding and redacting is row-local.
 
 Cases: null and empty texts have no spans; very long texts are searched whole, in linear time;
 repeated rows give one result each; null ids stay; an empty table or one without personal data gives
@@ -32,10 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkstream.llm import boosting
-from inkstream.llm.common import batch_of, hashed_sample, read, schema_of, str_texts, with_new_text
+from inkstream.llm.common import batch_of, read, schema_of, str_texts, with_new_text
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 4000            # documents the trees learn from
+SAMPLE = 4000            # spans of each kind and label the trees learn from
+STEPS, REACH = 64, 16    # score histogram: steps in a unit of the log odds, and how far it goes
 PRECISION = 0.98
 CONTEXT = 24             # characters looked at on either side
 
@@ -155,52 +158,118 @@ def variants(kind: str, s: str) -> list[tuple[str, int]]:
     return [("00" + s[1:], 1), (f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}", 1), (f"{d[-10:-7]}-{d[-7:-4]}-{d[-4:]}", 1), (d[-8:], 0), (d[::-1], 0)]
 
 
-def lessons(text: str) -> list[tuple[list[float], int]]:
-    """Labelled candidates of a text and of its rewritten base spans."""
+def spans_to_learn(text: str) -> list[tuple[str, int, str, int, int]]:
+    """Labelled candidates of a text and of its rewritten base spans: kind, label, the text or, for a
+    rewriting, its surroundings, start and end there."""
     base, out = base_spans(text), []
+    exact = {k: set(v) for k, v in base.items()}
+    taken = sorted(s for spans in base.values() for s in spans)
+    begins, ends = [a for a, _ in taken], np.maximum.accumulate([b for _, b in taken]).tolist() if taken else []
     for kind, s, e in candidates(text):
-        over = [(a, b) for spans in base.values() for a, b in spans if a < e and s < b]
-        if (s, e) in base[kind] or not over:
-            out.append((describe(text, kind, s, e), int((s, e) in base[kind])))
+        n = bisect.bisect_left(begins, e)              # base spans that begin before the end
+        if (s, e) in exact[kind] or not (n and ends[n - 1] > s):
+            out.append((kind, int((s, e) in exact[kind]), text, s, e))
     for kind, spans in base.items():
         for s, e in spans:
             before, after = text[max(0, s - CONTEXT):s], text[e:e + CONTEXT]
             for new, label in variants(kind, text[s:e]):
-                out.append((describe(before + new + after, kind, len(before), len(before) + len(new)), label))
+                out.append((kind, label, before + new + after, len(before), len(before) + len(new)))
     return out
 
 
+def lessons(text: str) -> list[tuple[list[float], int]]:
+    """``spans_to_learn`` as features and label."""
+    return [(describe(t, kind, s, e), y) for kind, y, t, s, e in spans_to_learn(text)]
+
+
+def held_out(text: str) -> bool:
+    return int(hashlib.md5(text.encode()).hexdigest()[:4], 16) % 4 == 0
+
+
 @dataclass
 class Model:
     trees: boosting.Trees
     least: dict[str, float]      # threshold of each kind
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
-          precision: float = PRECISION) -> Model:
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    some = hashed_sample(own.select("id"), ["id"], sample).distinct()
+def sampled(own: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of about ``sample`` spans of each kind and label, from all texts of ``own`` (h,
+    text) that are not held out: at first the counts, then the spans under the hash cut they give."""
+    def count(batches):
+        n = np.zeros(2 * len(KINDS), np.int64)
+        for batch in batches:
+            for t in str_texts(batch.column(1)):
+                if not held_out(t):
+                    for kind, y, *_ in spans_to_learn(t):
+                        n[2 * KINDS.index(kind) + y] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(n)), pa.int32()), pa.array(n)], ["part", "n"])
+
+    total = {r.part: r.n for r in own.mapInArrow(count, "part int, n long").groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    cut = [int(min(1.0, (1.3 * sample + 100) / total[k] if total.get(k, 0) > sample else 1.0) * (1 << 60))
+           for k in range(2 * len(KINDS))]
 
     def learn(batches):
         for batch in batches:
-            rows = [(int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % 4 == 0, y, x)
-                    for t in str_texts(batch.column(0)) for x, y in lessons(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.float64()))], ["held", "y", "x"])
-
-    got = own.join(F.broadcast(some), "id").select("text").mapInArrow(
-        learn, "held boolean, y int, x array<double>").toPandas()
-    width = len(describe("", "email", 0, 0))
-    x = np.array([np.asarray(v) for v in got.x]).reshape(-1, width)
-    y, held = got.y.to_numpy(), got.held.to_numpy(bool)
-    order = np.lexsort((y, *x.T))                       # rows come in no fixed order
-    x, y, held = x[order], y[order], held[order]
-    trees = boosting.fit(x[~held], y[~held])
-    trees.calibrate(x[held], y[held])
-    p = trees.probability(x[held])
-    least = {k: boosting.threshold(p[own], y[held][own], precision)
-             for i, k in enumerate(KINDS) for own in [x[held][:, 0] == i]}
+            for h, t in zip(batch.column(0).to_pylist(), str_texts(batch.column(1))):
+                if held_out(t):
+                    continue
+                rows = []
+                for at, (kind, y, source, s, e) in enumerate(spans_to_learn(t)):
+                    own_hash = int.from_bytes(hashlib.md5(f"{h}:{at}".encode()).digest()[:8], "big") >> 4
+                    if own_hash < cut[2 * KINDS.index(kind) + y]:
+                        rows.append((own_hash, y, describe(source, kind, s, e)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
+                         pa.array([r[2] for r in rows], pa.list_(pa.float64()))], ["h", "y", "x"])
+
+    got = own.mapInArrow(learn, "h long, y int, x array<double>").toPandas()
+    x = np.array([np.asarray(v) for v in got.x]).reshape(-1, len(describe("", "email", 0, 0)))
+    y, h = got.y.to_numpy(), got.h.to_numpy()
+    order = np.lexsort((*x.T, y, h))                   # rows come in no fixed order
+    part = (2 * x[order, 0] + y[order]).astype(np.int64)
+    keep = np.sort(np.concatenate([order[part == k][:sample] for k in range(2 * len(KINDS))]))
+    x, y = x[keep], y[keep]
+    order = np.lexsort((y, *x.T))
+    x, y = x[order], y[order]
+    return x, y
+
+
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+          precision: float = PRECISION) -> Model:
+    own = docs.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    x, y = sampled(own, sample)
+    trees = boosting.fit(x, y)
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    most = 2 * REACH * STEPS
+
+    def score(batches):
+        n = np.zeros((len(KINDS), 2, most), np.int64)
+        for batch in batches:
+            for t in str_texts(batch.column(1)):
+                found = spans_to_learn(t) if held_out(t) else []
+                for at in range(0, len(found), 4096):
+                    part = found[at:at + 4096]
+                    z = shared.value.odds(np.array([describe(source, kind, s, e) for kind, _, source, s, e in part]))
+                    place = np.clip(np.floor((z + REACH) * STEPS), 0, most - 1).astype(np.int64)
+                    np.add.at(n, ([KINDS.index(f[0]) for f in part], [f[1] for f in part], place), 1)
+        k, label, place = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(label, pa.int32()), pa.array(place, pa.int32()),
+                                          pa.array(n[k, label, place])], ["kind", "y", "place", "n"])
+
+    n = np.zeros((len(KINDS), 2, most))
+    for r in own.mapInArrow(score, "kind int, y int, place int, n long").groupBy("kind", "y", "place").agg(F.sum("n").alias("n")).collect():
+        n[r.kind, r.y, r.place] = r.n
+    edges = np.arange(most) / STEPS - REACH
+    label, place = np.nonzero(n.sum(0))
+    trees.calibrate(None, label, odds=edges[place] + 0.5 / STEPS, weight=n.sum(0)[label, place])
+    a, b = trees.scale
+    least = {}
+    for i, kind in enumerate(KINDS):
+        right, every = (np.cumsum(v[::-1])[::-1] for v in (n[i, 1], n[i].sum(0)))
+        good = np.flatnonzero((n[i].sum(0) > 0) & (right >= precision * every))
+        # all at or over the edge of the lowest good place; the first place takes all that lies below, too
+        least[kind] = 1.1 if not len(good) else float(1 / (1 + np.exp(-np.clip(a * edges[good[0]] + b, -40, 40)))) if good[0] else 0.0
     return Model(trees, least)
 
 

@@ -120,3 +120,19 @@ def test_boosting_learns_and_calibrates():
     for one in (np.zeros(5), np.zeros(0)):
         assert len(boosting.fit(np.zeros((len(one), 2)), one).probability(np.zeros((3, 2)))) == 3
     assert boosting.threshold(np.array([.9]), np.array([0]), .98) > 1
+
+
+def test_rare_kinds_are_learnt_and_judged_on_all_documents(spark):
+    """A kind in few of many documents: all its spans count, though its documents are few in any sample."""
+    rnd, rows = random.Random(7), []
+    for i in range(12000):
+        t = f"host 10.{i % 256}.3.{rnd.randrange(256)} up" if i % 300 == 0 else f"order {rnd.randrange(10 ** 9, 10 ** 10)} sent"
+        rows.append((i, f"{CLEAN}{t} {CLEAN}{i}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    learnt = P.train(docs, sample=200)
+    assert learnt.least["ip"] <= 1
+    assert P.find(f"{CLEAN}host 10[.]2[.]3[.]4 up {CLEAN}", learnt)[1]["ip"]
+    x, y = P.sampled(docs.selectExpr("xxhash64(doc_id) AS h", "text"), 200)
+    fitted = sum(not P.held_out(t) for i, t in rows if i % 300 == 0)
+    assert ((x[:, 0] == P.KINDS.index("ip")) & (y == 1)).sum() == 2 * fitted
+    assert ((x[:, 0] == P.KINDS.index("phone")) & (y == 0)).sum() == 200
