@@ -3,7 +3,8 @@ the DuckDB text of those that SQL can express."""
 
 from __future__ import annotations
 
-from inkstream.llm import bpe, decontaminate, html_density, pii, quality, simhash, toxicity, url_filter, vafile, warc
+from inkstream.llm import (bpe, decontaminate, html_density, pii, quality, sentencepieces, simhash, toxicity, url_filter,
+                           vafile, warc)
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8,
     "op9_quality": quality.op9,
     "op10_decontaminate": decontaminate.op10,
+    "op11_sentencepiece": sentencepieces.op11,
 }
 
 SQL: dict[str, str] = {
