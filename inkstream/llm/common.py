@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -68,3 +69,32 @@ def with_new_text(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n
         return docs
     kind = docs.schema[n_chars_col].dataType
     return docs.withColumn(n_chars_col, F.char_length(text_col).cast(kind))
+
+
+def dealt_cells(rows: DataFrame, keys: list[str], held: int, asked: int, by: Column) -> DataFrame:
+    """Rows of cells (``keys``), members (``asks`` false) and queries (true), laid out for ``cell_runs``:
+    cells with over ``held`` members are cut into blocks that all their queries meet, and cells with over
+    ``asked`` queries into turns that all their members attend; ``by`` is the hash that deals rows. Inside a
+    partition rows come by cell, block and turn, members first. The plan has one entry a cell."""
+    plan = rows.groupBy(*keys).agg(F.ceil(F.count_if(~F.col("asks")) / held).cast("int").alias("blocks"),
+                                   F.ceil(F.count_if("asks") / asked).cast("int").alias("turns"))
+    count = {n: F.greatest(F.col(n), F.lit(1)) for n in ("blocks", "turns")}
+    every = {n: F.sequence(F.lit(0), c - 1) for n, c in count.items()}
+    one = {n: F.array(F.pmod(by, c).cast("int")) for n, c in count.items()}
+    order = [*keys, "block", "turn"]
+    placed = (rows.join(F.broadcast(plan), keys)
+              .withColumn("block", F.explode(F.when(F.col("asks"), every["blocks"]).otherwise(one["blocks"])))
+              .withColumn("turn", F.explode(F.when(F.col("asks"), one["turns"]).otherwise(every["turns"]))))
+    return (placed.select(*order, *[c for c in rows.columns if c not in keys])
+            .repartition(*order).sortWithinPartitions(*order, "asks"))
+
+
+def cell_runs(batches, n_keys: int) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
+    """(cell, asks, rows) of each run of equal ``n_keys`` first columns and ``asks``, which follows them."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys + 1)]
+        starts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1).tolist()]
+        for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+            yield tuple(int(c[s]) for c in columns[:n_keys]), bool(columns[-1][s]), batch.slice(s, e - s)

@@ -3,8 +3,8 @@ the DuckDB text of those that SQL can express."""
 
 from __future__ import annotations
 
-from inkstream.llm import (bpe, decontaminate, html_density, pii, quality, sentencepieces, simhash, toxicity, url_filter,
-                           vafile, warc)
+from inkstream.llm import (bpe, decontaminate, hard_negatives, html_density, pii, quality, sentencepieces, simhash, spelling,
+                           toxicity, url_filter, vafile, warc)
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -18,10 +18,14 @@ QUERIES = {
     "op9_quality": quality.op9,
     "op10_decontaminate": decontaminate.op10,
     "op11_sentencepiece": sentencepieces.op11,
+    "op12_spelling": spelling.op12,
+    "op13_hard_negatives": hard_negatives.op13,
 }
 
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op3_vafile": vafile.SQL,
     "op10_decontaminate": decontaminate.SQL,
+    "op12_spelling": spelling.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
