@@ -4,9 +4,10 @@
    compiled character map holds is replaced by its target, else one character is copied. White space is
    then trimmed, escaped and prefixed as the model says. Every character of the normalised text keeps the
    byte offset in the source of what it came from (the alignment).
-2. The normalised text is cut where no piece of the vocabulary joins two characters (always before a run of
-   the space mark after another character), parts are merged best piece first, leftmost of equals, and
-   remembered, as parts repeat across a corpus. Characters of no piece become byte pieces (or unknown).
+2. The normalised text is cut before each run of space marks and around control characters, where no piece of
+   the vocabulary reaches across. Parts are merged best piece first, leftmost of equals, all unknown parts of a
+   group of texts at once as arrays, and remembered, as they repeat across a corpus. Characters of no piece
+   become byte pieces (or unknown).
 3. Piece lengths add up to places in the normalised text; the alignment projects them to byte spans of the
    source. A character spelt in byte pieces belongs to its last one, the others have empty spans, as has the
    end id.
@@ -17,8 +18,8 @@ where a key can begin (a one-character key, or any character before one that sta
 Row-local: one pass over the texts, no shuffle. The model file is of bounded size and broadcast; its path is
 a parameter.
 
-Cases: a null text counts as empty and gives the end id alone; very long texts are merged in pieces of
-``PIECE`` characters and long parts with a heap, O(n log n); repeated rows and null ids give one result row
+Cases: a null text counts as empty and gives the end id alone; texts are taken in groups and very long ones in
+pieces of about ``PIECE`` characters, long parts are merged with a heap, O(n log n); repeated rows and null ids give one result row
 each; an empty table gives no rows; other columns are ignored. Decoding: control ids give nothing, null
 ids the empty text, ids outside the vocabulary the unknown surface, broken byte runs U+FFFD a byte.
 """
@@ -42,8 +43,9 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6          # fixed values: kinds of pieces in a model file
 PIECE = 1 << 21          # characters merged at once
 MEMO = 400_000           # remembered parts per worker
-LONG = 48                # symbols from which a part is merged with a heap
-KEEP = 256               # longer parts aren't remembered
+LONG = 48                # longer parts are merged with a heap
+SPAN = 1 << 20           # symbols are below this
+NEVER = (1 << 31) - 1
 
 codecs.register_error("each-byte", lambda e: ("�", e.start + 1))
 
@@ -177,7 +179,7 @@ class Pieces:
         self.end = next((i for i, p in enumerate(self.piece) if p == "</s>" and kind[i] == CONTROL), None)
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.piece) if kind[i] == BYTE} if options["bytes"] else {}
         normal = {p: i for i, p in enumerate(self.piece) if kind[i] == NORMAL}
-        spare = sorted({c for p in normal for c in p} - set(normal))        # inside pieces, no piece themselves
+        spare = self.spare = sorted({c for p in normal for c in p} - set(normal))        # inside pieces, no piece themselves
         self.symbol = normal | {c: size + i for i, c in enumerate(spare)}
         order = {s: r for r, s in enumerate(sorted(set(score), reverse=True))}
         self.pair: dict[tuple[int, int], tuple[int, int]] = {}              # (left, right) -> (rank, piece)
@@ -186,6 +188,11 @@ class Pieces:
                 a, b = self.symbol.get(p[:cut]), self.symbol.get(p[cut:])
                 if a is not None and b is not None:
                     self.pair[a, b] = (order[score[i]], i)
+        keys = np.array([(a * SPAN + b, r, i) for (a, b), (r, i) in self.pair.items()] or [(-1, 0, 0)], np.int64)
+        self.pair_key, self.pair_rank, self.pair_id = np.ascontiguousarray(keys[np.argsort(keys[:, 0])].T)
+        known = sorted((ord(c), i) for c, i in self.symbol.items() if len(c) == 1)
+        self.code, self.code_symbol = (np.array(x, np.int64) for x in zip(*known))
+        self.no_symbol = size + len(spare)           # a character that no piece holds
         beside = {p[i:i + 2] for p in normal for i in range(len(p) - 1)}    # characters some piece joins
         if any(b == self.space != a for a, b in beside):
             raise ValueError("a piece holds a space mark after another character")
@@ -258,29 +265,76 @@ class Pieces:
         return re.sub("  +", " ", out.lstrip(" ")), source[np.append(stay, True)]
 
     # ------------------------------------------------------------------ merging
-    def _merge(self, part: str) -> bytes:
-        """Ids of a part of the normalised text."""
-        symbol, pair = self.symbol, self.pair
-        s = [symbol.get(c, c) for c in part]
-        if len(s) > LONG:
-            s = self._merge_long(s)
-        else:
-            while len(s) > 1:
-                found = [(*pair[p], i) for i, p in enumerate(zip(s, s[1:])) if p in pair]
-                if not found:
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = left * SPAN + right
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        return np.where(self.pair_key[at] == key, self.pair_rank[at], NEVER), self.pair_id[at]
+
+    def _symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return np.where(self.code[at] == code, self.code_symbol[at], self.no_symbol), code
+
+    def _merge_all(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of the normalised text. In each round every part makes its best merge."""
+        symbols, code = self._symbols("".join(parts))
+        sizes = np.array(list(map(len, parts)), np.int64)
+        part = np.repeat(np.arange(len(parts)), sizes)
+        place, done = np.arange(len(symbols)), []
+        rank, new = np.full(len(symbols), NEVER), np.zeros(len(symbols), np.int64)
+        inner = np.flatnonzero(part[1:] == part[:-1])
+        rank[inner], new[inner] = self._ranks(symbols[inner], symbols[inner + 1])
+        while len(symbols):
+            starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            best = np.minimum.reduceat((rank << 32) + np.arange(len(rank)), starts)
+            over = best >> 32 == NEVER
+            at = best[~over] & 0xFFFFFFFF
+            if over.any():                            # these parts are ready
+                out = np.repeat(over, np.diff(np.append(starts, len(part))))
+                done.append((place[out], symbols[out], part[out]))
+                at = (np.cumsum(~out) - 1)[at]
+                symbols, part, place, rank, new = (x[~out] for x in (symbols, part, place, rank, new))
+                if not len(symbols):
                     break
-                _, new, i = min(found, key=lambda f: (f[0], f[2]))
-                s[i:i + 2] = [new]
-        out = []
+            symbols[at] = new[at]
+            stay = np.ones(len(symbols), bool)
+            stay[at + 1] = False
+            at = at - np.arange(len(at))              # one place went in each part before
+            symbols, part, place, rank, new = (x[stay] for x in (symbols, part, place, rank, new))
+            rank[at] = NEVER
+            right = np.append(part[1:] == part[:-1], False)[at]
+            left = np.append(False, part[1:] == part[:-1])[at]
+            look = np.concatenate([at[right], at[left] - 1])
+            rank[look], new[look] = self._ranks(symbols[look], symbols[look + 1])
+        place, symbols, part = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(place)
+        symbols, part, code = symbols[order], part[order], code[place[order]]
+        many = np.bincount(part, minlength=len(parts))
+        odd = np.flatnonzero(symbols >= self.size)
+        if len(odd):                                  # characters that are no piece
+            spelt = [self._spelt(c) for c in code[odd].tolist()]
+            times = np.ones(len(symbols), np.int64)
+            times[odd] = list(map(len, spelt))
+            many = np.bincount(part, weights=times, minlength=len(parts)).astype(np.int64)
+            first = np.cumsum(times) - times
+            symbols = np.repeat(symbols, times)
+            for k, ids in zip(first[odd].tolist(), spelt):
+                symbols[k:k + len(ids)] = ids
+        flat, ends = symbols.astype("<i4").tobytes(), (4 * np.cumsum(many)).tolist()
+        return [flat[i:j] for i, j in zip([0, *ends], ends)]
+
+    def _spelt(self, code: int) -> list[int]:
+        return [self.byte_ids[b] for b in chr(code).encode()] if self.byte_ids else [self.unk]
+
+    def _merge_one(self, part: str) -> bytes:
+        """Ids of a long part."""
+        symbols, _ = self._symbols(part)
+        s, out = self._merge_long([x if x != self.no_symbol else c for x, c in zip(symbols.tolist(), part)]), []
         for x in s:
             if isinstance(x, int) and x < self.size:
                 out.append(x)
-                continue
-            c = x if isinstance(x, str) else next(k for k, v in self.symbol.items() if v == x)
-            if self.byte_ids:
-                out += [self.byte_ids[b] for b in c.encode()]
             else:
-                out.append(self.unk)
+                out += self._spelt(ord(x if isinstance(x, str) else self.spare[x - self.size]))
         return np.array(out, "<i4").tobytes()
 
     def _merge_long(self, s: list) -> list:
@@ -302,32 +356,58 @@ class Pieces:
                     heapq.heappush(heap, (pair[q][0], left, q))
         return [x for x in s if x is not None]
 
-    def _ids(self, normal: str) -> bytes:
-        out, at = [], 0
+    def _known(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of the parts; long ones aren't remembered."""
+        if len(self.memo) + len(parts) > MEMO:
+            self.memo.clear()
+        fresh = parts.difference(self.memo)
+        short = [p for p in fresh if len(p) <= LONG]
+        if short:
+            self.memo.update(zip(short, self._merge_all(short)))
+        if len(short) == len(fresh):
+            return self.memo
+        long = {p: self._merge_one(p) for p in fresh if len(p) > LONG}
+        return {p: self.memo[p] if len(p) <= LONG else long[p] for p in parts}
+
+    def _cut(self, normal: str) -> Iterator[list[str]]:
+        """The parts, about ``PIECE`` characters at a time."""
+        at, gap = 0, re.compile(f"(?<!{self.space}){self.space}")
         while at < len(normal):
             end = len(normal)
-            if end - at > 2 * PIECE and (cut := re.compile(f"(?<!{self.space}){self.space}").search(normal, at + PIECE)):
+            if end - at > 2 * PIECE and (cut := gap.search(normal, at + PIECE)):
                 end = cut.start()
-            parts = self.parts.findall(normal, at, end)
+            yield self.parts.findall(normal, at, end)
             at = end
-            memo = self.memo
-            fresh = {p for p in set(parts) if p not in memo}
-            if fresh:
-                if len(memo) + len(fresh) > MEMO:
-                    memo.clear()
-                    fresh = set(parts)
-                long = {p: self._merge(p) for p in fresh if len(p) > KEEP}
-                memo.update((p, self._merge(p)) for p in fresh if len(p) <= KEEP)
-                if long:
-                    out += [long[p] if len(p) > KEEP else memo[p] for p in parts]
-                    continue
-            out += map(memo.__getitem__, parts)
-        return b"".join(out)
+
+    def encode_all(self, texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids without the end id, and the byte spans of their pieces: an array of (begin, end)."""
+        group, size = [], 0
+        for text in texts:
+            group.append(self.normalise(text))
+            size += len(text)
+            if size > PIECE:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        yield from self._encode_group(group)
+
+    def _encode_group(self, group: list[tuple[str, np.ndarray]]):
+        if len(group) == 1 and len(group[0][0]) > PIECE:
+            normal, origin = group[0]
+            out = []
+            for parts in self._cut(normal):
+                out += map(self._known(set(parts)).__getitem__, parts)
+            yield self._spans(b"".join(out), origin)
+            return
+        split = [self.parts.findall(normal) for normal, _ in group]
+        known = self._known(set().union(*split))
+        for parts, (_, origin) in zip(split, group):
+            yield self._spans(b"".join(map(known.__getitem__, parts)), origin)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids without the end id, and the byte spans of their pieces: an array of (begin, end)."""
-        normal, origin = self.normalise(text)
-        ids = np.frombuffer(self._ids(normal), "<i4")
+        return next(self.encode_all([text]))
+
+    def _spans(self, raw: bytes, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(raw, "<i4")
         if not len(ids):
             return ids, np.zeros((0, 2), np.int64)
         size = self.chars[ids]
@@ -411,8 +491,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
         p = pieces(shared.value)
         for batch in batches:
             columns = [[] for _ in range(4 + len(extra))]
-            for text in str_texts(batch.column(1)):
-                ids, spans = p.encode(text)
+            for ids, spans in p.encode_all(str_texts(batch.column(1))):
                 if end_id and p.end is not None:
                     ids = np.append(ids, np.int32(p.end))
                     last = spans[-1:, 1:] if len(spans) else np.zeros((1, 1), np.int64)
