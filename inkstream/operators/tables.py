@@ -1,71 +1,23 @@
-"""Keyed tables with last-write-wins upsert (K1, K2, K3, K8, K12, U2), without a table format.
-
-Merge-on-read layout under a table path::
-
-    <path>/delta/b=<id>/   one folder per upserted batch (a stream's micro-batch id, or the next
-                           free id for batch jobs), already reduced to one row per key
-    <path>/base/v=<n>/     optional compacted snapshot
-    <path>/_CURRENT/v=<n>/ one line "n,max_b": base version and the last batch folded into it; the
-                           highest n is live (each is written aside and renamed, never overwritten)
-
-An upsert writes only its own batch (cost O(batch), not O(table)) with ``mode=overwrite`` into
-``b=<id>``, so a replayed micro-batch rewrites the same folder: idempotent. A reader unions the base
-with the newer deltas and keeps, per key, the row with the greatest ``seq``:
-``groupBy(key).agg(max_by(struct(row), seq))`` - an aggregate with a partial (map-side) step
-(sort-based, as its buffer holds a whole row, so it spills instead of running out of memory), so a
-key holding a third of all updates is reduced on every map task before the shuffle.
-``compact`` folds the deltas into a new base (written fully before its pointer appears) and removes
-the deltas that the base before it already held.
-
-One writer per table at a time (a stream's foreachBatch, or a batch job). Where a merge-capable
-table format is installed, ``MERGE INTO`` is the drop-in replacement.
+"""Keyed tables with last-write-wins (K1, K2, K3, K8, K12, U2) as plain Parquet.
+
+A table is a folder of batches, ``<path>/b=<batch id>``, each a plain Parquet write. A batch is already reduced
+to one row per key and written with ``mode=overwrite``, so a replayed batch changes nothing. A reader takes, per
+key, the row with the greatest ``seq`` over all batches: ``groupBy(key).agg(max_by(struct(row), seq))``, an
+aggregate with a partial (map-side) step, so a key holding a third of all versions is reduced on every map task
+before the shuffle. Its buffer holds a whole row, so Spark plans it with sorting, which spills.
+
+Streams write only what their keyed state says is new (``streaming.state``), so a table grows with its changes.
+``compact`` is an ordinary job that writes the live rows as the first batch of another folder of the caller's.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstream.operators.indexing import join_null_safe
 from inkstream.session import materialize
 
-POINTER = "_CURRENT"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers n of the entries ``<prefix>n`` of a folder (one listing), ascending."""
-    if not path_exists(spark, folder):
-        return []
-    fs, p = _fs(spark, folder)
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
-
-
-def _delta_ids(spark: SparkSession, path: str) -> list[int]:
-    return _numbers(spark, os.path.join(path, "delta"), "b=")
-
-
-def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """Live base version and the last batch folded into it: the highest pointer version."""
-    versions = _numbers(spark, os.path.join(path, POINTER), "v=")
-    if not versions:
-        return None
-    v, b = spark.read.text(os.path.join(path, POINTER, f"v={versions[-1]}")).first()[0].split(",")
-    return int(v), int(b)
-
 
 def latest_per_key(df: DataFrame, key: str | list[str], seq: str | tuple[str, ...]) -> DataFrame:
     """One row per key: the row with the greatest seq (or tuple of columns, compared in order);
@@ -77,56 +29,19 @@ def latest_per_key(df: DataFrame, key: str | list[str], seq: str | tuple[str, ..
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str], seq: str | tuple[str, ...],
-           batch_id: int | None = None) -> int:
-    """K1/K2: merge ``batch`` into the table (last write wins by ``seq``). Returns the batch id."""
-    if batch_id is None:
-        ids = _delta_ids(spark, path)
-        ptr = _pointer(spark, path)
-        batch_id = max(ids + [ptr[1] if ptr else -1]) + 1
-    latest_per_key(batch, key, seq).write.mode("overwrite").parquet(os.path.join(path, "delta", f"b={batch_id}"))
-    return batch_id
-
-
-def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str | tuple[str, ...]) -> DataFrame | None:
-    """The live table: base plus newer deltas, one row per key."""
-    ptr = _pointer(spark, path)
-    base_max = ptr[1] if ptr else -1
-    ids = [i for i in _delta_ids(spark, path) if i > base_max]
-    parts = []
-    if ptr:
-        parts.append(spark.read.parquet(os.path.join(path, "base", f"v={ptr[0]}")))
-    if ids:
-        d = os.path.join(path, "delta")
-        parts.append(spark.read.option("basePath", d).parquet(*[os.path.join(d, f"b={i}") for i in ids]).drop("b"))
-    if not parts:
-        return None
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return latest_per_key(u, key, seq)
-
-
-def compact(spark: SparkSession, path: str, key: str | list[str], seq: str | tuple[str, ...]) -> None:
-    """Fold all deltas into a new base snapshot; ``_CURRENT`` moves only after it is written."""
-    ids = _delta_ids(spark, path)
-    ptr = _pointer(spark, path)
-    merged = read_keyed(spark, path, key, seq)
-    if merged is None:
-        return
-    v = 0 if ptr is None else ptr[0] + 1
-    max_b = max(ids + [ptr[1] if ptr else -1])
-    merged.write.mode("overwrite").parquet(os.path.join(path, "base", f"v={v}"))
-    pointer = os.path.join(path, POINTER, f"v={v}")       # appears whole: written aside, then renamed
-    spark.createDataFrame([(f"{v},{max_b}",)], "value string").coalesce(1).write.mode("overwrite").text(pointer + ".new")
-    fs, p = _fs(spark, pointer)
-    if not fs.rename(_fs(spark, pointer + ".new")[1], p):
-        raise OSError(f"could not move the pointer of {path} to version {v}")
-    # what the version before the last no longer needs: readers of the last one may still be at work
-    for old in [b for b in ids if ptr and b <= ptr[1]]:
-        fs.delete(_fs(spark, os.path.join(path, "delta", f"b={old}"))[1], True)
-    for old in range(v - 1):
-        fs.delete(_fs(spark, os.path.join(path, "base", f"v={old}"))[1], True)
+def upsert(path: str, batch: DataFrame, key: str | list[str], seq: str | tuple[str, ...], batch_id: int) -> None:
+    """K1/K2: put ``batch`` into the table (last write wins by ``seq``). An id used before is replaced."""
+    latest_per_key(batch, key, seq).write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+
+
+def read_keyed(spark: SparkSession, path: str, key: str | list[str], seq: str | tuple[str, ...]) -> DataFrame:
+    """The live table: one row per key over all batches."""
+    return latest_per_key(spark.read.parquet(path).drop("b"), key, seq)
+
+
+def compact(spark: SparkSession, path: str, into: str, key: str | list[str], seq: str | tuple[str, ...]) -> None:
+    """Write the live rows of the table at ``path`` as the first batch of a new table ``into``."""
+    read_keyed(spark, path, key, seq).write.parquet(f"{into}/b=0")
 
 
 def get_or_create(existing: DataFrame, requests: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkstream.operators import tables as K
-from inkstream.plans.q_chunks import chunks_sql_ctes
+from inkstream.operators.chunking import chunk_rows
+from inkstream.plans.q_chunks import chunks_sql_ctes, cleaned_articles
 from inkstream.plans.registry import register
 from inkstream.session import fresh_path, materialize
 from inkstream.sources import fixtures as fx
 from inkstream.sources.tables import read_table
 from inkstream.streaming import flow as S
+from inkstream.streaming.state import first_within, newest_versions, start_keyed
 
 ENVELOPE_FILES = 8
 AS_OF = "2024-07-26"          # date of messages that have none
@@ -78,7 +80,7 @@ def event_pipeline(spark, sf_dir, replay: bool = False) -> dict:
 
 def _features(spark, paths: dict, checkpoint: str) -> None:
     S.feature_flow(spark, paths["queue"], paths["cleaned"], paths["vectors"], paths["quarantine"], checkpoint,
-                   as_of=AS_OF).awaitTermination()
+                   as_of=AS_OF, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
 
 
 def _captured(spark, sf_dir) -> str:
@@ -176,3 +178,48 @@ def quarantine(spark, sf_dir):
     p = event_pipeline(spark, sf_dir)
     q = S.read_quarantine(spark, p["quarantine"])
     return q.select("entry_id", "reason", F.coalesce(F.get_json_object("raw", "$.seq"), "raw").alias("raw_seq"))
+
+
+# ----------------------------------------------------------------------------- keyed state and watermarks
+@register("stream_changes", "K1 R4", fx.with_views("""
+SELECT batch_no, key, seq, source, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY key, batch_no ORDER BY seq DESC) AS n,
+    max(seq) OVER (PARTITION BY key ORDER BY batch_no RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM (SELECT *, seq % 3 AS batch_no FROM versions)) WHERE n = 1 AND (before IS NULL OR seq > before)""", "versions"))
+def stream_changes(spark, sf_dir):
+    """What each micro-batch changes: three parts arrive one after the other, each time the query starts again from
+    its checkpoint, and the second arrives twice (its second arrival, batch 2, changes nothing)."""
+    landing, out, ckpt = (fresh_path(spark, n) for n in ("versions-in", "versions-changes", "ckpt-changes"))
+    v = fx.versions(spark, sf_dir)
+    for part in (0, 1, 1, 2):
+        v.where(F.col("seq") % 3 == part).write.mode("append").parquet(landing)
+        changes = newest_versions(spark.readStream.schema(v.schema).parquet(landing), ["key"], "seq", "source")
+        writer = (changes.writeStream.outputMode("update").option("checkpointLocation", ckpt).trigger(availableNow=True)
+                  .foreachBatch(lambda df, b: df.write.mode("overwrite").parquet(f"{out}/b={b}")))
+        start_keyed(spark, writer.start, spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(out).select((F.col("b") - (F.col("b") > 1).cast("int")).cast("bigint").alias("batch_no"),
+                                          "key", "seq", "source", "value")
+
+
+DELAY_DAYS = 20
+
+
+@register("stream_dedup_chunks", "U2", fx.with_views(f"""
+SELECT chunk_id, min(part) AS part FROM (SELECT c.chunk_id, a.doc_id % 2 AS part, CAST(c.published_at AS DATE) AS day
+  FROM chunks c JOIN (SELECT entry_id, doc_id FROM articles) a USING (entry_id))
+WHERE part = 0 OR day > (SELECT max(published_at) FROM articles WHERE doc_id % 2 = 0) - {DELAY_DAYS}
+GROUP BY chunk_id""", "articles", extra=chunks_sql_ctes(), recursive=True))
+def stream_dedup_chunks(spark, sf_dir):
+    """Chunks of the articles with an even number, then of the others: a chunk leaves once, with the first part it
+    stands in; chunks of the second part are late when their day is over ``DELAY_DAYS`` before the latest day so far."""
+    landing, out, ckpt = (fresh_path(spark, n) for n in ("chunks-in", "chunks-once", "ckpt-chunks"))
+    rows = chunk_rows(cleaned_articles(spark, sf_dir), keep=("doc_id", "published_at"))
+    rows = materialize(rows.select("chunk_id", (F.col("doc_id") % 2).alias("part"),
+                                   F.to_timestamp("published_at", "yyyy-MM-dd").alias("at")), "chunks-timed")
+    for part in (0, 1):
+        rows.where(F.col("part") == part).write.mode("append").parquet(landing)
+        once = first_within(spark.readStream.schema(rows.schema).parquet(landing), ["chunk_id"], "at", f"{DELAY_DAYS} days")
+        writer = (once.select("chunk_id", "part").writeStream.format("parquet").option("path", out)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True))
+        start_keyed(spark, writer.start, spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(out)

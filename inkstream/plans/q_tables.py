@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inkstream.functions import prompts as P
 from inkstream.operators import tables as K
+from inkstream.operators.indexing import join_null_safe
 from inkstream.plans.q_chunks import CLEANED_SQL, chunks_sql_ctes, cleaned_articles
 from inkstream.operators import chunking as C
 from inkstream.plans.registry import register
@@ -22,14 +23,14 @@ from inkstream.sources import fixtures as fx
     "SELECT key, arg_max(seq, seq) AS seq, arg_max(source, seq) AS source, arg_max(value, seq) AS value "
     "FROM versions GROUP BY key", "versions"))
 def upsert_cleaned(spark, sf_dir):
-    path = fresh_path(spark, "keyed-versions")
+    path, folded = fresh_path(spark, "keyed-versions"), fresh_path(spark, "keyed-folded")
     v = fx.versions(spark, sf_dir)
-    K.upsert(spark, path, v.where(F.col("seq") % 3 == 0), "key", "seq")
-    K.compact(spark, path, "key", "seq")
-    b = K.upsert(spark, path, v.where(F.col("seq") % 3 == 1), "key", "seq")
-    K.upsert(spark, path, v.where(F.col("seq") % 3 == 1), "key", "seq", batch_id=b)  # replay: no change
-    K.upsert(spark, path, v.where(F.col("seq") % 3 == 2), "key", "seq")
-    return K.read_keyed(spark, path, "key", "seq").select("key", "seq", "source", "value")
+    K.upsert(path, v.where(F.col("seq") % 3 == 0), "key", "seq", 0)
+    K.upsert(path, v.where(F.col("seq") % 3 == 1), "key", "seq", 1)
+    K.upsert(path, v.where(F.col("seq") % 3 == 1), "key", "seq", 1)          # replay: no change
+    K.compact(spark, path, folded, "key", "seq")
+    K.upsert(folded, v.where(F.col("seq") % 3 == 2), "key", "seq", 1)
+    return K.read_keyed(spark, folded, "key", "seq").select("key", "seq", "source", "value")
 
 
 @register("upsert_chunks", "K2 U2 P6", fx.with_views(
@@ -42,8 +43,8 @@ def upsert_chunks(spark, sf_dir):
     rows = C.chunk_rows(cl, keep=("entry_id", "title", "published_at", "doc_id"))
     cols = ["chunk_id", "entry_id", F.col("doc_id").alias("seq"), "title", "published_at", F.col("chunk_content").alias("content")]
     order = ("seq", "entry_id")                     # the later article wins, whatever its id
-    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", order)
-    K.upsert(spark, path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", order)
+    K.upsert(path, rows.where(F.col("doc_id") % 2 == 1).select(*cols), "chunk_id", order, 0)
+    K.upsert(path, rows.where(F.col("doc_id") % 2 == 0).select(*cols), "chunk_id", order, 1)
     return K.read_keyed(spark, path, "chunk_id", order).select("chunk_id", "entry_id", "title")
 
 
@@ -52,7 +53,7 @@ def upsert_chunks(spark, sf_dir):
     "articles", extra={"cleaned": CLEANED_SQL}))
 def scan_cleaned(spark, sf_dir):
     path = fresh_path(spark, "cleaned-articles")
-    K.upsert(spark, path, cleaned_articles(spark, sf_dir).drop("doc_id"), "entry_id", "entry_id")
+    K.upsert(path, cleaned_articles(spark, sf_dir).drop("doc_id"), "entry_id", "entry_id", 0)
     # Full scan, no silent cap; only the two needed columns are read from the snapshot.
     t = K.read_keyed(spark, path, "entry_id", "entry_id")
     return t.select("entry_id", "cleaned_content").where(F.length("cleaned_content") > 0)
@@ -109,9 +110,9 @@ def text_dump(spark, sf_dir):
 
 @register("get_or_create_batch", "K8", fx.with_views("""
 SELECT r.source, r.title, coalesce(e.id, md5(coalesce(CAST(length(r.source) AS VARCHAR) || ':' || r.source, '-') ||
-       coalesce(CAST(length(r.title) AS VARCHAR) || ':' || r.title, '-'))) AS id, e.id IS NULL AS created, 1 AS n_rows
+       coalesce(CAST(length(r.title) AS VARCHAR) || ':' || r.title, '-'))) AS id, e.id IS NULL AS created, coalesce(e.n, 1) AS n_rows
 FROM (SELECT DISTINCT source, title FROM articles) r
-LEFT JOIN (SELECT source, title, min(entry_id) AS id FROM articles WHERE doc_id % 3 = 0 GROUP BY source, title) e
+LEFT JOIN (SELECT source, title, min(entry_id) AS id, count(*) AS n FROM articles WHERE doc_id % 3 = 0 GROUP BY source, title) e
   ON e.source IS NOT DISTINCT FROM r.source AND e.title IS NOT DISTINCT FROM r.title""", "articles"))
 def get_or_create_batch(spark, sf_dir):
     path = fresh_path(spark, "articles-existing")
@@ -120,10 +121,10 @@ def get_or_create_batch(spark, sf_dir):
     requests, keys = a.select("source", "title"), ["source", "title"]
     got = K.get_or_create_rows(spark, path, requests, keys, "id")
     again = K.get_or_create_rows(spark, path, requests, keys, "id")   # everything exists now
-    table = spark.read.parquet(path).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    table = table.select("id", F.least("n", F.lit(1)).cast("int").alias("n_rows"))
+    rows = spark.read.parquet(path).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     same = again.where(~F.col("created")).select("id").distinct()
-    return got.join(same, "id", "left_semi").join(table, "id").select(*keys, "id", "created", "n_rows")
+    found = got.join(same, "id", "left_semi").select(*keys, "id", "created")
+    return join_null_safe(found, rows, keys)
 
 
 # Span categories of the answer log.

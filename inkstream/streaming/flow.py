@@ -1,19 +1,20 @@
 """Structured Streaming flows (S1, S2, S3, S14, R1..R6, K3, K5, K6).
 
 Change capture (R5):  change envelopes (file stream) -> inserts only -> flatten -> JSON queue files.
-Feature flow   (R1):  queue files -> dispatch + validate -> clean -> foreachBatch {
-                          cleaned table upsert (K1); chunk -> embed -> vector table upsert (K2);
-                          rejected rows -> quarantine (R6) }.
-
-Every query has a checkpoint under the shared folder: offsets and commits make a restart resume
-where it stopped (R4). A replayed micro-batch rewrites the same delta / quarantine folders
-(keyed by batch id), so at-least-once delivery leaves the tables unchanged. The queue is a folder
-of JSON files (any number of files, read in parallel; ``maxFilesPerTrigger`` bounds a micro-batch).
+Feature flow   (R1):  queue files -> dispatch + validate -> clean -> one row for the cleaned article and one per
+                      chunk -> keyed state (newest version per table and key) -> foreachBatch {
+                          changes of the cleaned table (K1); embed, changes of the vector table (K2) }
+Quarantine     (R6):  queue files -> refused lines with the reason.
+
+Every query has a checkpoint under the shared folder: offsets, commits and state make a restart resume
+where it stopped (R4). Messages that arrive again are no change for the state; a replayed micro-batch rewrites
+the same folders (keyed by batch id). The queue is a folder of JSON files (any number of files, read in
+parallel; ``maxFilesPerTrigger`` bounds a micro-batch).
 """
 
 from __future__ import annotations
 
-import os
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from inkstream.functions.text import clean_text
 from inkstream.operators import records as R
 from inkstream.operators import tables as K
-from inkstream.operators.chunking import chunk_rows
+from inkstream.operators.chunking import chunk_text
 from inkstream.operators.embedding import hash_embed
+from inkstream.streaming.state import newest_versions, start_keyed
 
 MESSAGE_SCHEMA = ("seq bigint, type string, entry_id string, source string, title string, summary string, "
                   "content string, published_at string")
@@ -79,32 +81,52 @@ def cleaned_messages(checked: DataFrame) -> DataFrame:
 CLEANED_ORDER, VECTOR_ORDER = "seq", ("seq", "entry_id")
 
 
-def _feature_batch(cleaned_path: str, vector_path: str, quarantine_path: str, embed_dim: int, compact_every: int,
-                   as_of: str):
+CLEANED, VECTORS = "cleaned_articles", "vector_articles"
+
+
+def keyed_rows(cleaned: DataFrame) -> DataFrame:
+    """For each cleaned article its row of the cleaned table and one row per chunk (A4) of the vector table:
+    ``table``, ``key`` (entry_id, or md5 of the chunk), ``content`` and the article's other columns."""
+    item = lambda table, key, text: F.struct(F.lit(table).alias("table"), key.alias("key"), text.alias("content"))
+    chunks = F.transform(chunk_text("cleaned_content"), lambda c: item(VECTORS, F.md5(c), c))
+    items = F.concat(F.array(item(CLEANED, F.col("entry_id"), F.col("cleaned_content"))), F.coalesce(chunks, F.array()))
+    others = ["entry_id", "seq", "source", "title", "summary", "published_at", "type"]
+    return cleaned.select(F.explode(items).alias("i"), *others).select("i.*", *others)
+
+
+def _write_changes(cleaned_path: str, vector_path: str, embed_dim: int):
+    """K3: one batch of changes into both tables; only changed chunks are embedded."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        checked = checked_messages(batch, as_of).persist()
-        cleaned = cleaned_messages(checked).persist()        # cleaned once, used by both tables
+        changed = batch.persist()                            # the state is read once
         try:
-            checked.where(F.col("reason").isNotNull()).select("entry_id", "raw", "reason") \
-                .write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch_id={batch_id}"))
-            K.upsert(spark, cleaned_path, cleaned, "entry_id", CLEANED_ORDER, batch_id=batch_id)
-            chunks = chunk_rows(cleaned, keep=("entry_id", "seq", "title", "published_at", "type"))
-            vectors = chunks.select("chunk_id", "entry_id", "seq", "title", "published_at", "type",
-                                    F.col("chunk_content").alias("content"),
-                                    hash_embed("chunk_content", embed_dim).alias("embedded_content"))
-            K.upsert(spark, vector_path, vectors, "chunk_id", VECTOR_ORDER, batch_id=batch_id)
-            if compact_every and (batch_id + 1) % compact_every == 0:
-                # keep reads O(table), not O(table + all deltas); a replay of an already folded
-                # batch is skipped by the pointer, so this stays idempotent
-                K.compact(spark, cleaned_path, "entry_id", CLEANED_ORDER)
-                K.compact(spark, vector_path, "chunk_id", VECTOR_ORDER)
+            c = changed.where(F.col("table") == CLEANED)
+            c = c.select("entry_id", "seq", "source", "title", F.col("content").alias("cleaned_content"), "summary",
+                         "published_at", "type")
+            K.upsert(cleaned_path, c, "entry_id", CLEANED_ORDER, batch_id)
+            v = changed.where(F.col("table") == VECTORS)
+            v = v.select(F.col("key").alias("chunk_id"), "entry_id", "seq", "title", "published_at", "type", "content",
+                         hash_embed("content", embed_dim).alias("embedded_content"))
+            K.upsert(vector_path, v, "chunk_id", VECTOR_ORDER, batch_id)
         finally:
-            cleaned.unpersist()
-            checked.unpersist()
+            changed.unpersist()
     return run
 
 
+@dataclass
+class Flow:
+    """Streaming queries that belong together."""
+
+    queries: list
+
+    def awaitTermination(self) -> None:  # noqa: N802  (as a query's own)
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
 def console_flow(spark: SparkSession, queue_dir: str, checkpoint: str, as_of: str, rows: int = 1000,
                  max_files_per_trigger: int = 64, trigger: dict | None = None):
     """K5: the cleaned stream on the console (``rows`` per micro-batch)."""
@@ -113,19 +135,33 @@ def console_flow(spark: SparkSession, queue_dir: str, checkpoint: str, as_of: st
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
+def quarantine_flow(spark: SparkSession, queue_dir: str, quarantine_path: str, checkpoint: str, as_of: str,
+                    max_files_per_trigger: int = 64, trigger: dict | None = None):
+    """Refused lines as they came, with the reason; one folder per micro-batch."""
+    refused = checked_messages(queue_source(spark, queue_dir, max_files_per_trigger), as_of)
+    refused = refused.where(F.col("reason").isNotNull()).select("entry_id", "raw", "reason")
+    return (refused.writeStream.foreachBatch(
+                lambda df, b: df.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={b}"))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def feature_flow(spark: SparkSession, queue_dir: str, cleaned_path: str, vector_path: str, quarantine_path: str,
                  checkpoint: str, as_of: str, embed_dim: int = 384, max_files_per_trigger: int = 64,
-                 console: bool = False, compact_every: int = 32, trigger: dict | None = None):
-    """One streaming query feeding both keyed tables and the quarantine. ``as_of`` is the date
-    of messages without one. ``console`` adds ``console_flow`` with a checkpoint beside this one. Every
-    ``compact_every`` micro-batches the deltas are folded into a new base snapshot."""
-    src = queue_source(spark, queue_dir, max_files_per_trigger)
+                 console: bool = False, state_partitions: int | None = None, trigger: dict | None = None) -> Flow:
+    """One streaming query with keyed state feeds both tables, another the quarantine. ``as_of`` is the date
+    of messages without one. ``console`` adds ``console_flow``. The checkpoints of the others lie beside this one.
+    ``state_partitions`` is fixed when the checkpoint is made."""
+    more = {"max_files_per_trigger": max_files_per_trigger, "trigger": trigger}
+    cleaned = cleaned_messages(checked_messages(queue_source(spark, queue_dir, max_files_per_trigger), as_of))
+    changes = newest_versions(keyed_rows(cleaned), ["table", "key"], *VECTOR_ORDER)
+    writer = (changes.writeStream.outputMode("update").foreachBatch(_write_changes(cleaned_path, vector_path, embed_dim))
+              .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
+    beside = checkpoint.rstrip("/")
+    queries = [start_keyed(spark, writer.start, state_partitions),
+               quarantine_flow(spark, queue_dir, quarantine_path, beside + "-quarantine", as_of, **more)]
     if console:
-        console_flow(spark, queue_dir, checkpoint.rstrip("/") + "-console", as_of,
-                     max_files_per_trigger=max_files_per_trigger, trigger=trigger)
-    return (src.writeStream.foreachBatch(_feature_batch(cleaned_path, vector_path, quarantine_path, embed_dim,
-                                                        compact_every, as_of))
-            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+        queries.append(console_flow(spark, queue_dir, beside + "-console", as_of, **more))
+    return Flow(queries)
 
 
 def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:
