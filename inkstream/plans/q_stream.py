@@ -57,30 +57,31 @@ def _publish_odd_messages(spark, sf_dir, queue: str) -> None:
 
 def event_pipeline(spark, sf_dir, replay: bool = False) -> dict:
     """R5 then R1 over the change feed, into new folders; with ``replay`` the queue is published again
-    and the feature flow restarted from its checkpoint (R4)."""
+    and the feature flow, here with versions as its state, restarted from its checkpoint (R4)."""
     env = _landing_envelopes(spark, sf_dir)
     queue = fresh_path(spark, "queue")
     S.change_capture(spark, env, queue, fresh_path(spark, "ckpt-cdc")).awaitTermination()
     paths = {"queue": queue, "cleaned": fresh_path(spark, "cleaned"), "vectors": fresh_path(spark, "vectors"),
              "quarantine": fresh_path(spark, "quarantine")}
     if replay:   # versions and cut lines come after a first run
-        _features(spark, paths, ckpt := fresh_path(spark, "ckpt-features"))
+        _features(spark, paths, ckpt := fresh_path(spark, "ckpt-features"), changes_only=True)
     _publish_odd_messages(spark, sf_dir, queue)
     if not replay:
         ckpt = fresh_path(spark, "ckpt-features")
-    _features(spark, paths, ckpt)
+    _features(spark, paths, ckpt, changes_only=replay)
     if replay:
         # at-least-once: the same messages arrive again as new files, then the flow restarts
         again = materialize(spark.read.schema(S.MESSAGE_SCHEMA).json(queue).where("entry_id IS NOT NULL"), "again")
         S.publish_messages(again, queue)
-        _features(spark, paths, ckpt)
-        _features(spark, paths, ckpt)
+        _features(spark, paths, ckpt, changes_only=True)
+        _features(spark, paths, ckpt, changes_only=True)
     return paths
 
 
-def _features(spark, paths: dict, checkpoint: str) -> None:
+def _features(spark, paths: dict, checkpoint: str, changes_only: bool = False) -> None:
     S.feature_flow(spark, paths["queue"], paths["cleaned"], paths["vectors"], paths["quarantine"], checkpoint,
-                   as_of=AS_OF, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+                   as_of=AS_OF, changes_only=changes_only,
+                   state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
 
 
 def _captured(spark, sf_dir) -> str:

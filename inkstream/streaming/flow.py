@@ -24,7 +24,7 @@ from inkstream.operators import records as R
 from inkstream.operators import tables as K
 from inkstream.operators.chunking import chunk_text
 from inkstream.operators.embedding import hash_embed
-from inkstream.streaming.state import newest_versions, start_keyed
+from inkstream.streaming.state import newest_rows, newest_versions, start_keyed
 
 MESSAGE_SCHEMA = ("seq bigint, type string, entry_id string, source string, title string, summary string, "
                   "content string, published_at string")
@@ -147,13 +147,16 @@ def quarantine_flow(spark: SparkSession, queue_dir: str, quarantine_path: str, c
 
 def feature_flow(spark: SparkSession, queue_dir: str, cleaned_path: str, vector_path: str, quarantine_path: str,
                  checkpoint: str, as_of: str, embed_dim: int = 384, max_files_per_trigger: int = 64,
-                 console: bool = False, state_partitions: int | None = None, trigger: dict | None = None) -> Flow:
+                 console: bool = False, changes_only: bool = False, state_partitions: int | None = None,
+                 trigger: dict | None = None) -> Flow:
     """One streaming query with keyed state feeds both tables, another the quarantine. ``as_of`` is the date
     of messages without one. ``console`` adds ``console_flow``. The checkpoints of the others lie beside this one.
-    ``state_partitions`` is fixed when the checkpoint is made."""
+    ``state_partitions`` and ``changes_only`` are fixed when the checkpoint is made: with ``changes_only`` the state
+    holds versions instead of rows and what arrives again is written (and embedded) no more."""
     more = {"max_files_per_trigger": max_files_per_trigger, "trigger": trigger}
     cleaned = cleaned_messages(checked_messages(queue_source(spark, queue_dir, max_files_per_trigger), as_of))
-    changes = newest_versions(keyed_rows(cleaned), ["table", "key"], *VECTOR_ORDER)
+    newest = newest_versions if changes_only else newest_rows
+    changes = newest(keyed_rows(cleaned), ["table", "key"], *VECTOR_ORDER)
     writer = (changes.writeStream.outputMode("update").foreachBatch(_write_changes(cleaned_path, vector_path, embed_dim))
               .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     beside = checkpoint.rstrip("/")

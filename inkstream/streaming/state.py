@@ -1,9 +1,10 @@
 """Keyed state of streams: the newest version per key (K1, K2, R4) and first-seen rows within a watermark.
 
-``newest_versions`` keeps one value per key, the version (``seq``, then a second column) that won so far, in Spark's
+Two forms of the first. ``newest_rows`` is a streaming aggregate: the state holds the newest row of each key, all
+of it runs in the JVM, and a micro-batch emits every key that it touches. ``newest_versions`` keeps one value per key, the version (``seq``, then a second column) that won so far, in Spark's
 state store (RocksDB), and lets a row pass only if it beats that version. So a micro-batch emits what changes the
 table and nothing else: a message that arrives again, in another file or after a restart, is no change. The state
-holds versions, not rows, and is as large as the number of keys. Rows of a task are reduced to the best per key
+holds versions, not rows, and is as large as the number of keys, at the price of Python work per key. Rows of a task are reduced to the best per key
 before the shuffle, so a key that holds a third of a micro-batch is narrow when it reaches its task.
 """
 
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -81,6 +83,14 @@ def _best_of_batch(keys: list[str], seq: str, then: str):
     return run
 
 
+def newest_rows(rows: DataFrame, keys: list[str], seq: str, then: str) -> DataFrame:
+    """The newest row, by (``seq``, ``then``), of each key that a micro-batch of a stream touches. Start the query by
+    ``start_keyed``, in update mode."""
+    others = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(seq, then)).alias("_r"))
+    return best.select(*[c if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
+
+
 def newest_versions(rows: DataFrame, keys: list[str], seq: str, then: str) -> DataFrame:
     """The rows of a stream that change a keyed table: per key and micro-batch the one with the greatest
     (``seq``, ``then``), if that is greater than all before. Start the query by ``start_keyed``, in update mode."""
