@@ -1,13 +1,14 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
 The training texts are read once, without a shuffle. Each task cuts its rows into shards of about
-``SHARD_WORDS`` words, builds a suffix array of every shard (the start positions, sorted by the words
-that follow) and binary-searches every suffix of every test item in it: the interval of the array
-that agrees with the suffix narrows word by word until it is empty, which gives the longest verbatim
-match; the interval at the window length gives the places of the window. Words that occur in no test
-item get the number 0; a position from which fewer words than the shortest window are known can hold
-no window, so the array leaves it out. Overlapping windows on one diagonal join to the longest
-verbatim matches that are returned with their places.
+``SHARD_WORDS`` words (also by rows and bytes, so that empty texts don't pile up), builds a suffix array of every
+shard (the start positions, sorted by the words that follow, as many as a window has) and binary-searches the
+suffixes of the test items in it, equal windows once: the interval of the array narrows word by word until it is
+empty or holds the places of the window. Words that occur in no test item get the number 0; a position from which
+fewer words than the shortest window are known can hold no window, so the array leaves it out. Hit words are
+marked from the distinct windows. A longest verbatim match begins where the word before differs (the places of a
+window are sorted by that word, so the others are never listed) and is followed until the words differ; repeated
+words give one match per diagonal, not one per window and place.
 
 The test items are cut into blocks of about ``BLOCK_CHARS`` characters by a hash; one block at a time
 is collected, indexed and broadcast, so neither the driver nor a task ever holds more. With more
@@ -34,6 +35,8 @@ WINDOW = 13
 SHARD_WORDS = 1 << 20
 BLOCK_CHARS = 8 << 20
 PIECE = 8 << 20                 # bytes of one text that are split at once
+SHARD_ROWS, SHARD_BYTES = 1 << 15, 64 << 20
+STARTS = 1 << 20                # matches followed at once
 
 #: A-Z become a-z; the other bytes that belong to no word become spaces.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 48 or 57 < b < 97 or 122 < b < 128 else b
@@ -75,6 +78,19 @@ class Items:
         self.place = self.starts - np.maximum.accumulate(np.where(first, self.starts, 0))
         self.least = int(self.length[self.length > 0].min()) if len(self.length) else 0
         self.longest = int(left.max()) if len(left) else 0
+        self.deepest = int(self.length.max(initial=0))
+        #: equal windows form a group: its first suffix, its suffixes, its items
+        self.group, self.first = np.full(len(self.length), -1), np.zeros(0, np.int64)
+        for n in np.unique(self.length[self.length > 0]).tolist():
+            own = np.flatnonzero(self.length == n)
+            rows = np.lib.stride_tricks.sliding_window_view(self.words, n)[self.starts[own]]
+            _, first, group = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+            self.group[own] = group.ravel() + len(self.first)
+            self.first = np.append(self.first, own[first])
+        suffix = np.flatnonzero(self.group >= 0)
+        pairs = np.unique(np.stack([self.group[suffix], self.item[suffix]], 1), axis=0)
+        self.item_of, bounds = pairs[:, 1], np.arange(len(self.first) + 1)
+        self.items_at = np.searchsorted(pairs[:, 0], bounds)
 
 
 def suffix_array(d: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -100,28 +116,20 @@ def suffix_array(d: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def search(d: np.ndarray, array: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every test suffix: the first and last places of its window in the array, and the length
-    of its longest verbatim match."""
-    n = len(items.starts)
-    lo, hi = np.zeros(n, np.int64), np.full(n, len(array), np.int64)
-    at_window = np.zeros((2, n), np.int64)
-    longest = np.zeros(n, np.int64)
-    active = np.arange(n)
-    for depth in range(items.longest):
-        active = active[items.starts[active] + depth < items.ends[active]]
+def search(d: np.ndarray, array: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """For every distinct window the interval of its places in the array."""
+    start, left = items.starts[items.first], items.length[items.first]
+    lo, hi = np.zeros(len(start), np.int64), np.full(len(start), len(array), np.int64)
+    active = np.arange(len(start))
+    for depth in range(items.deepest):
+        active = active[left[active] > depth]
         if not len(active):
             break
-        word = items.words[items.starts[active] + depth]
+        word = items.words[start[active] + depth]
         low = _bound(d, array, depth, lo[active], hi[active], word)
-        high = _bound(d, array, depth, low, hi[active], word + 1)
-        found = high > low
-        active, low, high = active[found], low[found], high[found]
-        lo[active], hi[active] = low, high
-        longest[active] = depth + 1
-        full = items.length[active] == depth + 1
-        at_window[:, active[full]] = low[full], high[full]
-    return at_window[0], at_window[1], longest
+        lo[active], hi[active] = low, _bound(d, array, depth, low, hi[active], word + 1)
+        active = active[hi[active] > lo[active]]
+    return lo, hi
 
 
 def _bound(d, array, depth, lo, hi, word):
@@ -135,8 +143,61 @@ def _bound(d, array, depth, lo, hi, word):
     return lo
 
 
-def scan_shard(texts: list[np.ndarray], items: Items) -> list[dict]:
-    """For each text (numbers of its words) the hit spans, the items and the verbatim matches."""
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``first[k], first[k] + 1, ...`` (``count[k]`` of them) of every k, end to end."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _chunks(count: np.ndarray, most: int):
+    """Slices of ``count`` whose sums are about ``most``."""
+    cut = np.searchsorted(np.cumsum(count), np.arange(most, count.sum() + most, most)) + 1
+    edges = np.unique(np.clip(np.concatenate([[0], cut, [len(count)]]), 0, len(count)))
+    return [slice(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+
+def _items_of(owner: np.ndarray, group: np.ndarray, items: Items) -> np.ndarray:
+    """Distinct pairs of a text and an item with a window in it."""
+    pairs = np.unique(np.stack([owner, group], 1), axis=0)
+    count = np.diff(items.items_at)[pairs[:, 1]]
+    out = np.zeros((0, 2), np.int64)
+    for part in _chunks(count, STARTS):
+        own = np.stack([np.repeat(pairs[part, 0], count[part]),
+                        items.item_of[_ranges(items.items_at[pairs[part, 1]], count[part])]], 1)
+        out = np.unique(np.concatenate([out, own]), axis=0)
+    return out
+
+
+def _matches(d: np.ndarray, place: np.ndarray, group: np.ndarray, items: Items):
+    """Longest verbatim matches in portions: (suffix, place, words)."""
+    before = np.where(place > 0, d[place - 1], 0).astype(np.int64)
+    base = int(d.max(initial=0)) + 2
+    key = group * base + before
+    order = np.argsort(key, kind="stable")
+    place, key = place[order], key[order]
+    bounds = np.searchsorted(key, np.arange(len(items.first) + 1) * base)
+    suffix = np.flatnonzero((items.group >= 0) & (bounds[1:] > bounds[:-1])[items.group])
+    own = items.group[suffix]
+    inner = items.place[suffix] > 0                  # a word of the item stands before: equal ones begin no match
+    same = own * base + np.where(inner, items.words[items.starts[suffix] - 1], 0)
+    skip = np.searchsorted(key, same), np.searchsorted(key, same, "right")
+    skip = [np.where(inner, x, bounds[own]) for x in skip]
+    count = np.stack([skip[0] - bounds[own], bounds[own + 1] - skip[1]])
+    for part in _chunks(count.sum(0), STARTS):
+        at = np.concatenate([_ranges(bounds[own[part]], count[0, part]), _ranges(skip[1][part], count[1, part])])
+        i = np.concatenate([np.repeat(suffix[part], count[k, part]) for k in (0, 1)])
+        p, n = place[at], items.length[i]
+        active = np.arange(len(i))
+        while len(active):
+            j, q = i[active], n[active]
+            more = (items.starts[j] + q < items.ends[j]) & (d[p[active] + q] == items.words[np.minimum(items.starts[j] + q, len(items.words) - 1)])
+            active = active[more]
+            n[active] += 1
+        yield i, p, n
+
+
+def scan_shard(texts: list[np.ndarray], items: Items, details: bool = True) -> list[dict]:
+    """For each text (numbers of its words) the hit spans; with ``details`` also the items, the verbatim matches
+    and the longest of them."""
     n_words = np.array([len(t) for t in texts], np.int64)
     out = [{"n_words": int(n), "n_hit": 0, "spans": [], "items": [], "matches": [], "longest": 0} for n in n_words]
     if not items.longest or not n_words.sum():
@@ -147,45 +208,42 @@ def scan_shard(texts: list[np.ndarray], items: Items) -> list[dict]:
     zero = np.flatnonzero(d == 0)
     known = zero[np.searchsorted(zero, np.arange(len(d)))] - np.arange(len(d))
     starts = np.flatnonzero(known >= items.least)
-    if not len(starts):
-        return out
-    places, which = [], []
+    places, groups = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(0, len(starts), SHARD_WORDS):
-        array = suffix_array(d, starts[k:k + SHARD_WORDS], items.longest)
-        lo, hi, _ = search(d, array, items)
+        array = suffix_array(d, starts[k:k + SHARD_WORDS], items.deepest)
+        lo, hi = search(d, array, items)
         found = np.flatnonzero(hi > lo)
-        count = hi[found] - lo[found]
-        which.append(np.repeat(found, count))
-        first = np.cumsum(count) - count
-        places.append(array[np.repeat(lo[found] - first, count) + np.arange(count.sum())])
-    place, suffix = np.concatenate(places), np.concatenate(which)
+        groups.append(np.repeat(found, hi[found] - lo[found]))
+        places.append(array[_ranges(lo[found], hi[found] - lo[found])])
+    place, group = np.concatenate(places), np.concatenate(groups)
     if not len(place):
         return out
-    length = items.length[suffix]
     edge = np.zeros(len(d) + 1, np.int64)
     np.add.at(edge, place, 1)
-    np.add.at(edge, place + length, -1)
+    np.add.at(edge, place + items.length[items.first[group]], -1)
     hit = np.cumsum(edge[:-1]) > 0
     change = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
     for s, e in change.reshape(-1, 2).tolist():
         k = int(np.searchsorted(begin, s, "right")) - 1
         out[k]["n_hit"] += e - s
         out[k]["spans"].append((s - int(begin[k]), e - int(begin[k])))
-    # windows that follow each other on a diagonal of (text place, item place) are one match
-    item, diagonal = items.item[suffix], place - items.place[suffix]
-    order = np.lexsort((place, diagonal, item))
-    place, item, diagonal, length, suffix = (x[order] for x in (place, item, diagonal, length, suffix))
-    new = np.append(True, (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1))
-    head = np.flatnonzero(new)
-    last = np.append(head[1:], len(place)) - 1
-    owner = np.searchsorted(begin, place[head], "right") - 1
-    for k, i, j, s, n in zip(owner.tolist(), item[head].tolist(), items.place[suffix[head]].tolist(),
-                             (place[head] - begin[owner]).tolist(),
-                             (place[last] + length[last] - place[head]).tolist()):
-        out[k]["matches"].append((items.ids[i], j, s, n))
-        out[k]["longest"] = max(out[k]["longest"], n)
+    if not details:
+        return out
+    for k, i in _items_of(np.searchsorted(begin, place, "right") - 1, group, items).tolist():
+        if items.ids[i] is not None:
+            out[k]["items"].append(items.ids[i])
     for o in out:
-        o["items"] = sorted({m[0] for m in o["matches"] if m[0] is not None})
+        o["items"] = sorted(set(o["items"]))
+    longest = np.zeros(len(out), np.int64)
+    for i, p, n in _matches(d, place, group, items):
+        owner = np.searchsorted(begin, p, "right") - 1
+        np.maximum.at(longest, owner, n)
+        if details == "matches":
+            for k, *match in zip(owner.tolist(), items.item[i].tolist(), items.place[i].tolist(), (p - begin[owner]).tolist(), n.tolist()):
+                out[k]["matches"].append((items.ids[match[0]], *match[1:]))
+    for o, n in zip(out, longest.tolist()):
+        o["longest"] = n
+        o["matches"].sort(key=lambda m: (m[0] is not None, m[0] if m[0] is not None else 0, m[2] - m[1], m[2]))
     return out
 
 
@@ -199,16 +257,16 @@ def _blocks(bench: DataFrame, item_col: str, text_col: str, block_chars: int):
         yield n, [tuple(r) for r in own.collect()]
 
 
-def _runner(shared, schema: T.StructType, text_at: int, build):
+def _runner(shared, schema: T.StructType, text_at: int, build, details):
     """A function for ``mapInArrow``: rows are buffered up to a shard, then ``build(rows, results)``
     makes the output batch of each buffered batch."""
 
     def run(batches):
         items = shared.value
-        get, held, texts, size = items.number.get, [], [], 0
+        get, held, texts, size, weight = items.number.get, [], [], 0, 0.0
 
         def flush():
-            got = scan_shard(texts, items)
+            got = scan_shard(texts, items, details)
             at = 0
             for b in held:
                 yield build(b, got[at:at + b.num_rows])
@@ -220,11 +278,12 @@ def _runner(shared, schema: T.StructType, text_at: int, build):
                 parts = [np.fromiter(map(get, w, _zeros()), np.int32, len(w)) for w in words_of(raw)]
                 texts.append(np.concatenate(parts))
                 size += len(texts[-1])
-                if size >= SHARD_WORDS:
+                weight += batch.nbytes / batch.num_rows
+                if size >= SHARD_WORDS or len(texts) >= SHARD_ROWS or weight >= SHARD_BYTES:
                     held.append(batch.slice(at, row + 1 - at))
                     at = row + 1
                     yield from flush()
-                    held, texts, size = [], [], 0
+                    held, texts, size, weight = [], [], 0, 0.0
             if at < batch.num_rows:
                 held.append(batch.slice(at))
         yield from flush()
@@ -246,10 +305,10 @@ def _result_fields(item_type: T.DataType) -> list[tuple[str, T.DataType]]:
 
 def contamination(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  block_chars: int = BLOCK_CHARS, with_matches: bool = True) -> DataFrame:
     """One row per document: ``id_col, n_words, n_hit, items`` (ids of items with a window in it),
-    ``longest_match`` (words), ``matches`` (item, place in it, place in the document, words) and
-    ``contaminated``: some words are hit and they are a twentieth of all or more."""
+    ``longest_match`` (words), ``matches`` (item, place in it, place in the document, words; empty without
+    ``with_matches``) and ``contaminated``: some words are hit and they are a twentieth of all or more."""
     sc = docs.sparkSession.sparkContext
     fields = _result_fields(bench.schema[item_col].dataType)
     schema = T.StructType([*schema_of(docs, id_col).fields, T.StructField("text_key", T.StringType()),
@@ -265,7 +324,7 @@ def contamination(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
     for n_blocks, rows in _blocks(bench, item_col, item_text_col, block_chars):
         shared = sc.broadcast(Items(rows, window))
         source = own if n_blocks > 1 else own.withColumn("text_key", F.lit(None).cast("string"))
-        parts.append(source.mapInArrow(_runner(shared, schema, 2, build), schema))
+        parts.append(source.mapInArrow(_runner(shared, schema, 2, build, "matches" if with_matches else True), schema))
     if n_blocks == 1:
         out = parts[0]
     else:
@@ -326,18 +385,18 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
             keep = [not (g["n_hit"] > 0 and 20 * g["n_hit"] >= g["n_words"]) for g in got]
             return batch.filter(pa.array(keep, pa.bool_()))
 
-        return docs.mapInArrow(_runner(shared, docs.schema, docs.columns.index(text_col), build), docs.schema)
+        return docs.mapInArrow(_runner(shared, docs.schema, docs.columns.index(text_col), build, False), docs.schema)
     key = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     texts = docs.select(key.alias("key_"), F.col(text_col).alias("text_"))
     verdict = contamination(texts, bench, id_col="key_", text_col="text_", item_col=item_col,
-                            item_text_col=item_text_col, window=window, block_chars=block_chars)
+                            item_text_col=item_text_col, window=window, block_chars=block_chars, with_matches=False)
     bad = verdict.where("contaminated").select("key_").distinct()
     return docs.join(bad, key == bad["key_"], "left_anti")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = contamination(read(spark, sf_dir, "documents", "doc_id", "text"),
-                        read(spark, sf_dir, "benchmark", "item_id", "text"))
+                        read(spark, sf_dir, "benchmark", "item_id", "text"), with_matches=False)
     names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(names, 256).alias("items_sha256"), "contaminated", "longest_match")

@@ -1,3 +1,5 @@
+import time
+import tracemalloc
 import hashlib
 import re
 
@@ -86,14 +88,41 @@ def test_suffix_array_and_search_in_pieces(monkeypatch):
     order = D.suffix_array(d, np.arange(300), 20)
     rows = [tuple(d[s:s + 20]) for s in order]
     assert rows == sorted(rows) and sorted(order.tolist()) == list(range(300))
-    lo, hi, longest = D.search(d, order, items)
+    lo, hi = D.search(d, order, items)
     text, test = d[:300].tolist(), items.words.tolist()
     for k, s in enumerate(items.starts.tolist()):
-        own = test[s:items.ends[k]]
-        best = max((n for n in range(len(own) + 1) if any(text[i:i + n] == own[:n] for i in range(301 - n))))
-        assert longest[k] == best
-        n = int(items.length[k])
-        assert hi[k] - lo[k] == (sum(text[i:i + n] == own[:n] for i in range(301 - n)) if n else 0)
+        n, g = int(items.length[k]), items.group[k]
+        assert (g >= 0) == (n > 0)
+        if n:
+            own = test[s:s + n]
+            first = int(items.starts[items.first[g]])
+            assert test[first:first + n] == own
+            assert hi[g] - lo[g] == sum(text[i:i + n] == own for i in range(301 - n))
+
+
+def test_matches_are_all_maximal_runs():
+    """Every run of equal words on a diagonal that holds a window, from its first to its last word."""
+    rng = np.random.default_rng(3)
+    letters = lambda n: [int(x) for x in rng.integers(1, 3, n)]
+    own = [letters(30), [1] * 12, letters(4), [2, 2], []]
+    items = D.Items([(k, " ".join("xab"[c] for c in t)) for k, t in enumerate(own)], 5)
+    texts = [letters(200), [1] * 30, [0, 2, 2, 0, 2, 2, 2], [], letters(3)]
+    code = {0: 0, 1: items.number[b"a"], 2: items.number[b"b"]}
+    got = D.scan_shard([np.array([code[c] for c in t], np.int32) for t in texts], items, "matches")
+    for t, g in zip(texts, got):
+        want = []
+        for k, o in enumerate(own):
+            for shift in range(-len(o), len(t)):
+                run = 0
+                for j in range(len(o) + 1):
+                    if j < len(o) and 0 <= j + shift < len(t) and t[j + shift] == o[j]:
+                        run += 1
+                        continue
+                    if run and run >= min(5, len(o)):
+                        want.append((k, j - run, j - run + shift, run))
+                    run = 0
+        assert sorted(g["matches"]) == sorted(want)
+        assert g["longest"] == max((m[3] for m in want), default=0) and g["items"] == sorted({m[0] for m in want})
 
 
 def test_query_digest(spark, sf_dir):
@@ -116,3 +145,28 @@ def test_query_digest(spark, sf_dir):
         r = got[d.doc_id]
         assert (r.n_words, r.n_hit, r.n_items) == (len(w), len(hit), len(names))
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, names))).encode()).hexdigest()
+
+
+def test_repeated_words_cost_diagonals_not_pairs():
+    """Equal words: one match a diagonal; a shard of them stays small and quick."""
+    items = D.Items([(1, "a " * 40), (2, "a " * 5 + "b")], 13)
+    (got,) = D.scan_shard([np.ones(300, np.int32)], items, "matches")
+    assert (got["n_hit"], got["longest"], got["items"]) == (300, 40, [1])
+    assert sorted(m[1:] for m in got["matches"]) == sorted(
+        [(0, s, min(40, 300 - s)) for s in range(288)] + [(i, 0, 40 - i) for i in range(1, 28)])
+    items = D.Items([(7, "a " * 400)], 13)
+    tracemalloc.start()
+    before = time.process_time()
+    (got,) = D.scan_shard([np.ones(1 << 18, np.int32)], items, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got["n_hit"], got["longest"]) == (1 << 18, 400)
+    assert peak < 300e6 and time.process_time() - before < 30
+
+
+def test_many_empty_rows_are_passed_on(spark, monkeypatch):
+    monkeypatch.setattr(D, "SHARD_ROWS", 10)
+    docs = spark.createDataFrame([(i, None if i % 2 else "") for i in range(95)], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == list(range(95))
+    assert D.contamination(docs, bench).where("n_words = 0 AND n_hit = 0").count() == 95
