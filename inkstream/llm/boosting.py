@@ -57,10 +57,11 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.2,
-        least: float = 1.0, ridge: float = 1.0) -> Trees:
-    """Boosted trees for labels ``y`` (0/1). One class only (or no rows): a constant."""
+        least: float = 1.0, ridge: float = 1.0, weight: np.ndarray | None = None) -> Trees:
+    """Boosted trees for labels ``y`` (0/1); ``weight`` counts equal rows. One class only (or no rows): a constant."""
     x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
-    share = (y.sum() + 0.5) / (len(y) + 1)
+    n = np.ones(len(y)) if weight is None else np.asarray(weight, np.float64)
+    share = ((n * y).sum() + 0.5) / (n.sum() + 1)
     base = float(np.log(share / (1 - share)))
     none = np.zeros((0, 2 ** depth - 1))
     if not len(y) or y.min() == y.max():
@@ -72,7 +73,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: flo
     feature, split, leaf = [], [], []
     for _ in range(trees):
         p = 1 / (1 + np.exp(-odds))
-        g, h = p - y, p * (1 - p)
+        g, h = n * (p - y), n * p * (1 - p)
         node, f, s = np.zeros(len(y), np.int64), np.zeros(2 ** depth - 1, np.int64), np.full(2 ** depth - 1, np.inf)
         for level in range(depth):
             first, width = 2 ** level - 1, 2 ** level

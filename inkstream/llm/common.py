@@ -54,8 +54,9 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def hashed_sample(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """At most ``most`` rows, those with the smallest hash of ``keys`` (ties by the keys). Rows far over
-    the expected bound are filtered out first, so that tasks send on little more than the sample."""
+    """At most ``most`` rows of a table without repeated ``keys``: those with the smallest hash of the keys (ties by
+    the keys). Group repeated rows first and carry their number along. Rows far over the expected bound are
+    filtered out first, so that tasks send on little more than the sample."""
     n, span = rows.count(), 1 << 40
     h = F.pmod(F.xxhash64(*keys), F.lit(span))
     if n > most:

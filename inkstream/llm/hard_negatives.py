@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkstream.llm.common import cell_runs, dealt_cells, materialize, read
-from inkstream.llm.intvec import SCALE, integer_vectors, matrix, scores
+from inkstream.llm.intvec import SCALE, checked, integer_vectors, matrix, scores
 
 CELL = 16384             # members of a cell that a task holds
 QUERIES = 100_000        # anchors that a task answers in a cell
@@ -354,8 +354,9 @@ def mine(table: DataFrame, is_anchor: Column, *, id_col: str = "vec_id", vec_col
             near.select("q", F.col("rank").alias("w"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")),
             ["q", "w"]).join(anchors.select(F.col("row").alias("q"), F.col("id").alias("anchor_id")), "q")
         parts.append(materialize(pairs.select(
-            "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score",
-            F.col("score").alias("negative_score")), "negatives-found"))
+            "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"),
+            checked(F.col("positive_score")).alias("positive_score"),
+            checked(F.col("score")).alias("negative_score")), "negatives-found"))
     if not parts:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, "
                                          "positive_score long, negative_score long")

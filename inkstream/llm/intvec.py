@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCALE = 256
 MOST = float(1 << 62)
+EXTREME = (1 << 63) - 1
 
 
 def integer_vectors(table: DataFrame, id_col: str, vec_col: str, *more: str, scale: int = SCALE) -> DataFrame:
@@ -35,13 +36,16 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of two integer matrices: as float64 or int64 where no sum can leave
-    their whole numbers, else with Python integers. A score over 64 bits is an error."""
+    their whole numbers, else with Python integers. A score over 64 bits comes out as the extreme (see ``checked``)."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2.0 ** 53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     if most < 2.0 ** 63:
         return a @ b.T
     wide = a.astype(object) @ b.T.astype(object)
-    if wide.size and max(abs(wide.max()), abs(wide.min())) >= 1 << 63:
-        raise OverflowError("inner product over 64 bits")
-    return wide.astype(np.int64)
+    return np.clip(wide, -EXTREME, EXTREME).astype(np.int64)
+
+
+def checked(score: Column) -> Column:
+    """``score``, or an error if it is over 64 bits."""
+    return F.when(F.abs(score) < EXTREME, score).otherwise(F.raise_error(F.lit("inner product over 64 bits")).cast("long"))

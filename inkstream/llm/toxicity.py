@@ -127,7 +127,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, n_features: int, penalty: flo
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna().distinct()
     known = hashed_sample(known, ["id", "y"], sample)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
     rows = rows.select("y", "text")

@@ -55,7 +55,7 @@ def path_of(url: Column) -> Column:
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """``struct(rule, verdict)`` of the longest rule that fits, else null."""
     order = sorted(rules, key=lambda r: (-len(r[1]) - len(r[2]), r[0] != "block", r))
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<rule:string,verdict:string>")
     for verdict, h, p in reversed(order):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         out = F.when(fits, F.struct(F.lit(h + p).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
@@ -107,7 +107,8 @@ class Model:
 
 
 def train(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocked", sample: int = SAMPLE) -> Model:
-    """Trees from urls and labels (true: blocked)."""
+    """Trees from urls and labels (true: blocked). The sample is of distinct urls; one that repeats n times weighs
+    1 + log(n), so that it counts more than others but doesn't outweigh them all."""
     rows = labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("int").alias("y")).dropna()
 
     def count(batches):
@@ -123,15 +124,18 @@ def train(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocke
     rates = np.full(BUCKETS, 0.5)
     for e, a, b in rows.mapInArrow(count, "e int, a long, b long").groupBy("e").agg(F.sum("a"), F.sum("b")).collect():
         rates[e] = (b + 1) / (a + b + 2)
-    some = hashed_sample(rows, ["url", "y"], sample).toPandas()
+    distinct = rows.groupBy("url", "y").agg(F.count("*").alias("n"))
+    some = hashed_sample(distinct, ["url", "y"], sample).toPandas()
     if not len(some):
         return Model(boosting.fit(np.zeros((0, 1)), np.zeros(0)), rates)
     x = np.array([lexical(u, rates) for u in some.url]).reshape(len(some), -1)
-    y = some.y.to_numpy()
+    y, n = some.y.to_numpy(), 1 + np.log(some.n.to_numpy(np.float64))
     held = np.array([zlib.crc32(u.encode()) % 5 == 0 for u in some.url], bool)
-    trees = boosting.fit(x[~held], y[~held])
+    if len(set(y[~held].tolist())) < len(set(y.tolist())):
+        held[:] = False                              # too few distinct urls to keep some apart
+    trees = boosting.fit(x[~held], y[~held], weight=n[~held])
     if held.any() and 0 < y[held].sum() < held.sum():
-        trees.calibrate(x[held], y[held])
+        trees.calibrate(x[held], y[held], weight=n[held])
     return Model(trees, rates)
 
 

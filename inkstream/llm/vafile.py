@@ -1,7 +1,7 @@
 """Exact top-k by inner product with a vector-approximation file.
 
 Vectors are made integer (floor of ``SCALE`` times each component). Equal vectors are one class, kept
-with their ``k + 1`` smallest ids (a rank window, reduced before the shuffle): more copies can't be
+with the ``k + 1`` rows of the smallest ids (a rank window, reduced before the shuffle): more copies can't be
 among the best of any query. Each dimension is cut into ``2 ** BITS`` even cells between its extremes
 over all classes; the approximation file holds one byte per dimension.
 
@@ -13,16 +13,18 @@ query set is stated by the caller):
    of interest.
 2. Scan it again and keep the classes whose upper bound reaches the floor.
 3. Read the exact vectors of those classes in order of their bounds (best first), until the k-th exact
-   score is over the next bound, and rank them.
+   score is over the next bound, and rank them. The candidates of a query are dealt to stripes, which are read
+   apart, so that no query is the work of one task.
 
-Bounds are products of float64 matrices, exact for integers of this size and widened by a rounding
-margin otherwise; scores are integer.
+Each block's result is written and its broadcasts are dropped before the next. Bounds are products of float64
+matrices, exact for integers of moderate size and widened by a rounding margin otherwise; scores are exact
+integers of any size (over 64 bits in a result: an error).
 
 Cases: vectors that are null or hold null or non-finite components take no part; vectors of
-different lengths never meet (each length is searched on its own; length 0 scores 0); components are
-held to +-2**26; null ids take no part; rows that repeat an id count once, with the smallest vector; a query never meets
-rows of its own id; equal scores go to the smaller id; queries with fewer than k candidates get all;
-an empty table gives no rows; other columns are ignored.
+different lengths never meet (each length is searched on its own; length 0 scores 0); null ids take no part; rows
+that repeat an id, with the same vector or another, are rows of their own, and a query meets all rows but itself;
+equal scores go to the smaller id; queries with fewer than k candidates get all; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,28 +36,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkstream.llm.common import materialize, read
+from inkstream.llm.intvec import SCALE, checked, integer_vectors, matrix, scores
 
-SCALE = 256
 BITS = 6
 BLOCK = 2048             # query vectors searched together
 CHUNK = 1024             # vectors scored at once
 K = 5
-LIMIT = 1 << 26
-
-
-def integer_vectors(table: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """``id, v``: distinct rows with a usable vector."""
-    x = F.col(vec_col)
-    good = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    v = F.transform(x, lambda c: F.floor(F.lit(float(scale)) * F.greatest(F.least(
-        c.cast("double"), F.lit(LIMIT / scale)), F.lit(-LIMIT / scale))).cast("long"))
-    return (table.where(good & F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("id"), v.alias("v")))
-
-
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), dim)
 
 
 class Cells:
@@ -63,7 +49,7 @@ class Cells:
 
     def __init__(self, low: np.ndarray, high: np.ndarray, bits: int):
         self.low, self.count = low.astype(np.int64), 2 ** bits
-        self.width = np.maximum((high - low) // self.count + 1, 1).astype(np.int64)
+        self.width = np.array([(int(b) - int(a)) // self.count + 1 for a, b in zip(low, high)], np.int64)
 
     def pack(self, v: np.ndarray) -> np.ndarray:
         return ((v - self.low) // self.width).astype(np.uint8)
@@ -74,7 +60,8 @@ class Cells:
         hi = lo + (self.width - 1)
         plus, minus = np.maximum(q, 0).astype(np.float64).T, np.minimum(q, 0).astype(np.float64).T
         least, most = lo @ plus + hi @ minus, hi @ plus + lo @ minus
-        if LIMIT <= max(np.abs(lo).max(initial=0), np.abs(hi).max(initial=0), np.abs(q).max(initial=0)) * 32:
+        size = max(np.abs(lo).max(initial=0), np.abs(hi).max(initial=0)) * float(np.abs(q).max(initial=0))
+        if size * len(self.low) >= 2.0 ** 52:
             slack = (np.maximum(np.abs(lo), np.abs(hi)) @ np.abs(q.astype(np.float64)).T) * 1e-12 + 1
             least, most = least - slack, most + slack
         return least, most
@@ -83,7 +70,7 @@ class Cells:
 def _approximations(classes: DataFrame, cells: Cells, dim: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            packed = cells.pack(_matrix(batch.column(1), dim))
+            packed = cells.pack(matrix(batch.column(1), dim))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in packed], pa.binary())],
                                              ["class", "cells"])
 
@@ -100,7 +87,7 @@ def _scan(batches, cells: Cells, queries: np.ndarray, dim: int):
 
 
 def _search_block(va: DataFrame, classes: DataFrame, shared, n_queries: int, dim: int, k: int) -> DataFrame:
-    """``q, class, score``: for each query vector at least the classes of its ``k`` best ids."""
+    """``q, class, score``, written: for each query vector at least the classes of its ``k`` best ids."""
     def floors(batches):
         cells, queries = shared.value
         best = np.full((n_queries, k), -np.inf)
@@ -126,33 +113,37 @@ def _search_block(va: DataFrame, classes: DataFrame, shared, n_queries: int, dim
                                              ["class", "q", "most"])
 
     candidates = va.mapInArrow(survivors, "class long, q int, most double")
-    near = candidates.join(classes.select("class", "v"), "class").select("q", "class", "most", "v")
+    stripes = int(va.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stripe = F.pmod(F.xxhash64("class"), F.lit(stripes)).cast("int").alias("stripe")
+    near = candidates.join(classes.select("class", "v"), "class").select("q", stripe, "class", "most", "v")
 
     def exact(batches):
         """Rows come by query, best bound first; a query is done when its k-th score is over the
         next bound. Equal scores go on, so that ties are all seen."""
         _, queries = shared.value
-        now, best, done = -1, [], False
+        last, now, best, done = None, -1, [], False
         for batch in batches:
-            q, c, most = (batch.column(x).to_numpy(zero_copy_only=False) for x in (0, 1, 2))
-            v = _matrix(batch.column(3), dim)
+            q, stripe, c, most = (batch.column(x).to_numpy(zero_copy_only=False) for x in (0, 1, 2, 3))
+            v = matrix(batch.column(4), dim)
             out = []
-            starts = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else []
+            starts = np.flatnonzero(np.append(True, (q[1:] != q[:-1]) | (stripe[1:] != stripe[:-1]))) if len(q) else []
             for s, e in zip(starts, [*starts[1:], len(q)]):
-                if q[s] != now:
-                    now, best, done = int(q[s]), [], False
+                if (q[s], stripe[s]) != last:
+                    last, now, best, done = (q[s], stripe[s]), int(q[s]), [], False
                 for at in range(s, e, 64):
                     if done or len(best) == k and best[0] > most[at]:
                         done = True
                         break
-                    score = v[at:min(at + 64, e)] @ queries[now]
+                    score = scores(v[at:min(at + 64, e)], queries[now:now + 1])[:, 0]
                     out += zip([now] * len(score), c[at:at + len(score)].tolist(), score.tolist())
                     best = sorted([*best, *score.tolist()])[-k:]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[
                 pa.array([o[x] for o in out], pa.int64()) for x in (1, 2)]], ["q", "class", "score"])
 
-    ordered = near.repartition("q").sortWithinPartitions("q", F.desc("most"), "class")
-    return ordered.mapInArrow(exact, "q int, class long, score long")
+    ordered = near.repartition("q", "stripe").sortWithinPartitions("q", "stripe", F.desc("most"), "class")
+    found = materialize(ordered.mapInArrow(exact, "q int, class long, score long"), "va-found")
+    limit.destroy()
+    return found
 
 
 def top_k(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
@@ -160,12 +151,12 @@ def top_k(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col
     """``query_id, rank, vec_id, score`` for every row for which ``is_query`` holds (an expression
     over the id, named ``id``)."""
     spark = table.sparkSession
-    rows = materialize(integer_vectors(table, id_col, vec_col, scale).groupBy("id").agg(F.min("v").alias("v")), "va-vectors")
-    same = W.partitionBy("v").orderBy("id")
+    rows = materialize(integer_vectors(table, id_col, vec_col, scale=scale), "va-vectors")
+    same = W.partitionBy("v").orderBy("id", "row")
     members = materialize(rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
-                          .select("id", "v", F.first("id").over(same).alias("class")), "va-members")
-    classes = members.where("id = class")          # a class is named by its smallest id
-    asked = rows.where(is_query).join(classes.select("v", "class"), "v").select("id", "class", F.size("v").alias("dim"))
+                          .select("row", "id", "v", F.first("row").over(same).alias("class")), "va-members")
+    classes = members.where("row = class")         # a class is named by its first row
+    asked = rows.where(is_query).join(classes.select("v", "class"), "v").select("row", "id", "class", F.size("v").alias("dim"))
     asked = materialize(asked, "va-asked")
     parts = []
     for (dim,) in sorted(tuple(r) for r in asked.select("dim").distinct().collect()):
@@ -187,21 +178,22 @@ def top_k(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col
             shared = spark.sparkContext.broadcast((cells, queries))
             found = _search_block(va, own, shared, len(got), dim, k + 1)
             names = spark.createDataFrame([(i, int(c)) for i, c in enumerate(got["class"])], "q int, asked long")
+            shared.destroy()
             parts.append(found.join(F.broadcast(names), "q").select("asked", "class", "score"))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    # the k + 1 best ids of each distinct query vector, then each query without its own id
-    ids = every.join(members.select("class", F.col("id").alias("vec_id")), "class")
-    best = W.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+    # the k + 1 best rows of each distinct query vector, then each query without itself
+    ids = every.join(members.select("class", F.col("row").alias("hit"), F.col("id").alias("vec_id")), "class")
+    best = W.partitionBy("asked").orderBy(F.desc("score"), "vec_id", "hit")
     ids = materialize(ids.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-                      .select("asked", "vec_id", "score"), "va-best")
-    mine = asked.select(F.col("id").alias("query_id"), F.col("class").alias("asked")).join(ids, "asked")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (mine.where(F.col("vec_id") != F.col("query_id")).withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+                      .select("asked", "hit", "vec_id", "score"), "va-best")
+    mine = asked.select("row", F.col("id").alias("query_id"), F.col("class").alias("asked")).join(ids, "asked")
+    order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id", "hit")
+    return (mine.where(F.col("hit") != F.col("row")).withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", checked(F.col("score")).alias("score")))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,11 +201,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = """
-WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+WITH whole AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.r <> q.r AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """

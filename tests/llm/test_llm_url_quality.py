@@ -112,3 +112,12 @@ def test_odd_rows(spark, labels):
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert [r.held_out for r in got if r.doc_id is None] == [False]
     assert Q.score(docs.limit(0), spark.createDataFrame(labels, "doc_id long, quality int")).count() == 0
+
+
+def test_a_hot_url_outweighs_nothing_away(spark):
+    """One blocked url in 60,000 rows and three allowed ones: the sample holds all four, with their numbers."""
+    rows = [("http://spam.example.net/xx/1", True)] * 60000 + [(f"https://good{k}.example.com/fr/page", False) for k in range(3)]
+    df = spark.createDataFrame(rows, "url string, blocked boolean")
+    pages = spark.createDataFrame([(1, rows[0][0]), (2, rows[-1][0])], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.judge(pages, U.train(df), rules=()).collect()}
+    assert got == {1: "block", 2: "allow"}
