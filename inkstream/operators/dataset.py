@@ -10,10 +10,8 @@ G4  split            seeded hash of the sample key -> 'train' (share ~80%) / 'va
                      under any repartitioning or retry, unlike a random draw.
 G5  tokenize/pad     instruct template -> whitespace tokens -> hashed ids (own contract: no model
                      vocabulary), cut or padded to a fixed length, labels = copy of ids.
-G1  budget packing   ``pack_next_fit``: the reference's next-fit grouping by token budget, exact,
-                     computed with running sums, a merge-count and pointer doubling (no group in one
-                     task). ``pack_by_budget``: the cheaper fixed-boundary variant, group =
-                     floor(tokens before / budget) (each group holds at most budget + one document).
+G1  budget packing   ``pack_by_budget``: fixed boundaries, group = floor(tokens before / budget) (each group
+                     holds at most budget + one document). Exact next-fit and the combine loop: ``packing``.
 """
 
 from __future__ import annotations
@@ -24,7 +22,8 @@ from pyspark.sql import functions as F
 from inkstream.functions import prompts as P
 from inkstream.functions.text import PROMPT_MAX_CHARS, json_array_extract
 from inkstream.operators.chunking import tokens_of
-from inkstream.operators.indexing import index_within, join_null_safe
+from inkstream.operators.indexing import index_within
+from inkstream.operators.packing import PACK_BUDGET, pack_next_fit  # noqa: F401
 
 SPLIT_SEED = 42
 TRAIN_PERCENT = 80
@@ -33,7 +32,6 @@ VOCAB = 32000
 PAD_ID = 0
 BOS_ID = 1
 ID_OFFSET = 3
-PACK_BUDGET = 8000
 
 
 def prompt_batches(contents: DataFrame, group_col: str, order_col: str, text_col: str, batch_size: int,
@@ -107,52 +105,3 @@ def pack_by_budget(docs: DataFrame, group_col: str, order_col: str, tokens_col:
     """G1: adds ``pack_no`` = floor(tokens before this document in its group / budget)."""
     idx = index_within(docs, [group_col], [order_col], value_col=tokens_col)
     return idx.withColumn("pack_no", F.floor(F.col("cum_before") / budget).cast("bigint")).drop("cum_before")
-
-
-def pack_next_fit(docs: DataFrame, group_col: str, order_col: str, tokens_col: str,
-                  budget: int = PACK_BUDGET) -> DataFrame:
-    """G1 exact: the reference's next-fit packing (a group takes documents in order while its token
-    sum stays within ``budget``; the document that would exceed it starts the next group; a single
-    oversized document forms a group alone). Adds ``pack_no``.
-
-    Distributed, with no group held by one task: P = tokens before a document, Q = P + its tokens
-    (running sums by ``index_within``). A group starting at s ends before
-    next(s) = max(s + 1, #{k : Q_k <= P_s + budget}), a merge-count over the sorted Q and P + budget
-    values (``index_within`` again). The group starts are the chain 0 -> next(0) -> ..., found by
-    pointer doubling: ceil(log2 n) rounds of equi-joins, each round written to the shared folder.
-    """
-    import math
-
-    from inkstream.session import materialize
-
-    g = group_col
-    base = index_within(docs.select(g, order_col, tokens_col), [g], [order_col], value_col=tokens_col)
-    base = materialize(base.select(g, order_col, tokens_col, "idx", F.col("cum_before").alias("p")), "pack-base")
-    data = base.select(g, (F.col("p") + F.col(tokens_col)).alias("v"), F.lit(0).alias("kind"),
-                       F.col("idx").alias("id"), F.lit(1.0).alias("is_data"))
-    probe = base.select(g, (F.col("p") + F.lit(float(budget))).alias("v"), F.lit(1).alias("kind"),
-                        F.col("idx").alias("id"), F.lit(0.0).alias("is_data"))
-    counted = index_within(data.unionByName(probe), [g], ["v", "kind", "id"], value_col="is_data")
-    nxt = counted.where(F.col("kind") == 1).select(
-        g, F.col("id").alias("i"), F.greatest(F.col("id") + 1, F.col("cum_before").cast("bigint")).alias("j"))
-    jump = materialize(nxt, "pack-next")
-    n_max = base.groupBy(g).count().agg(F.max("count")).first()[0] or 0
-    rounds = max(1, math.ceil(math.log2(n_max + 1)))
-    starts = base.where(F.col("idx") == 0).select(g, F.col("idx").alias("i"))
-    for r in range(rounds):
-        reached = join_null_safe(starts, jump, [g, "i"]).select(g, F.col("j").alias("i"))
-        # written each round: the next round reads it twice, so a lazy plan would re-run every
-        # earlier round (measured: 21 s -> 35 s at sf0.1)
-        starts = materialize(starts.unionByName(reached).distinct(), "pack-starts")
-        if r < rounds - 1:  # jump^(2^(r+1)) = jump^(2^r) applied twice; past the end stays past the end
-            a, b = jump.alias("a"), jump.alias("b")
-            jump = materialize(
-                a.join(b, F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) & (F.col("a.j") == F.col("b.i")), "left")
-                .select(F.col(f"a.{g}").alias(g), F.col("a.i").alias("i"),
-                        F.coalesce(F.col("b.j"), F.col("a.j")).alias("j")), "pack-jump")
-    marked = join_null_safe(base, starts.select(g, F.col("i").alias("idx"), F.lit(1.0).alias("is_start")), [g, "idx"],
-                            "left") \
-        .select(g, order_col, tokens_col, F.coalesce("is_start", F.lit(0.0)).alias("is_start"))
-    numbered = index_within(marked, [g], [order_col], value_col="is_start")
-    return numbered.withColumn("pack_no", (F.col("cum_before") + F.col("is_start") - 1).cast("bigint")) \
-        .drop("cum_before", "is_start", "idx")

@@ -47,37 +47,39 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
-def _local_runs(group_cols: list[str], value_col: str | None):
-    """Per Spark partition (rows sorted by group): position and running sum inside each run of equal
-    group keys, carried across Arrow batches of the same partition. Vectorised with pandas."""
+def _local_runs(group_cols: list[str]):
+    """Per Spark partition (rows sorted by group): position and running sum of ``_val`` inside each run of
+    equal group keys, carried across Arrow batches of the same partition. A null key equals only null."""
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, carry_pos, carry_sum = None, 0, 0.0
+        last_key, carry_pos, carry_sum = None, 0, 0
         for pdf in batches:
-            n = len(pdf)
+            n, vals = len(pdf), pdf["_val"].to_numpy()
             if n == 0:
-                yield pdf.assign(_lpos=np.zeros(0, dtype=np.int64), _lcum=np.zeros(0))
+                yield pdf.drop(columns="_val").assign(_lpos=np.zeros(0, dtype=np.int64), _lcum=vals)
                 continue
-            k = pdf[group_cols].astype(str)
-            run = (k != k.shift()).any(axis=1).cumsum().to_numpy()
-            vals = pdf[value_col].fillna(0).to_numpy(dtype=np.float64) if value_col else np.zeros(n)
+            change = np.zeros(n, bool)
+            change[0] = True
+            for c in group_cols:
+                null, col = pdf[c].isna().to_numpy(), pdf[c]
+                differs = (col != col.shift()).to_numpy() & ~(null & np.append(False, null[:-1]))
+                change[1:] |= differs[1:]
+            run = change.cumsum()
             lpos = pd.Series(np.ones(n, dtype=np.int64)).groupby(run).cumsum().to_numpy() - 1
             lcum = pd.Series(vals).groupby(run).cumsum().to_numpy() - vals
-            first_key = tuple(k.iloc[0])
-            if last_key is not None and first_key == last_key:
+            keys = [[None if pd.isna(v) else v for v in pdf[group_cols].iloc[i]] for i in (0, -1)]
+            if last_key == keys[0]:
                 m = run == run[0]
                 lpos[m] += carry_pos
                 lcum[m] += carry_sum
-            last_key = tuple(k.iloc[-1])
-            carry_pos = int(lpos[-1]) + 1
-            carry_sum = float(lcum[-1] + vals[-1])
-            yield pdf.assign(_lpos=lpos, _lcum=lcum)
+            last_key, carry_pos, carry_sum = keys[1], int(lpos[-1]) + 1, lcum[-1] + vals[-1]
+            yield pdf.drop(columns="_val").assign(_lpos=lpos, _lcum=lcum)
     return fn
 
 
 def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Adds ``idx`` (0-based position inside the group by ``order_cols``) and, with ``value_col``,
-    ``cum_before`` (sum of ``value_col`` over the earlier rows of the group).
+    ``cum_before`` (sum of ``value_col`` over the earlier rows of the group, nulls as 0; a bigint for whole numbers).
 
     ``order_cols`` must make the order total (end with a unique key)."""
     spark = df.sparkSession
@@ -90,9 +92,10 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     narrow = materialize(df.select(*cols), "index-keys")
     s = narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     if value_col:
-        out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()),
-                                                     T.StructField("_lcum", T.DoubleType())])
-        local = materialize(s.mapInPandas(_local_runs(group_cols, value_col), out_schema), "index-runs")
+        kind = T.LongType() if isinstance(narrow.schema[value_col].dataType, T.IntegralType) else T.DoubleType()
+        out_schema = T.StructType(s.schema.fields + [T.StructField("_lpos", T.LongType()), T.StructField("_lcum", kind)])
+        s = s.withColumn("_val", F.coalesce(F.col(value_col).cast(kind), F.lit(0).cast(kind)))
+        local = materialize(s.mapInPandas(_local_runs(group_cols), out_schema), "index-runs")
     else:
         row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         local = materialize(s.withColumn("_row", row_in_part), "index-runs")
@@ -100,10 +103,10 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
         local = join_null_safe(local, first, ["_pid", *group_cols]).select(
             *cols, "_pid", (F.col("_row") - F.col("_first")).alias("_lpos"), F.lit(0.0).alias("_lcum"))
     tot = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
-                                                 F.sum(value_col if value_col else F.lit(0.0)).alias("_v"))
+                                                 F.coalesce(F.sum(value_col if value_col else F.lit(0)), F.lit(0)).alias("_v"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_pid", *group_cols, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
-                     F.coalesce(F.sum("_v").over(w), F.lit(0.0)).alias("_off_v"))
+                     F.coalesce(F.sum("_v").over(w), F.lit(0)).alias("_off_v"))
     j = join_null_safe(local, off, ["_pid", *group_cols])
     j = j.withColumn("idx", (F.col("_off_n") + F.col("_lpos")).cast("bigint"))
     if value_col:

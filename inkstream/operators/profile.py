@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from inkstream.operators.embedding import words
 from inkstream.operators.indexing import index_within, join_null_safe
+from inkstream.operators.packing import PACK_BUDGET, combine
 from inkstream.session import materialize
 
 SCORE_DECIMALS = 9
@@ -84,27 +85,51 @@ def daily_top_terms(docs: DataFrame, day_col: str, text_col: str, n: int) -> Dat
     return w.withColumn("rank", F.row_number().over(win).cast("bigint")).where(F.col("rank") <= n)
 
 
-def daily_key_sentences(docs: DataFrame, day_col: str, id_col: str, text_col: str, n: int) -> DataFrame:
-    """G11 (sentences): sentences scored by the mean TF-IDF weight of their words; top n per day."""
+def sentences(docs: DataFrame, day_col: str, id_col: str, text_col: str) -> DataFrame:
+    """``day_col, id_col, sent_no, sentence`` of the sentences that aren't blank."""
+    return docs.select(day_col, id_col, F.posexplode(F.split(text_col, "[.!?]")).alias("sent_no", "sentence")) \
+        .where(F.length(F.trim("sentence")) > 0)
+
+
+def sentence_scores(docs: DataFrame, day_col: str, id_col: str, text_col: str) -> DataFrame:
+    """``day_col, id_col, sent_no, n_words, score``: the mean TF-IDF weight of the words of each sentence with words."""
     # a term of every day weighs nothing: it is left out of the join, where it would be the hot key
     weights = term_weights(docs, day_col, text_col).where(F.col("weight") > 0).select(day_col, "term", "weight")
-    sents = docs.select(day_col, id_col, F.posexplode(F.split(text_col, "[.!?]")).alias("sent_no", "sentence")) \
-        .where(F.length(F.trim("sentence")) > 0)
     key = [day_col, id_col, "sent_no", "n_words"]
-    counted = sents.withColumn("w", words("sentence")).withColumn("n_words", F.size("w")).where(F.col("n_words") > 0)
+    counted = (sentences(docs, day_col, id_col, text_col).withColumn("w", words("sentence"))
+               .withColumn("n_words", F.size("w")).where(F.col("n_words") > 0))
     toks = counted.select(*key, F.explode("w").alias("term"))
     weighed = join_null_safe(toks, weights, [day_col, "term"], "inner").select(*key, "weight")
-    scored = weighed.unionByName(counted.select(*key, F.lit(0.0).alias("weight"))).groupBy(*key).agg(
-        F.sum("weight").alias("total")).withColumn("score", F.col("total") / F.col("n_words"))
-    scored = scored.select(day_col, id_col, "sent_no", "score")
-    scored = scored.withColumn("score", F.round("score", SCORE_DECIMALS))
+    scored = weighed.unionByName(counted.select(*key, F.lit(0.0).alias("weight"))).groupBy(*key).agg(F.sum("weight").alias("total"))
+    return scored.select(*key, F.round(F.col("total") / F.col("n_words"), SCORE_DECIMALS).alias("score"))
+
+
+def daily_key_sentences(docs: DataFrame, day_col: str, id_col: str, text_col: str, n: int) -> DataFrame:
+    """G11 (sentences): sentences scored by the mean TF-IDF weight of their words; top n per day."""
+    scored = sentence_scores(docs, day_col, id_col, text_col).drop("n_words")
     win = Window.partitionBy(day_col).orderBy(F.col("score").desc(), F.col(id_col).asc(), F.col("sent_no").asc())
     top = scored.withColumn("rank", F.row_number().over(win).cast("bigint")).where(F.col("rank") <= n)
-    return join_null_safe(top, sents, [day_col, id_col, "sent_no"]).select(
+    return join_null_safe(top, sentences(docs, day_col, id_col, text_col), [day_col, id_col, "sent_no"]).select(
         day_col, "rank", id_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.trim("sentence").alias("sentence"),
         "score")
 
 
+def combined_summary(docs: DataFrame, day_col: str, id_col: str, text_col: str, tokens_col: str, keep: int,
+                     budget: int = PACK_BUDGET) -> tuple[DataFrame, list[DataFrame]]:
+    """A day's documents are packed by budget, each pack is reduced to its key sentences, the results are
+    packed again, until one pack is left. Returns ``day_col, rank, id_col, sent_no, sentence, score`` and the rounds."""
+    scored = materialize(sentence_scores(docs, day_col, id_col, text_col), "summary-sentences")
+    parts = scored.select(day_col, F.col(id_col).alias("unit"), F.struct(F.col(id_col).alias("id"), "sent_no").alias("part"),
+                          F.col("n_words").cast("bigint").alias("n_tokens"), "score")
+    units = docs.select(day_col, F.col(id_col).alias("unit"), F.col(tokens_col).alias("n_tokens"))
+    kept, rounds = combine(units, parts, day_col, keep, budget)
+    kept = kept.select(day_col, "rank", F.col("part.id").alias(id_col), F.col("part.sent_no").alias("sent_no"), "score")
+    text = sentences(docs, day_col, id_col, text_col)
+    return join_null_safe(kept, text, [day_col, id_col, "sent_no"]).select(
+        day_col, "rank", id_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.trim("sentence").alias("sentence"),
+        "score"), rounds
+
+
 def dedup_by_key(df: DataFrame, key: str, keep: str) -> DataFrame:
     """One row per key (the least ``keep`` value) with the number of copies."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_copies"), F.min(keep).alias(keep))

@@ -136,7 +136,7 @@ _NEXT_FIT_SQL = f"""
 SELECT strftime(published_at, '%Y-%m-%d') AS published_at, pack_no, count(*) AS n_docs,
        CAST(sum(n_tokens) AS BIGINT) AS n_tokens, min(doc_id) AS first_doc, max(doc_id) AS last_doc
 FROM pk GROUP BY published_at, pack_no"""
-_NEXT_FIT_CTES = {
+NEXT_FIT_CTES = {
     "d": f"SELECT published_at, doc_id, CAST(len({tokens_sql('content')}) AS BIGINT) AS n_tokens, "
          f"row_number() OVER (PARTITION BY published_at ORDER BY doc_id) AS rn FROM articles",
     "pk": f"""SELECT published_at, rn, doc_id, n_tokens, CAST(0 AS BIGINT) AS pack_no, n_tokens AS load FROM d WHERE rn = 1
@@ -148,7 +148,7 @@ _NEXT_FIT_CTES = {
 }
 
 
-@register("pack_next_fit", "G1", fx.with_views(_NEXT_FIT_SQL, "articles", extra=_NEXT_FIT_CTES, recursive=True))
+@register("pack_next_fit", "G1", fx.with_views(_NEXT_FIT_SQL, "articles", extra=NEXT_FIT_CTES, recursive=True))
 def pack_next_fit(spark, sf_dir):
     a = fx.articles(spark, sf_dir).select(F.date_format("published_at", "yyyy-MM-dd").alias("published_at"), "doc_id",
                                           F.size(tokens_of("content")).cast("bigint").alias("n_tokens"))

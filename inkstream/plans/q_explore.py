@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from inkstream.functions import text as T
 from inkstream.operators import profile as PR
+from inkstream.operators.chunking import tokens_of
 from inkstream.operators.embedding import words_sql
+from inkstream.operators.indexing import join_null_safe
 from inkstream.plans.q_chunks import article_chunks, chunks_sql_ctes
+from inkstream.plans.q_dataset import NEXT_FIT_CTES
 from inkstream.plans.q_ingest import _NONPROMO, sources_union
 from inkstream.plans.registry import register
 from inkstream.sources import fixtures as fx
@@ -79,7 +82,7 @@ def daily_top_terms(spark, sf_dir):
         .select("day", "rank", "term", "tf", "weight")
 
 
-@register("daily_key_sentences", "G11", fx.with_views(f"""
+_KEY_SENTENCES = f"""
 SELECT day, rank, doc_id, sent_no, trim(sentence) AS sentence, score FROM (
   SELECT s.day, s.doc_id, s.sent_no, s.sentence, sc.score,
          row_number() OVER (PARTITION BY s.day ORDER BY sc.score DESC, s.doc_id, s.sent_no) AS rank
@@ -94,11 +97,27 @@ SELECT day, rank, doc_id, sent_no, trim(sentence) AS sentence, score FROM (
           WHERE length(trim(sentence)) > 0) t
         LEFT JOIN weights w USING (day, term)
         GROUP BY day, doc_id, sent_no) sc USING (day, doc_id, sent_no))
-WHERE rank <= {TOP_SENTENCES}""", "articles", extra=_WEIGHTS))
+WHERE rank <= {TOP_SENTENCES}"""
+
+
+@register("daily_key_sentences", "G11", fx.with_views(_KEY_SENTENCES, "articles", extra=_WEIGHTS))
 def daily_key_sentences(spark, sf_dir):
     return PR.daily_key_sentences(_day_docs(spark, sf_dir), "day", "doc_id", "content", TOP_SENTENCES)
 
 
+#: Keeping the best of each pack and the best of those is keeping the best of the day; the first round's packs are
+#: those of the sequential rule.
+@register("summarise_days", "G1 G11", fx.with_views(f"""
+SELECT k.*, n.n_packs FROM ({_KEY_SENTENCES}) k JOIN (
+  SELECT strftime(published_at, '%Y-%m-%d') AS day, count(DISTINCT pack_no) AS n_packs FROM pk GROUP BY published_at) n USING (day)""",
+    "articles", extra={**_WEIGHTS, **NEXT_FIT_CTES}, recursive=True))
+def summarise_days(spark, sf_dir):
+    docs = _day_docs(spark, sf_dir).withColumn("n_tokens", F.size(tokens_of("content")).cast("bigint"))
+    summary, rounds = PR.combined_summary(docs, "day", "doc_id", "content", "n_tokens", TOP_SENTENCES)
+    n = rounds[0].groupBy("day").agg(F.countDistinct("pack_no").alias("n_packs"))
+    return join_null_safe(summary, n, ["day"])
+
+
 @register("union_sources", "U1", fx.with_views(f"""
 SELECT 'articles' AS origin, doc_id, source, title FROM articles
 UNION ALL
