@@ -6,8 +6,9 @@ G2  prompt batches   contents numbered inside their source (distributed index, n
 G3  align results    batch results (JSON arrays from the model) re-attached to the batch's contents
                      by position (equi-join on (batch, pos)); a batch whose result size differs is
                      dropped whole, as in the reference.
-G4  split            seeded hash of the sample key -> 'train' (share ~80%) / 'validation'; stable
-                     under any repartitioning or retry, unlike a random draw.
+G4  split            exactly 80% of the keys, those with the smallest seeded hash, for 'train', the others for
+                     'validation'; the k-th smallest hash by refined histograms. Stable under any
+                     repartitioning or retry, unlike a random draw.
 G5  tokenize/pad     instruct template -> whitespace tokens -> hashed ids (own contract: no model
                      vocabulary), cut or padded to a fixed length, labels = copy of ids.
 G1  budget packing   ``pack_by_budget``: fixed boundaries, group = floor(tokens before / budget) (each group
@@ -24,9 +25,12 @@ from inkstream.functions.text import PROMPT_MAX_CHARS, json_array_extract
 from inkstream.operators.chunking import tokens_of
 from inkstream.operators.indexing import index_within
 from inkstream.operators.packing import PACK_BUDGET, pack_next_fit  # noqa: F401
+from inkstream.session import materialize
 
 SPLIT_SEED = 42
 TRAIN_PERCENT = 80
+HASH_BITS = 52
+HASH_BINS = 4096
 MAX_TOKENS = 2300
 VOCAB = 32000
 PAD_ID = 0
@@ -62,18 +66,49 @@ def align_batch_results(batches: DataFrame, results: DataFrame, batch_key: str,
     return items.join(batches.select(batch_key, "pos", F.col(text_col).alias("content")), [batch_key, "pos"])
 
 
-def hash_bucket(key: Column, seed: int = SPLIT_SEED, buckets: int = 100) -> Column:
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 8), 16, 10).cast("bigint")
-    return h % buckets
+def key_hash(key: Column, seed: int = SPLIT_SEED) -> Column:
+    """52 bits of the seeded md5 of a key."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
-def hash_bucket_sql(key: str, seed: int = SPLIT_SEED, buckets: int = 100) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {buckets})"
+def key_hash_sql(key: str, seed: int = SPLIT_SEED) -> str:
+    return f"('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, {HASH_BITS // 4}))::BIGINT"
+
+
+def smallest(hashes: DataFrame, k: int, hash_col: str, key_col: str, bins: int = HASH_BINS) -> Column:
+    """Whether (``hash_col``, ``key_col``) is among the ``k`` smallest pairs of a written table of distinct pairs. The k-th
+    is found by histograms: ``bins`` counts of the range of hashes, then of the bin that holds it, and so on; the
+    driver sees ``bins`` numbers a round, and rounds grow with the logarithm of the table. Keys of one hash, should it
+    be theirs where the cut falls, are ordered by key."""
+    low, width, before, h = 0, 1 << HASH_BITS, 0, F.col(hash_col)
+    while True:
+        step = max(1, width // bins)
+        own = hashes.where(h.between(low, low + width - 1)).groupBy(F.floor((h - low) / step).cast("bigint").alias("b")).count()
+        for b, n in sorted(tuple(r) for r in own.collect()):
+            if before + n >= k:
+                low, width = low + b * step, step
+                break
+            before += n
+        else:
+            return F.lit(k > 0)                      # there are no more than k
+        if before + n == k:
+            return h < low + width
+        if step == 1:
+            last = [r[0] for r in hashes.where(h == low).select(key_col).orderBy(key_col).limit(k - before).collect()]
+            return (h < low) | (h == low) & (F.col(key_col) <= last[-1]) if last else h < low
 
 
 def train_val_split(df: DataFrame, key: str) -> DataFrame:
-    """Adds ``split`` in {'train', 'validation'}."""
-    return df.withColumn("split", F.when(hash_bucket(F.col(key)) < TRAIN_PERCENT, "train").otherwise("validation"))
+    """Adds ``split`` in {'train', 'validation'}: exactly the rounded share ``TRAIN_PERCENT`` of the distinct keys, those
+    with the smallest hashes, is for training. The same under any repartitioning or retry; rows of one key stay
+    together; a null key is one key."""
+    h, name = f"_{key}_hash", f"_{key}_text"
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    keys = materialize(df.select(key_hash(text).alias(h), text.alias(name)).distinct(), "split-keys")
+    n = keys.count()
+    train = smallest(keys, (n * TRAIN_PERCENT + 50) // 100, h, name)
+    return (df.withColumn(h, key_hash(text)).withColumn(name, text)
+            .withColumn("split", F.when(train, "train").otherwise("validation")).drop(h, name))
 
 
 def token_ids(text: Column) -> Column:

@@ -88,7 +88,8 @@ def align_batches_of_three(spark, sf_dir):
 
 
 @register("train_val_split", "G4", fx.with_views(
-    f"SELECT doc_id, CASE WHEN {G.hash_bucket_sql('doc_id')} < {G.TRAIN_PERCENT} THEN 'train' ELSE 'validation' END "
+    f"SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {G.key_hash_sql('doc_id')}, CAST(doc_id AS VARCHAR)) <= "
+    f"(SELECT (count(*) * {G.TRAIN_PERCENT} + 50) // 100 FROM aligned) THEN 'train' ELSE 'validation' END "
     f"AS split FROM aligned", "articles", "llm_text", extra={"cleaned": CLEANED_SQL, "aligned": _ALIGNED_SQL}))
 def train_val_split(spark, sf_dir):
     return G.train_val_split(aligned(spark, sf_dir), "doc_id").select("doc_id", "split")

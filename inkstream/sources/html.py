@@ -7,31 +7,36 @@ pages are processed in parallel and whole, with no per-row Python.
 Contract shared by S8/S9: S8 reads every ``<article>`` element of a page, S9 the first; a block (``<p>``, ``<h1>``,
 ``<h2>``) starts at its opening tag and ends at its closing tag, at the next block start, or at the
 end of the article (so unclosed ``<p>`` tags work); block text is the markup with tags removed
-and the common entities decoded.
+and character references decoded (``REFERENCE``, ``NAMES``). Tag and attribute names match in any case.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkstream.functions.dates import parse_date, parse_date_sql
 from inkstream.functions.text import _q, py_strip, py_strip_sql
 
-ARTICLE = r"(?s)<article(?:\s[^>]*)?>(.*?)</article>"
-H1 = r"(?s)<h1(?:\s[^>]*)?>(.*?)</h1>"
-SUMMARY_DIV = r"(?s)</h1>\s*<div(?:\s[^>]*)?>(.*?)</div>"
-TIME_ATTR = r"<time[^>]*\sdatetime=\"([^\"]*)\""
-P_OPEN = r"<p(?:\s[^>]*)?>"
-P_CLOSE = r"</p>"
-BLOCK_OPEN = r"<(?:h1|h2|p)(?:\s[^>]*)?>"
-BLOCK_CLOSE = r"</(?:h1|h2|p)>"
+ARTICLE = r"(?si)<article(?:\s[^>]*)?>(.*?)</article>"
+H1 = r"(?si)<h1(?:\s[^>]*)?>(.*?)</h1>"
+SUMMARY_DIV = r"(?si)</h1>\s*<div(?:\s[^>]*)?>(.*?)</div>"
+TIME_ATTR = r"(?i)<time[^>]*\sdatetime=\"([^\"]*)\""
+P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
+P_CLOSE = r"(?i)</p>"
+BLOCK_OPEN = r"(?i)<(?:h1|h2|p)(?:\s[^>]*)?>"
+BLOCK_CLOSE = r"(?i)</(?:h1|h2|p)>"
 TAG = r"<[^>]+>"
 AD_MARKER = "Advertisement"
 URL_PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
-# Entities decoded (``&amp;`` last so "&amp;lt;" stays "&lt;").
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&"))
+# Character references that are decoded: by code point (decimal or hex) and by these names: the Latin-1 letters and
+# signs, mark-up characters, and common punctuation. &nbsp; is a plain space here.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+_MORE = "lt gt quot apos amp ndash mdash lsquo rsquo ldquo rdquo hellip bull euro trade".split()
+NAMES = {n[:-1]: c for n, c in sorted(html5.items()) if n.endswith(";") and len(c) == 1 and len(n) <= 9
+         and ("\xa1" <= c <= "\xff" or n[:-1] in _MORE)} | {"nbsp": " "}
 
 
 def _c(c) -> Column:
@@ -39,16 +44,36 @@ def _c(c) -> Column:
 
 
 def decode_entities(c) -> Column:
+    """Character references decoded in one pass, so that ``&amp;lt;`` becomes ``&lt;``. A text with an ampersand is cut
+    at its references, each is looked up, and the pieces are joined again. Names that aren't known and code points
+    that no text may hold stay as they are."""
     x = _c(c)
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    refs = F.transform(F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(0)), _reference)
+    decoded = F.concat(refs, F.array(F.lit("")))                     # nothing follows the last piece
+    pieces = F.zip_with(F.split(x, REFERENCE, -1), decoded, lambda t, r: F.concat(t, r))
+    return F.when(F.contains(x, F.lit("&")), F.array_join(pieces, "")).otherwise(x)
+
+
+def _reference(ref: Column) -> Column:
+    digits = F.regexp_extract(ref, "^&#([0-9]+);$", 1)
+    hexed = F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+);$", 1)
+    code = F.when(digits != "", digits.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+    fine = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    name = F.substring(ref, F.lit(2), F.char_length(ref) - 2)
+    names = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    return F.coalesce(F.when(fine, letter), F.try_element_at(names, name), ref)
 
 
 def decode_entities_sql(e: str) -> str:
-    for ent, ch in ENTITIES:
-        e = f"replace({e}, {_q(ent)}, {_q(ch)})"
-    return e
+    names = ", ".join(f"{_q(n)}: {_q(c)}" for n, c in NAMES.items())
+    code = ("coalesce(try_cast(nullif(regexp_extract(r, '^&#([0-9]+);$', 1), '') AS INT), "
+            "try_cast('0x' || nullif(regexp_extract(r, '^&#[xX]([0-9a-fA-F]+);$', 1), '') AS INT))")
+    fine = f"{code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343"
+    one = (f"lambda r: CASE WHEN {fine} THEN chr({code}) ELSE coalesce(MAP {{{names}}}[substr(r, 2, length(r) - 2)], r) END")
+    refs = f"list_transform(regexp_extract_all({e}, {_q(REFERENCE)}), {one})"
+    return (f"CASE WHEN contains({e}, '&') THEN array_to_string(list_transform(list_zip(regexp_split_to_array({e}, {_q(REFERENCE)}), "
+            f"list_append({refs}, '')), lambda z: z[1] || z[2]), '') ELSE {e} END")
 
 
 def block_text(c) -> Column:

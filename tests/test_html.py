@@ -47,3 +47,21 @@ def test_url_topic_title(spark):
     rows = df.select(*H.url_topic_title("u")).collect()
     assert (rows[0].topic, rows[0].title) == ("markets", "btc hits high")
     assert rows[1].topic is None
+
+
+def test_tags_match_in_any_case(spark):
+    page = "<HTML><ARTICLE Class=x><H1>Big</H1><DIV>Sum</DIV><TIME DateTime=\"2024-05-06\">x</TIME><P>one</P><p>two<P>three</ARTICLE>"
+    r = extract(spark, page)
+    assert (r.title, r.summary, r.published_at, r.content) == ("Big", "Sum", "2024-05-06", "one two three")
+    assert spark.createDataFrame([(page,)], "h string").select(H.block_text_join("h")).first()[0] == "Big one two three"
+
+
+def test_character_references(spark):
+    import duckdb
+
+    texts = ["&#233;&eacute;&Eacute; &#x4e2d;&#x1F600;", "&amp;lt; &amp;amp;", "&nbsp;a&nbsp;", "&unknown; &#0; &#xD800; &#9999999; &;", "& &lt", "",
+             "&lt;b&gt;&quot;&apos;&#39;&hellip;&euro;", "&szlig;&yuml;&times;&frac12;end"]
+    want = ["éé\xc9 中\U0001f600", "&lt; &amp;", " a ", "&unknown; &#0; &#xD800; &#9999999; &;", "& &lt", "", "<b>\"''…€", "ßÿ×½end"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", H.decode_entities("t").alias("t")).collect()
+    assert [r.t for r in sorted(rows, key=lambda r: r.i)] == want
+    assert [duckdb.execute(f"SELECT {H.decode_entities_sql('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in texts] == want
