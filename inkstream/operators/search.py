@@ -169,7 +169,11 @@ def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str
         qkeys = list(zip(*[rows.column(q).to_pylist() for q in query_keys]))
         bq = spark.sparkContext.broadcast((qkeys, qmat))
         scored = c.mapInArrow(_task_topk_fn(bq, key_fields, corpus_id, corpus_vec, corpus_cols, k, out_arrow), out_struct)
-        parts.append(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+        best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        if len(blocks) > 1:                          # the result is kept, the queries need not be
+            best = materialize(best, "search-block")
+            bq.destroy()
+        parts.append(best)
     if not parts:
         parts = [spark.createDataFrame([], out_struct).withColumn("rank", F.lit(0))]
     out = parts[0]
@@ -240,6 +244,7 @@ LSH_MOST_TABLES = 32
 LSH_RECALL = 0.9         # share of the exact top-k that must be found
 LSH_SAMPLE = 200         # queries on which it is measured
 LSH_BUCKET = 32          # corpus rows per bucket that the number of bits aims at
+LSH_PROBES = 1 << 12     # buckets of a query at most; beyond, the exact search is the cheaper one
 
 
 def lsh_bits(n: int, bucket: int = LSH_BUCKET) -> int:
@@ -285,11 +290,11 @@ def _buckets(df: DataFrame, id_cols: list[str], vec_col: str, planes: np.ndarray
 
 def lsh_plan(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str, query_keys: list[str],
              query_vec: str, dim: int, bits: int, seed: int = 42, recall: float = LSH_RECALL,
-             sample: int = LSH_SAMPLE) -> tuple[int, int]:
+             sample: int = LSH_SAMPLE) -> tuple[int, int] | None:
     """Tables and probe radius with the fewest candidates that find ``recall`` of the exact top-k of at
     most ``sample`` queries (smallest hash of the keys). With more queries than that, two standard errors
-    are added. Neighbours in the query's own direction are found anyway and don't count. A radius of all
-    bits finds every row, so there always is an answer."""
+    are added. Neighbours in the query's own direction are found anyway and don't count. None if no choice
+    of at most ``LSH_PROBES`` buckets a query is enough."""
     some = materialize(queries.select(*query_keys, query_vec).orderBy(F.xxhash64(*query_keys), *query_keys)
                        .limit(sample + 1), "lsh-sample")
     rows = [tuple(r) for r in some.collect()]
@@ -304,13 +309,14 @@ def lsh_plan(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, c
     apart = (side[0] != side[1]).reshape(len(exact), LSH_MOST_TABLES, bits).sum(axis=2)
     nearest = np.minimum.accumulate(apart, axis=1)         # over the first t tables
     choices = sorted((t * sum(math.comb(bits, b) for b in range(r + 1)), t, r)
-                     for t in range(LSH_TABLES, LSH_MOST_TABLES + 1, 4) for r in range(1, bits + 1))
+                     for t in range(LSH_TABLES, LSH_MOST_TABLES + 1, 4) for r in range(1, bits + 1)
+                     if t * sum(math.comb(bits, b) for b in range(r + 1)) <= LSH_PROBES)
     for _, t, r in choices:
         share = float((nearest[:, t - 1] <= r).mean())
         doubt = 2 * math.sqrt(recall * (1 - recall) / len(exact)) if len(rows) > sample else 0.0
         if share >= min(1.0, recall + doubt):
             return t, r
-    return LSH_TABLES, bits
+    return None
 
 
 def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, corpus_vec: str,
@@ -319,7 +325,7 @@ def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, c
     """V7: approximate top-k. Candidates are corpus rows that share a bucket of some table with the
     query or lie at most ``radius`` bits away (equi-join, no cap); every candidate is scored exactly. The
     number of bits follows from the corpus size; tables and radius, unless given, from the recall
-    measured on the corpus (``lsh_plan``). Vectors that are NULL, hold NULL, or have another length than
+    measured on the corpus (``lsh_plan``); where no plan reaches it the search is exact. Vectors that are NULL, hold NULL, or have another length than
     ``dim`` take no part."""
     def usable(df, vec):
         v = F.col(vec)
@@ -328,8 +334,12 @@ def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str, c
     corpus, queries = usable(corpus, corpus_vec), usable(queries, query_vec)
     bits = bits or lsh_bits(corpus.count())
     if tables is None and radius is None:
-        tables, radius = lsh_plan(corpus, queries, k, corpus_id=corpus_id, corpus_vec=corpus_vec, query_keys=query_keys,
-                                  query_vec=query_vec, dim=dim, bits=bits, seed=seed)
+        plan = lsh_plan(corpus, queries, k, corpus_id=corpus_id, corpus_vec=corpus_vec, query_keys=query_keys,
+                        query_vec=query_vec, dim=dim, bits=bits, seed=seed)
+        if plan is None:
+            return topk_search(corpus, queries, k, corpus_id=corpus_id, corpus_vec=corpus_vec, query_keys=query_keys,
+                               query_vec=query_vec)
+        tables, radius = plan
     tables, radius = tables or LSH_TABLES, 1 if radius is None else radius
     planes = hyperplanes(dim, tables, bits, seed)
     cb = _buckets(corpus, [corpus_id], corpus_vec, planes, tables, bits, 0)

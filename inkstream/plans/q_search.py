@@ -40,21 +40,33 @@ def _emb_hits(spark, sf_dir, k):
 
 @register("vector_topk", "V2 D12", fx.with_views(
     "SELECT query_id, variant_no, rank, vec_id, score FROM ranked "
-    "WHERE query_id = 0 AND variant_no = 0 AND rank <= 10", "queries_v", extra={**_SCORED, **_RANKED}))
+    "WHERE query_id < 0 AND rank <= 10", "queries_v", extra={**_SCORED, **_RANKED}))
 def vector_topk(spark, sf_dir):
+    """Every row with vec_id % 100 = 0 against all rows."""
     corpus = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    one = fx.queries_v(spark, sf_dir).where((F.col("query_id") == 0) & (F.col("variant_no") == 0))
-    return S.topk_search(corpus, one, 10, corpus_id="vec_id", corpus_vec="embedding",
+    rows = fx.queries_v(spark, sf_dir).where(F.col("query_id") < 0)
+    return S.topk_search(corpus, rows, 10, corpus_id="vec_id", corpus_vec="embedding",
                          query_keys=["query_id", "variant_no"], query_vec="q")
 
 
-@register("multi_query_topk", "V3 P17", fx.with_views(
+@register("multi_query_topk", "V3", fx.with_views(
     f"SELECT query_id, variant_no, rank, vec_id, score FROM ranked WHERE rank <= {TOP_K // 3}",
     "queries_v", extra={**_SCORED, **_RANKED}))
 def multi_query_topk(spark, sf_dir):
     return _emb_hits(spark, sf_dir, TOP_K // 3)
 
 
+@register("filtered_topk", "P17", fx.with_views(f"""
+SELECT query_id, variant_no, rank, vec_id, score FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY query_id, variant_no ORDER BY score DESC, s.vec_id) AS rank
+  FROM scored s JOIN embeddings e USING (vec_id) WHERE e.label % 2 = 1) WHERE rank <= {TOP_K // 3}""", "queries_v", extra=_SCORED))
+def filtered_topk(spark, sf_dir):
+    """A search among the rows that the caller's predicate keeps."""
+    corpus = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return S.topk_search(corpus, fx.queries_v(spark, sf_dir), TOP_K // 3, corpus_id="vec_id", corpus_vec="embedding",
+                         query_keys=["query_id", "variant_no"], query_vec="q", predicate=F.col("label") % 2 == 1)
+
+
 @register("merge_dedup_top5", "V4", fx.with_views(f"""
 SELECT query_id, vec_id, score, rank FROM (
   SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank

@@ -122,16 +122,21 @@ def date_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query vectors derived from the whole `embeddings` table: for each label (the query) three
-    variants, the centroids of its vectors split by vec_id % 3. A hash aggregate with a partial
-    step per (label, variant, dimension), so a label holding a third of the vectors is reduced map-side."""
+    """Query vectors from the whole `embeddings` table: every row with vec_id % 100 = 0 (query_id -1 - vec_id, one
+    variant), and for each label three variants, the centroids of its vectors split by vec_id % 3: a hash
+    aggregate with a partial step per (label, variant, dimension), so a label holding a third of the
+    vectors is reduced map-side."""
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     dims = e.select("label", (F.col("vec_id") % 3).cast("int").alias("variant_no"),
                     F.posexplode("embedding").alias("d", "x"))
     cent = dims.groupBy("label", "variant_no", "d").agg(F.avg(F.col("x").cast("double")).alias("v"))
     vecs = cent.groupBy("label", "variant_no").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("dv"))
-    return vecs.select(F.col("label").alias("query_id"), "variant_no",
-                       F.transform("dv", lambda t: t["v"]).alias("q"))
+    centroids = vecs.select(F.col("label").cast("bigint").alias("query_id"), "variant_no",
+                            F.transform("dv", lambda t: t["v"]).alias("q"))
+    rows = e.where(F.col("vec_id") % 100 == 0).select(
+        (-1 - F.col("vec_id")).cast("bigint").alias("query_id"), F.lit(0).alias("variant_no"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("q"))
+    return centroids.unionByName(rows)
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +215,9 @@ SELECT doc_id,
                               WHEN 3 THEN ' weeks' ELSE ' months' END) AS raw_delta
 FROM documents""",
     "queries_v": r"""
-SELECT label AS query_id, variant_no, list(v ORDER BY d) AS q FROM (
+SELECT CAST(-1 - vec_id AS BIGINT) AS query_id, 0 AS variant_no, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS q
+FROM embeddings WHERE vec_id % 100 = 0
+UNION ALL SELECT CAST(label AS BIGINT) AS query_id, variant_no, list(v ORDER BY d) AS q FROM (
   SELECT label, variant_no, d, avg(CAST(x AS DOUBLE)) AS v FROM (
     SELECT label, CAST(vec_id % 3 AS INTEGER) AS variant_no, UNNEST(range(len(embedding))) AS d,
            UNNEST(embedding) AS x FROM embeddings)
