@@ -1,11 +1,13 @@
 """Keyed state of streams: the newest version per key (K1, K2, R4) and first-seen rows within a watermark.
 
-Two forms of the first. ``newest_rows`` is a streaming aggregate: the state holds the newest row of each key, all
-of it runs in the JVM, and a micro-batch emits every key that it touches. ``newest_versions`` keeps one value per key, the version (``seq``, then a second column) that won so far, in Spark's
-state store (RocksDB), and lets a row pass only if it beats that version. So a micro-batch emits what changes the
-table and nothing else: a message that arrives again, in another file or after a restart, is no change. The state
-holds versions, not rows, and is as large as the number of keys, at the price of Python work per key. Rows of a task are reduced to the best per key
-before the shuffle, so a key that holds a third of a micro-batch is narrow when it reaches its task.
+Two forms of the first, both streaming aggregates that run in the JVM: the state (RocksDB) holds the newest row of each
+key, and a partial step per task reduces a key that holds a third of a micro-batch before the shuffle. ``newest_rows``
+emits every key that a micro-batch touches. ``newest_versions`` emits what changes the table and nothing else: each row
+carries the time of its micro-batch, of equal versions the earlier one stays, and a key's row leaves only if it came
+with this micro-batch. So a message that arrives again, in another file or after a restart, is no change.
+
+With ``hold_rows=False`` the state of ``newest_versions`` holds versions (``seq``, then a second column) instead of rows,
+by a ``StatefulProcessor``: smaller state, at the price of Python work for each cell of each row.
 """
 
 from __future__ import annotations
@@ -91,11 +93,18 @@ def newest_rows(rows: DataFrame, keys: list[str], seq: str, then: str) -> DataFr
     return best.select(*[c if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
-def newest_versions(rows: DataFrame, keys: list[str], seq: str, then: str) -> DataFrame:
+def newest_versions(rows: DataFrame, keys: list[str], seq: str, then: str, hold_rows: bool = True) -> DataFrame:
     """The rows of a stream that change a keyed table: per key and micro-batch the one with the greatest
     (``seq``, ``then``), if that is greater than all before. Start the query by ``start_keyed``, in update mode."""
-    reduced = rows.mapInArrow(_best_of_batch(keys, seq, then), rows.schema)
-    return reduced.groupBy(*keys).transformWithState(NewestVersion(seq, then), rows.schema, "Update", "None")
+    if not hold_rows:
+        reduced = rows.mapInArrow(_best_of_batch(keys, seq, then), rows.schema)
+        return reduced.groupBy(*keys).transformWithState(NewestVersion(seq, then), rows.schema, "Update", "None")
+    others = [c for c in rows.columns if c not in keys]
+    now = F.unix_millis(F.current_timestamp())       # in a stream the time of the micro-batch, also when it is replayed
+    best = rows.withColumn("_at", now).groupBy(*keys).agg(
+        F.max_by(F.struct(*others, "_at"), F.struct(seq, then, -F.col("_at"))).alias("_r"))
+    # should a clock ever give two micro-batches one time, or go back, an equal version may leave again, but none is lost
+    return best.where(F.col("_r._at") == now).select(*[c if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
 def first_within(rows: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:

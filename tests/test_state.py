@@ -59,3 +59,21 @@ def test_repeats_leave_once_and_late_rows_are_dropped(spark):
     # mark after the first part: 15 January. e and f are not after it; a's row of the second part is late too;
     # b was forgotten (1 + 5 days) and may come again; c is still known
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b", "b", "c", "d", "g"]
+
+
+def test_the_state_of_versions_needs_no_python_unless_asked(spark):
+    landing = fresh_path(spark, "t-native-in")
+    spark.createDataFrame([("a", 1, "x", "a1")], SCHEMA).write.parquet(landing)
+    plan = lambda **more: newest_versions(spark.readStream.schema(SCHEMA).parquet(landing), ["key"], "seq", "then", **more)._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan() and "MapInArrow" not in plan() and "TransformWithState" in plan(hold_rows=False)
+
+
+def test_both_forms_of_the_state_let_the_same_changes_pass(spark):
+    parts = [[("a", 1, "x", "a1"), ("b", None, None, "b-"), (None, 5, "x", "n5")], [("a", 1, "x", "again"), (None, 4, "z", "old")],
+             [("a", 1, "y", "a1y"), ("b", None, "k", "bk"), (None, 5, "x", "again")]]
+    for hold in (True, False):
+        landing, out, ckpt = (fresh_path(spark, n) for n in ("t-forms-in", "t-forms-out", "t-forms-ckpt"))
+        for part in parts:
+            spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(landing)
+            run(spark, landing, out, ckpt, newest_versions(spark.readStream.schema(SCHEMA).parquet(landing), ["key"], "seq", "then", hold))
+        assert {(r.b, r.value) for r in spark.read.parquet(out).collect()} == {(0, "a1"), (0, "b-"), (0, "n5"), (2, "a1y"), (2, "bk")}
