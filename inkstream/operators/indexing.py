@@ -4,7 +4,7 @@
 task, so a group holding a third of all rows becomes one straggler. Here instead:
 
 1. range-partition on (group, order) and sort within partitions: a hot group is spread over many
-   consecutive partitions, each holding a sorted run;
+   consecutive partitions, each holding a sorted run (as many partitions as shuffles have, fewer for a small table);
 2. per partition, each row's position inside its run comes from ``monotonically_increasing_id()``
    evaluated right after the sort (its low 33 bits count rows within the partition); running sums,
    when asked for, come from a vectorised pandas pass (Arrow batches, numpy cumsum);
@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 
 from inkstream.session import materialize
 
+INDEX_ROWS = 1 << 15            # rows for which a further partition is worth a task
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (``<=>``); one copy of each key column kept.
@@ -83,13 +85,13 @@ def index_within(df: DataFrame, group_cols: list[str], order_cols: list[str], va
 
     ``order_cols`` must make the order total (end with a unique key)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     payload = [c for c in df.columns if c not in keys]
     # Only the key columns travel through the sort, Python and the checkpoint; the payload is
     # joined back at the end on (group, order), which is unique.
     cols = [*keys, value_col] if value_col else keys
     narrow = materialize(df.select(*cols), "index-keys")
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), narrow.count() // INDEX_ROWS + 1)
     s = narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     if value_col:
         kind = T.LongType() if isinstance(narrow.schema[value_col].dataType, T.IntegralType) else T.DoubleType()

@@ -16,6 +16,7 @@ from inkstream.operators.packing import PACK_BUDGET, combine
 from inkstream.session import materialize
 
 SCORE_DECIMALS = 9
+COMMON_TERMS, COMMON_CHARS = 200_000, 64  # weightless terms that are broadcast: at most so many, so long
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -92,15 +93,24 @@ def sentences(docs: DataFrame, day_col: str, id_col: str, text_col: str) -> Data
 
 
 def sentence_scores(docs: DataFrame, day_col: str, id_col: str, text_col: str) -> DataFrame:
-    """``day_col, id_col, sent_no, n_words, score``: the mean TF-IDF weight of the words of each sentence with words."""
-    # a term of every day weighs nothing: it is left out of the join, where it would be the hot key
-    weights = term_weights(docs, day_col, text_col).where(F.col("weight") > 0).select(day_col, "term", "weight")
+    """``day_col, id_col, sent_no, n_words, score``: the mean TF-IDF weight of the words of each sentence with words.
+
+    A term of every day weighs nothing, and such terms are most of a text's words: the most frequent of them are
+    broadcast, so their occurrences end in the task that reads them; the others just find no partner in the join."""
+    weights = materialize(term_weights(docs, day_col, text_col), "term-weights")
+    nothing = weights.where((F.col("weight") <= 0) & (F.length("term") <= COMMON_CHARS)).groupBy("term").agg(F.sum("tf").alias("tf"))
+    nothing = nothing.orderBy(F.col("tf").desc(), "term").limit(COMMON_TERMS).select("term")
     key = [day_col, id_col, "sent_no", "n_words"]
-    counted = (sentences(docs, day_col, id_col, text_col).withColumn("w", words("sentence"))
-               .withColumn("n_words", F.size("w")).where(F.col("n_words") > 0))
-    toks = counted.select(*key, F.explode("w").alias("term"))
-    weighed = join_null_safe(toks, weights, [day_col, "term"], "inner").select(*key, "weight")
-    scored = weighed.unionByName(counted.select(*key, F.lit(0.0).alias("weight"))).groupBy(*key).agg(F.sum("weight").alias("total"))
+    # exploded out of an array of one, the words are a column and not split anew for each use; the null is the sentence
+    counted = sentences(docs, day_col, id_col, text_col).select(
+        day_col, id_col, "sent_no", F.explode(F.array(words("sentence"))).alias("w")) \
+        .withColumn("n_words", F.size("w")).where(F.col("n_words") > 0)
+    toks = counted.select(*key, F.explode(F.concat("w", F.array(F.lit(None).cast("string")))).alias("term"))
+    toks = materialize(toks.join(F.broadcast(nothing), "term", "left_anti").select(*key, "term"), "sentence-words")
+    weighed = join_null_safe(toks.where(F.col("term").isNotNull()), weights.where(F.col("weight") > 0).select(
+        day_col, "term", "weight"), [day_col, "term"], "inner").select(*key, "weight")
+    own = toks.where(F.col("term").isNull()).select(*key, F.lit(0.0).alias("weight"))
+    scored = weighed.unionByName(own).groupBy(*key).agg(F.sum("weight").alias("total"))
     return scored.select(*key, F.round(F.col("total") / F.col("n_words"), SCORE_DECIMALS).alias("score"))
 
 
@@ -124,7 +134,9 @@ def combined_summary(docs: DataFrame, day_col: str, id_col: str, text_col: str,
     units = docs.select(day_col, F.col(id_col).alias("unit"), F.col(tokens_col).alias("n_tokens"))
     kept, rounds = combine(units, parts, day_col, keep, budget)
     kept = kept.select(day_col, "rank", F.col("part.id").alias(id_col), F.col("part.sent_no").alias("sent_no"), "score")
-    text = sentences(docs, day_col, id_col, text_col)
+    r = kept.select(F.col(day_col).alias("_day"), F.col(id_col).alias("_id"))     # only their documents are split again
+    found = docs.join(r, docs[day_col].eqNullSafe(r["_day"]) & docs[id_col].eqNullSafe(r["_id"]), "left_semi")
+    text = sentences(found, day_col, id_col, text_col)
     return join_null_safe(kept, text, [day_col, id_col, "sent_no"]).select(
         day_col, "rank", id_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.trim("sentence").alias("sentence"),
         "score"), rounds
