@@ -1,8 +1,9 @@
 """Embedding (V1, V9).
 
 Default embedder: signed feature hashing of lower-cased word tokens into ``dim`` buckets,
-L2-normalised (deterministic, no model files). Words are split natively; one Arrow-batched pandas
-UDF then hashes each distinct token of a batch (md5) and adds the signs up with one bincount. Bucket = first 4 bytes of md5 (big-endian) mod dim, sign = +1
+L2-normalised (deterministic, no model files). Words are split natively; one Arrow
+UDF then takes a batch in pieces of bounded rows and tokens, hashes each distinct token of a piece (md5) and adds the
+signs up with one bincount; the vectors leave by pieces too, so memory does not follow the size of a batch. Bucket = first 4 bytes of md5 (big-endian) mod dim, sign = +1
 when the 5th byte is below 0x80: the same definition as the SQL twins below.
 
 A user model plugs in through ``model_embedder``: an iterator pandas UDF that loads the model once
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from inkstream.functions.text import _q
 
 EMBED_DIM = 384  # vector size of the reference's collection
+PIECE_ROWS, PIECE_TOKENS = 1024, 1 << 18  # embedded at once
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -47,12 +49,21 @@ def token_sign_sql(t: str) -> str:
     return f"(CASE WHEN substr(md5({t}), 9, 1) < '8' THEN 1 ELSE -1 END)"
 
 
+def _pieces(tokens: pa.Array) -> Iterator[pa.Array]:
+    """A batch in slices of at most ``PIECE_ROWS`` rows and ``PIECE_TOKENS`` tokens (or one row)."""
+    ends, at = np.cumsum(tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), 0
+    while at < len(tokens):
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_TOKENS, "right"))
+        to = min(at + PIECE_ROWS, max(at + 1, full), len(tokens))
+        yield tokens.slice(at, to - at)
+        at = to
+
+
 def _make_scatter(dim: int):
     import hashlib
 
-    @F.arrow_udf(T.ArrayType(T.DoubleType()))
-    def scatter(tokens: pa.Array) -> pa.Array:
-        """Each distinct token of the batch is hashed once; the rest is array work."""
+    def embed(tokens: pa.Array) -> pa.Array:
+        """Each distinct token of the piece is hashed once; the rest is array work."""
         n = len(tokens)
         sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         coded = tokens.flatten().dictionary_encode()
@@ -67,6 +78,12 @@ def _make_scatter(dim: int):
         norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
         mat = np.divide(mat, norm, out=mat, where=norm > 0)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(mat.ravel()))
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def scatter(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for tokens in batches:
+            for piece in _pieces(tokens):
+                yield embed(piece)
     return scatter
 
 

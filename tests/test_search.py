@@ -1,8 +1,11 @@
 """Exact and approximate vector search: ties, odd vectors, task output, recall."""
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from inkstream.operators import embedding as E
 from inkstream.operators import search as S
 
 KEYS = dict(corpus_id="id", corpus_vec="v", query_keys=["q"], query_vec="qv")
@@ -76,3 +79,34 @@ def test_lsh_recall_holds_as_far_vectors_grow(spark):
     corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
     queries = corpus.where("id % 400 = 0").select(F.col("id").alias("q"), F.col("v").alias("qv"))
     assert _recall(spark, corpus, queries, 64) >= 0.9
+
+
+def test_search_returns_small_batches_with_the_columns_of_the_hits():
+    rng, rows, dim, k = np.random.default_rng(3), 5000, 4, 3
+    corpus, queries = rng.integers(-9, 9, (rows, dim)).astype(float), rng.integers(1, 9, (1500, dim)).astype(float)
+    schema = pa.schema([("q", pa.int64()), ("id", pa.int64()), ("score", pa.float64()), ("text", pa.string())])
+    held = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array(list(corpus)), pa.array([f"t{i}" for i in range(rows)])], names=["id", "v", "text"])
+    fn = S._task_topk_fn(SimpleNamespace(value=([(i,) for i in range(1500)], queries)), [SimpleNamespace(name="q")], "id", "v", ("text",), k, schema)
+    got = list(fn([held.slice(0, 4500), held.slice(4500)]))
+    assert max(b.num_rows for b in got) <= S.SEARCH_ROWS < sum(b.num_rows for b in got) == 1500 * k
+    norms = np.sqrt((corpus * corpus).sum(axis=1))
+    ids = np.flatnonzero(norms > 0)
+    for r in pa.Table.from_batches(got).slice(0, 300).to_pylist():
+        assert r["text"] == f"t{r['id']}"
+    by_query = pa.Table.from_batches(got).to_pandas().groupby("q")
+    for q in (0, 7, 1499):
+        score = np.round(corpus[ids] @ queries[q] / (norms[ids] * np.sqrt((queries[q] ** 2).sum())), 9)
+        best = ids[np.lexsort((ids, -score))][:k]
+        assert sorted(by_query.get_group(q)["id"]) == sorted(best.tolist())
+
+
+def test_a_batch_is_embedded_in_pieces(spark):
+    tokens = pa.array([["a"] * n for n in (1, 0, E.PIECE_TOKENS + 5, 2)] + [None] + [["b", "c"]] * 3000)
+    pieces = list(E._pieces(tokens))
+    assert pa.concat_arrays(pieces).equals(tokens)
+    assert all(len(p) == 1 or len(p) <= E.PIECE_ROWS and len(p.flatten()) <= E.PIECE_TOKENS for p in pieces)
+    texts = spark.range(2500).coalesce(1).selectExpr("id", "concat('w', id, ' x y') AS t")
+    rows = texts.select("id", E.hash_embed("t", 8).alias("v")).collect()
+    some = [r for r in rows if r["id"] % 500 == 1]
+    again = spark.createDataFrame([(r["id"],) for r in some], "id long").selectExpr("id", "concat('w', id, ' x y') AS t").repartition(5)
+    assert len(rows) == 2500 and {r["id"]: r["v"] for r in some} == {r["id"]: r["v"] for r in again.select("id", E.hash_embed("t", 8).alias("v")).collect()}
