@@ -2,7 +2,7 @@
 
 Plan shape (exact search): the corpus is scanned once; the query side is broadcast as a matrix in
 blocks of bounded bytes, so every corpus row is scored against every query vector in place (the work of
-exact search is |corpus| x |queries| by definition) with one numpy matrix product per Arrow batch. Each
+exact search is |corpus| x |queries| by definition) with one numpy matrix product per bounded slice of rows. Each
 task carries its top-k per query along and emits it once, so at most queries x k rows per task reach the
 shuffle of the final ``row_number() <= k``, however many scores tie. Scores are rounded to 9 decimals
 before ranking so mathematically equal cosines tie exactly, and ties break on the corpus id.
@@ -30,6 +30,7 @@ from inkstream.operators.embedding import words
 from inkstream.session import materialize
 
 MAX_BROADCAST_BYTES = 64 << 20  # query vectors (as doubles) per broadcast block
+SEARCH_ROWS = 2048              # corpus rows scored, and rows returned, at once
 SCORE_DECIMALS = 9
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -70,17 +71,21 @@ def _best(table: pa.Table, corpus_id: str, k: int) -> pa.Table:
     return table.filter(pa.array(place < k))
 
 
+def _norms(m: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.sqrt((b * b).sum(axis=1)) for b in (m[i:i + SEARCH_ROWS] for i in range(0, max(len(m), 1), SEARCH_ROWS))])
+
+
 def _task_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols, k: int, out_schema):
-    """Cosine of every (query, row) pair of a task by one matrix product per chunk of rows. The task
-    carries its k best rows per query along and returns them once, at its end: at most
-    queries x k rows, however many scores are equal."""
-    held_cols = ["_q", "score", corpus_id, *corpus_cols]
+    """Cosine of every (query, row) pair of a task by one matrix product per ``SEARCH_ROWS`` rows. The task
+    carries its k best rows per query along (ids and scores are sorted, the other columns taken once for the rows that
+    stay) and returns them at its end, in small batches: at most queries x k rows, however many scores are equal."""
+    cols = list(corpus_cols)
 
     def fn(batches):
         qkeys, qmat = bq.value
-        qn = np.sqrt((qmat * qmat).sum(axis=1))
+        qn = _norms(qmat)
         held = None
-        for rb in batches:
+        for rb in (b.slice(at, SEARCH_ROWS) for b in batches for at in range(0, b.num_rows, SEARCH_ROWS)):
             vec = rb.column(corpus_vec)
             lens = vec.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
             parts = vec.flatten()
@@ -107,15 +112,24 @@ def _task_topk_fn(bq, key_fields, corpus_id: str, corpus_vec: str, corpus_cols,
                 qi, ri = np.nonzero(pick)
                 found.append((qi + q0, ri, sc[qi, ri]))
             qi, ri, score = (np.concatenate(x) for x in zip(*found))
-            take = pa.array(rows[ri])
-            new = pa.table([pa.array(qi), pa.array(score), *[rb.column(c).take(take) for c in held_cols[2:]]], names=held_cols)
-            held = _best(new if held is None else pa.concat_tables([held, new]), corpus_id, k)
-        if held is not None and held.num_rows:
-            qi = held.column("_q").to_pylist()
-            cols = {f.name: pa.array([qkeys[i][j] for i in qi], type=out_schema.field(f.name).type)
-                    for j, f in enumerate(key_fields)}
-            cols |= {c: held.column(c).combine_chunks() for c in held_cols[1:]}
-            yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in out_schema], schema=out_schema)
+            n, at = 0 if held is None else held.num_rows, rows[ri]
+            new = pa.table([pa.array(qi), pa.array(score), rb.column(corpus_id).take(pa.array(at)), pa.array(at + n)],
+                           names=["_q", "score", corpus_id, "_at"])
+            more = pa.table([rb.column(c) for c in cols], names=cols)
+            if held is not None:
+                old = held.select(["_q", "score", corpus_id]).append_column("_at", pa.array(np.arange(n)))
+                new, more = pa.concat_tables([old, new]), pa.concat_tables([held.select(cols), more])
+            new = _best(new, corpus_id, k)
+            held = new.drop_columns("_at")
+            for c in cols:
+                held = held.append_column(c, more.column(c).take(new.column("_at")))
+            held = held.combine_chunks()
+        for b in [] if held is None else held.to_batches(max_chunksize=SEARCH_ROWS):
+            qi = b.column("_q").to_pylist()
+            out = {f.name: pa.array([qkeys[i][j] for i in qi], type=out_schema.field(f.name).type)
+                   for j, f in enumerate(key_fields)}
+            out |= {c: b.column(c) for c in ("score", corpus_id, *cols)}
+            yield pa.RecordBatch.from_arrays([out[f.name].cast(f.type) for f in out_schema], schema=out_schema)
     return fn
 
 
@@ -165,7 +179,8 @@ def topk_search(corpus: DataFrame, queries: DataFrame, k: int, *, corpus_id: str
         rows = block.toArrow()  # bounded by the size check above
         if not rows.num_rows:
             continue
-        qmat = np.array(rows.column(query_vec).to_pylist(), dtype=np.float64)
+        vectors = rows.column(query_vec).combine_chunks().flatten()
+        qmat = np.asarray(vectors, dtype=np.float64).reshape(rows.num_rows, -1)
         qkeys = list(zip(*[rows.column(q).to_pylist() for q in query_keys]))
         bq = spark.sparkContext.broadcast((qkeys, qmat))
         scored = c.mapInArrow(_task_topk_fn(bq, key_fields, corpus_id, corpus_vec, corpus_cols, k, out_arrow), out_struct)

@@ -166,11 +166,11 @@ def chunk_vectors(spark, sf_dir, predicate=None):
     return u.select("chunk_id", "chunk_content", "published_at", E.hash_embed("chunk_content").alias("vec"))
 
 
-def text_hits(spark, sf_dir, predicate=None):
+def text_hits(spark, sf_dir, predicate=None, corpus_cols=()):
     qv = question_variants(spark, sf_dir).select("item_id", "variant_no", E.hash_embed("query_text").alias("qv"))
     return S.topk_search(chunk_vectors(spark, sf_dir, predicate), qv, TOP_K // 3, corpus_id="chunk_id",
                          corpus_vec="vec", query_keys=["item_id", "variant_no"], query_vec="qv",
-                         corpus_cols=("chunk_content",))
+                         corpus_cols=corpus_cols)
 
 
 def _sparse(src: str, keys: str, text: str) -> str:
@@ -250,7 +250,7 @@ def search_with_date_filter(spark, sf_dir):
 
 
 def reranked(spark, sf_dir):
-    hits = text_hits(spark, sf_dir)
+    hits = text_hits(spark, sf_dir, corpus_cols=("chunk_content",))
     merged = S.merge_dedup_topk(hits, "item_id", "chunk_id", MERGED_TOP, carry=("chunk_content",))
     # The candidate set (<= 5 rows per question) feeds several branches of the rerank; write it once
     # to the shared folder instead of re-running the search per branch.
