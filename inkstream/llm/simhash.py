@@ -20,7 +20,8 @@ copies cost nothing later. The links between different fingerprints are found li
 
 A bucket of more than ``BLOCK`` rows is cut into blocks by a hash, and every pair of blocks is a
 group of its own, so no task holds more than two blocks and nothing is dropped. Groups return the
-links of their local components (stars, at most one per row), never all pairs.
+links of their local components (stars, at most one per row), never all pairs; a task merges pairs into
+component labels as it finds them and holds none. Probing rows leave a task in bounded batches.
 
 Components: alternating large-star and small-star steps on the links, each written to the shared
 folder; only minima are aggregated, so a hub is reduced before the shuffle. Only counts, 64 x 64 bit
@@ -54,6 +55,8 @@ BITS = 64
 PIECE = 1 << 18          # shingles hashed at once
 BLOCK = 1024             # rows of a bucket that stay in one block
 SMALL = 48               # rows up to which groups are compared together
+CELLS = 1 << 18          # comparisons held at once
+PROBES = 1 << 16         # probing rows in a batch
 VERIFY = 0.02            # cost of a candidate, in rows moved
 
 
@@ -228,8 +231,9 @@ class Plan:
                 who = np.flatnonzero(t[:, i] >= d)
                 if len(who):
                     masks = np.array(self.masks[i][d], np.int64)
-                    for at in range(0, len(who), 4096):
-                        w = who[at:at + 4096]
+                    step = max(1, PROBES // len(masks))
+                    for at in range(0, len(who), step):
+                        w = who[at:at + step]
                         yield (i, (own[w][:, None] ^ masks).ravel(), np.repeat(prints[w], len(masks)),
                                np.full(len(w) * len(masks), 2))
 
@@ -278,31 +282,45 @@ def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64))
 
 
+def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label`` (of each row, the smallest row of its component so far) after the links ``i``-``j``."""
+    while True:
+        x, y = label[i], label[j]
+        apart = x != y
+        if not apart.any():
+            return label
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def links(prints: np.ndarray, role: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs between stored and probing rows of equal ``group`` (sorted), as stars."""
+    """Linked pairs between stored and probing rows of equal ``group`` (sorted), as stars. Pairs are
+    merged into labels of the rows as they are found, so ``CELLS`` comparisons are held at most."""
     begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     size = np.diff(np.append(begin, len(group)))
-    left, right = [], []
-
-    def linked(i, j):
-        ok = ((role[i] | role[j]) == 3) & (differing(prints[i], prints[j]) <= distance)
-        left.append(prints[i[ok]])
-        right.append(prints[j[ok]])
-
+    label = np.arange(len(group))
     few = np.repeat(size <= SMALL, size)
     rest = np.repeat(begin + size, size) - np.arange(len(group))         # rows to the group's end
     for s in range(1, SMALL):
         i = np.flatnonzero(few & (rest > s))
         if not len(i):
             break
-        linked(i, i + s)
+        i = i[((role[i] | role[i + s]) == 3) & (differing(prints[i], prints[i + s]) <= distance)]
+        label = merge(label, i, i + s)
     for b, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()):
-        rows = np.arange(b, b + n)
-        for at in range(0, n, 256):
-            i, j = np.nonzero(differing(prints[rows[at:at + 256], None], prints[rows]) <= distance)
-            ahead = j > i + at
-            linked(rows[i[ahead] + at], rows[j[ahead]])
-    a, b = np.concatenate([*left, prints[:0]]), np.concatenate([*right, prints[:0]])
+        at, end = b, b + n
+        while at < end and (label[b:end] != b).any():                    # until all are one component
+            to = min(end, at + max(1, CELLS // (end - at)))
+            ok = differing(prints[at:to, None], prints[at:end]) <= distance
+            ok &= (role[at:to, None] | role[at:end]) == 3
+            ok &= label[at:to, None] != label[at:end]
+            i, j = np.nonzero(ok)
+            label = merge(label, i + at, j + at)
+            at = to
+    other = label != np.arange(len(label))
+    a, b = prints[other], prints[label[other]]
     differ = a != b
     return stars(a[differ], b[differ])
 

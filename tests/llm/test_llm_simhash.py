@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -104,6 +105,56 @@ def test_dense_group_and_chain(spark):
             assert root.get(p, int(np.uint64(p).astype(np.int64))) == min(int(np.uint64(q).astype(np.int64)) for q in groups[p])
 
 
+def test_near_copies_are_linked_in_bounded_memory():
+    """Blocks of near copies, nearly every pair linked: no list of the pairs is held."""
+    rng = np.random.default_rng(3)
+    centre, n, k = int(rng.integers(0, 2**62)), 1600, 5
+    near = {centre}
+    while len(near) < n:
+        near.add(centre ^ 1 << int(rng.integers(62)) ^ 1 << int(rng.integers(62)))
+    prints = np.tile(np.array(sorted(near), np.int64), k)
+    role, group = np.full(n * k, 3), np.repeat(np.arange(k), n)
+    tracemalloc.start()
+    try:
+        a, b = S.links(prints, role, group, 4)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+    assert sorted(a.tolist()) == sorted(near)[1:] and set(b.tolist()) == {min(near)}
+
+
+@pytest.mark.parametrize("cells", [1, 300, 1 << 18])
+def test_links_of_groups_equal_brute_force(monkeypatch, cells):
+    """Groups of any size, rows of each role, comparisons in pieces of any size."""
+    monkeypatch.setattr(S, "CELLS", cells)
+    rng = np.random.default_rng(cells)
+    for bits, n in ((6, 40), (12, 300), (20, 300), (26, 500)):
+        prints, role = rng.integers(0, 1 << bits, n), rng.integers(1, 4, n)
+        group = np.sort(rng.integers(0, 4, n))
+        i, j = np.triu_indices(n, 1)
+        ok = (group[i] == group[j]) & ((role[i] | role[j]) == 3) & (prints[i] != prints[j])
+        ok &= np.bitwise_count(prints[i] ^ prints[j]) <= 4
+        want = S.stars(prints[i[ok]], prints[j[ok]])
+        got = S.links(prints, role, group, 4)
+        assert sorted(zip(*got)) == sorted(zip(*want))
+
+
+@pytest.mark.parametrize("m", [3, 5])
+def test_probing_rows_come_in_bounded_batches(m):
+    rng = np.random.default_rng(m)
+    x = rng.integers(-2**62, 2**62, 100 if m == 3 else 1000)
+    parts = [list(range(k, 64, m)) for k in range(m)]
+    counts = {(i, k): np.bincount(S.values(x, h), minlength=1 << len(h))
+              for i, p in enumerate(parts) for k, h in enumerate(S.halves(p))}
+    plan = S.Plan(len(x), parts, counts, 4)
+    plan.thresholds = lambda prints: np.tile(np.array([4] + [-1] * (m - 1), np.int8), (len(prints), 1))
+    seen = 0
+    for _, key, prints, role in plan.rows(x):
+        assert len(key) == len(prints) == len(role) <= S.PROBES
+        seen += int((role == 2).sum())
+    assert seen == len(x) * (S.ball(len(parts[0]), 4) - 1)
+
+
 def test_thresholds_are_sound_and_avoid_crowded_values():
     rng = np.random.default_rng(0)
     x = rng.integers(-2**62, 2**62, 4000)
