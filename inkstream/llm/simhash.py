@@ -57,6 +57,7 @@ BLOCK = 1024             # rows of a bucket that stay in one block
 SMALL = 48               # rows up to which groups are compared together
 CELLS = 1 << 18          # comparisons held at once
 PROBES = 1 << 16         # probing rows in a batch
+ROWS = 1 << 17           # rows of a file once there are as many files as slots
 VERIFY = 0.02            # cost of a candidate, in rows moved
 
 
@@ -374,6 +375,12 @@ def find_links(prints: DataFrame, plan: Plan, block: int = BLOCK) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- components
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, in a partition for each slot, or for each ``ROWS`` rows if these
+    are more: the steps write many tables, and each file of a small one costs more than its rows."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(a, b)``: every node of ``edges`` (b < a) that is not the smallest of its component, with
     the smallest. Large-star and small-star steps until nothing changes."""
@@ -385,13 +392,13 @@ def components(edges: DataFrame) -> DataFrame:
     seen = state(now)
     while seen[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
-                            .select("a", F.least("a", "m").alias("m")), "simhash-least")
+        least = materialize(packed(both.groupBy("a").agg(F.min("b").alias("m"))
+                                   .select("a", F.least("a", "m").alias("m")), seen[0]), "simhash-least")
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.where("a <> b").distinct(), "simhash-large")
-        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "simhash-least")
+        large = materialize(packed(large.where("a <> b").distinct(), seen[0]), "simhash-large")
+        least = materialize(packed(large.groupBy("a").agg(F.min("b").alias("m")), seen[0]), "simhash-least")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = materialize(small.union(least).where("a <> b").distinct(), "simhash-links")
+        now = materialize(packed(small.union(least).where("a <> b").distinct(), seen[0]), "simhash-links")
         before, seen = seen, state(now)
         if before == seen:
             break
@@ -408,10 +415,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     single = materialize(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-single")
     plan = make_plan(single, distance, parts)
     root = components(find_links(single, plan, block))
-    member = materialize(single.join(root.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
-                         .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-member")
-    least = materialize(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
-    label = materialize(member.join(least, "root").select("fp", "root", "component_id"), "simhash-label")
+    member = single.join(root.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    member = materialize(packed(member, plan.n), "simhash-member")
+    least = materialize(packed(member.groupBy("root").agg(F.min("first").alias("component_id")), plan.n), "simhash-least")
+    label = materialize(packed(member.join(least, "root").select("fp", "root", "component_id"), plan.n), "simhash-label")
     return prints.join(label, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id", F.col("root").alias("component_print"))

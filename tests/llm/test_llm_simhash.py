@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from inkstream.llm import simhash as S
+from inkstream.session import owned_folders
 
 
 def plain_print(text):
@@ -155,6 +156,23 @@ def test_probing_rows_come_in_bounded_batches(m):
     assert seen == len(x) * (S.ball(len(parts[0]), 4) - 1)
 
 
+def test_component_steps_write_few_files(spark):
+    """However many shuffle partitions, a step of few links writes no more files than there are slots."""
+    chain = spark.createDataFrame([(k + 1, k) for k in range(200)], "a long, b long")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("40", "false")):
+            spark.conf.set(k, v)
+        with owned_folders(spark) as made:
+            got = sorted(map(tuple, S.components(chain).collect()))
+            files = [len(spark.read.parquet(p).inputFiles()) for p in made]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == [(k, 0) for k in range(1, 201)]
+    assert len(files) > 4 and max(files[1:]) <= spark.sparkContext.defaultParallelism
+
+
 def test_thresholds_are_sound_and_avoid_crowded_values():
     rng = np.random.default_rng(0)
     x = rng.integers(-2**62, 2**62, 4000)
